@@ -166,7 +166,7 @@ def build_recon(sales: DataFrame, subscriptions: DataFrame, gifts: DataFrame, bo
     Every leg is grouped to month, stream and fund before legs meet.  The months compared are those the ledger's own
     ticketing postings cover; both bounds are scalar subqueries of the plan.
     """
-    posted = gl.where(F.col("source_module") == COVERED_MODULE).join(
+    posted = gl.where(F.col("source_module") == COVERED_MODULE).select("effective_date_key").join(
         calendar.select(F.col("date_key").alias("effective_date_key"), "date"), "effective_date_key")
     first, last = posted.agg(F.min("date")).scalar(), posted.agg(F.max("date")).scalar()
     source = recon_source_legs(sales, subscriptions, gifts, bookings, events, funds, calendar, last)
