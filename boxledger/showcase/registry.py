@@ -12,6 +12,10 @@ from .tables import Showcase
 
 QUERIES: dict[str, "Query"] = {}
 
+#: Shares are rounded to six places for the comparison.  The half is nudged so that no exact tie, which decimal and
+#: binary division would round differently, lies on the boundary.
+NUDGED_HALF = 0.500013
+
 
 @dataclass(frozen=True)
 class Query:
@@ -27,7 +31,7 @@ class Query:
         """The result with decimals as doubles, shares rounded to six places and days as text."""
         df = self.build(Showcase(spark, sf_dir))
         changes = {c: F.col(c).cast("double") for c in self.money}
-        changes |= {c: F.round(F.col(c).cast("double"), 6) for c in self.ratio}
+        changes |= {c: F.floor(F.col(c).cast("double") * 1e6 + NUDGED_HALF) / F.lit(1e6) for c in self.ratio}
         changes |= {c: F.col(c).cast("string") for c in self.text}
         changes |= {c: F.col(c).cast("bigint") for c in self.whole}
         return df.select(*[changes[c].alias(c) if c in changes else F.col(c) for c in df.columns])
@@ -36,7 +40,7 @@ class Query:
         if self.sql is None:
             return None
         casts = [f"CAST({c} AS DOUBLE) AS {c}" for c in self.money]
-        casts += [f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in self.ratio]
+        casts += [f"floor(CAST({c} AS DOUBLE) * 1e6 + {NUDGED_HALF}) / 1e6 AS {c}" for c in self.ratio]
         casts += [f"CAST({c} AS VARCHAR) AS {c}" for c in self.text]
         casts += [f"CAST({c} AS BIGINT) AS {c}" for c in self.whole]
         if not casts:
