@@ -9,7 +9,7 @@ from .text import as_column
 __all__ = ["fmt_change", "favourable"]
 
 # Arrows and the no-break space around a change text.
-UP, DOWN, FLAT, NBSP = "▲", "▼", "─", " "
+UP, DOWN, FLAT, NBSP = "▲", "▼", "─", "\u00a0"
 
 
 def _signed(value: Column, digits: int) -> Column:

@@ -99,9 +99,10 @@ def period_table(daily: DataFrame, measures: Mapping[str, Column] | Sequence[str
         folds.append(F.sum(F.when(in_prior_cap, value)).alias(name + _PRIOR_CAPPED)) if _PRIOR_CAPPED in used else None
     monthly = daily.groupBy(*keys, month_start(day).alias(_MONTH)).agg(*folds)
 
+    monthly = monthly.withColumns({f"_to_{c}": _targets(c, cap) for c in calculations})
     reach = F.concat(*[
-        F.transform(_targets(c, cap), lambda m, c=c: F.struct(F.lit(c).alias("calc"), m.alias("month")))
-        for c in calculations])
+        F.arrays_zip(F.col(f"_to_{c}"), F.array_repeat(F.lit(c), F.size(f"_to_{c}"))).cast(
+            "array<struct<month:date,calc:string>>") for c in calculations])
     spread = monthly.withColumn("_to", F.explode(reach))
     spread = spread.withColumns({_MONTH: F.col("_to.month"), "_calc": F.col("_to.calc")})
     totals = [F.sum(F.when(F.col("_calc") == c, F.col(name + CALCULATIONS[c].slot))).alias(name + CALCULATIONS[c].suffix)

@@ -373,7 +373,7 @@ EVENT_ATTR = ["event_name", "event_type", "client_name", "status", "event_date_k
 
 
 @query("dim_event", dim_sql(f"SELECT event_key, event_id, event_name, event_type, client_name, status, {dkey('event_date')} AS event_date_key, -1 AS performance_key, false AS is_linked FROM venue_events",
-                            f"""SELECT event_id, event_name, event_type, client_name || '!' AS client_name, CASE WHEN event_key % 9 = 0 THEN 'Cancelled' ELSE status END AS status, {dkey('event_date')} AS event_date_key,
+                            f"""SELECT event_id, event_name, event_type, client_name || '!' AS client_name, CASE WHEN event_key % 9 = 0 THEN 'Cancelled' ELSE venue_events.status END AS status, {dkey('event_date')} AS event_date_key,
                                 coalesce(p.performance_key, -1) AS performance_key, p.performance_key IS NOT NULL AS is_linked FROM venue_events LEFT JOIN performance p ON p.performance_id = 'P' || CASE WHEN event_key % 4 = 0 THEN event_key END
                                 UNION ALL SELECT 'NEW' || r_regionkey, r_name, 'Concert', NULL, 'Tentative', -1, -1, false FROM region""",
                             "event_id", "event_key", EVENT_ATTR, ["status", "event_date_key", "performance_key", "event_name"], "-1, 'N/A', 'Unknown event', 'Unknown', NULL, NULL, -1, -1, false"), ["venue_events", "performance"])
