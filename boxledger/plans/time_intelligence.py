@@ -119,14 +119,17 @@ def trailing_year(daily: DataFrame, value: Column, name: str, cap: Column, keys:
                   date: str = "date", prior: bool = False) -> DataFrame:
     """Sum over the 365 days that end on the last day of each month (or on the cap, if that is earlier).
 
-    ``prior`` gives the window that ended twelve months before.  A day reaches at most thirteen months.
+    ``prior`` gives the window that ended twelve months before.  A day reaches thirteen months, or up to the end of the
+    fiscal year of the cap.
     """
     per_day = daily.groupBy(*keys, F.col(date).alias("_day")).agg(F.sum(value).alias("_value"))
     shift = 12 if prior else 0
     limit = F.add_months(cap, -12) if prior else cap
     last_report = month_start(fiscal_end(fiscal_year(cap))) if prior else month_start(cap)
     start = F.add_months(month_start("_day"), shift)
-    reach = _months(start, F.least(F.add_months(start, 12), last_report))
+    # After the cap the window stands still, so the last year of days reaches on to the end of the report.
+    normal_end = F.add_months(start, 12)
+    reach = _months(start, F.when(normal_end >= month_start(cap), last_report).otherwise(normal_end))
     spread = per_day.withColumn(_MONTH, F.explode(reach))
     window_end = F.least(F.last_day(F.add_months(F.col(_MONTH), -shift)), limit)
     inside = spread.where(F.col("_day").between(F.date_add(window_end, -364), window_end))

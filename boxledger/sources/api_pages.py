@@ -30,15 +30,18 @@ def page_records(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_paged_json(spark: SparkSession, root: str, entity: str, record_schema: str,
                     days: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Saved pages ``<root>/<entity>/<day>/page-N.json`` as (records, counts)."""
+    """Saved pages ``<root>/<entity>/<day>/page-N.json`` as (records, counts).
+
+    Folders in Spark's own layout (``day=D/page=N/``) are read as well.
+    """
     schema = f"count bigint, value array<struct<{record_schema}>>, next_link string"
     base = f"{root.rstrip('/')}/{entity}"
     paths = [f"{base}/{d}" for d in days] if days else [base]
     raw = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", "true").json(paths)
     where = F.col("_metadata.file_path")
     pages = raw.select(
-        F.lit(entity).alias("entity"), F.regexp_extract(where, r"/([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]*$", 1).alias("load_date"),
-        F.regexp_extract(where, r"page-([0-9]+)", 1).cast("int").alias("page"), "count", "value")
+        F.lit(entity).alias("entity"), F.regexp_extract(where, entity + r"/(?:[a-z_]+=)?([0-9]{4}-[0-9]{2}-[0-9]{2})/", 1).alias("load_date"),
+        F.regexp_extract(where, r"page[-=]([0-9]+)", 1).cast("int").alias("page"), "count", "value")
     records, counts = page_records(pages)
     return records.select("entity", "load_date", "record.*"), counts
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructType
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from .tables import list_folder
 
 __all__ = ["read_landing_csv", "read_landing_json", "add_lineage", "available_days", "pending_partitions",
-           "read_manifests"]
+           "read_manifests", "manifest_lines", "MANIFEST_SCHEMA"]
 
 DAY_PREFIX = "load_date="
 FILE_COLUMN = "_source_file"
@@ -86,7 +86,11 @@ MANIFEST_SCHEMA = ("load_date string, generated_at string, "
 
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     """Announced rows per table and day: ``entity`` (source.table), ``load_date``, ``expected_rows``."""
-    files = spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path)
-    lines = files.select("load_date", F.inline("files"))
+    return manifest_lines(spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path))
+
+
+def manifest_lines(manifests: DataFrame) -> DataFrame:
+    """One line per announced table of each manifest."""
+    lines = manifests.select("load_date", F.inline("files"))
     return lines.select(F.concat_ws(".", "source", "entity").alias("entity"), "load_date",
-                        F.col("rows").cast(StringType()).cast("bigint").alias("expected_rows"))
+                        F.col("rows").alias("expected_rows"))
