@@ -9,28 +9,35 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from ..functions import row_hash
 
 __all__ = ["latest_per_key", "upsert", "upsert_null_safe", "delete_insert", "update_changed_then_insert",
-           "insert_only_dim", "crosswalk_update", "get_mark", "set_mark", "next_mark", "loaded_days", "change_counts"]
+           "insert_only_dim", "crosswalk_update", "get_mark", "set_mark", "next_mark", "loaded_days", "change_counts", "tie_break"]
 
 EPOCH_MARK = "1900-01-01 00:00:00"
 
 
+def tie_break(df: DataFrame, used: Sequence[str] = ()) -> list[Column]:
+    """Ordering over the columns not used yet, so that only rows equal in everything can tie."""
+    rest = [f for f in df.schema if f.name not in used]
+    return [(row_hash(f"`{f.name}`") if isinstance(f.dataType, (MapType, VariantType)) else F.col(f"`{f.name}`")).desc_nulls_last()
+            for f in rest]
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str],
                    ingested_at: str | None = "_ingested_at") -> DataFrame:
-    """The newest row per key: ``order_by`` descending with NULL last, then ingest time, then a row fingerprint.
+    """The newest row per key: ``order_by`` descending with NULL last, then ingest time, then the other columns.
 
-    The fingerprint makes full ties deterministic.  The ``= 1`` filter is recognised by Catalyst, which keeps one
+    Ordering by the remaining columns makes ties deterministic at no cost where there are none.  The ``= 1`` filter is recognised by Catalyst, which keeps one
     row per key on every map task before the shuffle (WindowGroupLimit), so a key holding a third of the table
     sends one row per task, not the group.
     """
     names = [order_by] if isinstance(order_by, str) else list(order_by)
     if ingested_at and ingested_at in df.columns:
         names.append(ingested_at)
-    ordering = [F.col(n).desc_nulls_last() for n in names]
-    ordering.append(row_hash(*[f"`{c}`" for c in df.columns]).desc())
+    ordering = [F.col(n).desc_nulls_last() for n in names] + tie_break(df, [*keys, *names])
     version = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering))
     return df.withColumn("_version", version).where(F.col("_version") == 1).drop("_version")
 
@@ -130,7 +137,7 @@ def update_changed_then_insert(dim: DataFrame, source: DataFrame, business_id: s
     ])
     new_rows = source.withColumns(dict(insert_only)) if insert_only else source
     result = assign_surrogate_keys(updated, new_rows, business_id, key)
-    return unknown_member(result, key, unknown) if unknown is not None else result
+    return unknown_member(result, key, unknown, dim) if unknown is not None else result
 
 
 def insert_only_dim(dim: DataFrame, source: DataFrame, business_id: str, key: str,
@@ -139,7 +146,7 @@ def insert_only_dim(dim: DataFrame, source: DataFrame, business_id: str, key: st
     from .dimensions import assign_surrogate_keys, unknown_member
 
     result = assign_surrogate_keys(dim, source, business_id, key)
-    return unknown_member(result, key, unknown) if unknown is not None else result
+    return unknown_member(result, key, unknown, dim) if unknown is not None else result
 
 
 def crosswalk_update(dim_fund: DataFrame, crosswalk: DataFrame, fund_id: str = "fund_id",
@@ -178,7 +185,8 @@ def set_mark(marks: DataFrame | None, name: str, value: DataFrame, as_of) -> Dat
         F.lit(name).alias("object_name"), "last_value", F.lit(as_of).cast("timestamp").alias("updated_at"))
     if marks is None:
         return row
-    return marks.join(row.select("object_name"), "object_name", "left_anti").unionByName(row)
+    nothing_new = value.agg(F.count("last_value") == 0).scalar()
+    return marks.where((F.col("object_name") != name) | nothing_new).unionByName(row)
 
 
 def loaded_days(log: DataFrame) -> DataFrame:

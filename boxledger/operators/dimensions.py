@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..functions import (date_key, day_part, fiscal_end, fiscal_month, fiscal_quarter, fiscal_start, fiscal_year,
                          full_name, nullif_blank, region_bucket, scd_hash)
 from ..session import cut_lineage
+from ..sources.tables import local_table
 from .changes import crosswalk_update, insert_only_dim, update_changed_then_insert
 from .joins import lookup_or_unknown
 
@@ -130,7 +131,8 @@ def number_in_order(df: DataFrame, order: str, name: str) -> DataFrame:
     sizes = placed.groupBy(partition.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    numbered = placed.withColumn("_part", partition).join(offsets, "_part")
+    # One row per partition is a proven bound, so this broadcast is safe at any size of ``df``.
+    numbered = placed.withColumn("_part", partition).join(F.broadcast(offsets), "_part")
     return numbered.withColumn(name, F.col("_offset") + within + 1).drop("_part", "_offset", "_place")
 
 
@@ -151,16 +153,21 @@ def assign_surrogate_keys(dim: DataFrame, new: DataFrame, business_id: str, key:
     return dim.unionByName(aligned)
 
 
-def unknown_member(dim: DataFrame, key: str, values: Mapping | None = None) -> DataFrame:
-    """Ensure the row with key -1."""
+def unknown_member(dim: DataFrame, key: str, values: Mapping | None = None, stored: DataFrame | None = None) -> DataFrame:
+    """Ensure the row with key -1.
+
+    ``stored`` is the table as it was before the load, where that is cheaper to ask than ``dim`` itself; loads never
+    drop the row.  The question is a scalar subquery, not a join.
+    """
     values = {key: -1, **(values or {})}
-    row = dim.sparkSession.range(1).select(*[
+    present = (dim if stored is None else stored).where(F.col(key) == -1).agg(F.count(F.lit(1)) > 0).scalar()
+    row = dim.sparkSession.range(1).where(~present).select(*[
         F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in dim.schema])
-    return dim.unionByName(row.join(dim.where(F.col(key) == -1).select(key), key, "left_anti").select(*dim.columns))
+    return dim.unionByName(row)
 
 
 def empty_dim(spark: SparkSession, ddl: str) -> DataFrame:
-    return spark.createDataFrame([], ddl)
+    return local_table(spark, [], ddl)
 
 
 # ---------------------------------------------------------------- versioned people
@@ -207,7 +214,7 @@ def scd2_patron(dim: DataFrame, snapshot: DataFrame, as_of, tracked: Sequence[st
     numbered = number_in_order(added.drop("_open_hash", "_has_open"), person, "_number")
     keyed = numbered.withColumn(key, (F.col("_number") + top).cast(dim.schema[key].dataType))
     result = kept.unionByName(keyed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in dim.schema]))
-    return unknown_member(result, key, UNKNOWN["patron"])
+    return unknown_member(result, key, UNKNOWN["patron"], dim)
 
 
 # ---------------------------------------------------------------- the single dimensions
@@ -264,7 +271,7 @@ def dim_department(department: DataFrame, dim: DataFrame) -> DataFrame:
 
 def static_lookup(spark: SparkSession) -> DataFrame:
     """The eight posting modules of the ledger."""
-    return spark.createDataFrame(POSTING_MODULES, POSTING_MODULE_SCHEMA)
+    return local_table(spark, POSTING_MODULES, POSTING_MODULE_SCHEMA)
 
 
 dim_source_module = static_lookup

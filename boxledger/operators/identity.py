@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions import row_hash
+from .changes import tie_break
 from .joins import left_anti, multi_key_fallback_match
 
 __all__ = ["match_keys", "match_known", "cluster_new", "append_xref", "golden_record", "golden_rollup", "golden_people",
@@ -62,13 +62,13 @@ def append_xref(xref: DataFrame, matched: DataFrame, as_of) -> DataFrame:
 
 
 def golden_record(candidates: DataFrame, xref: DataFrame) -> DataFrame:
-    """One record per person: a row with an address first, then the newest; full ties by fingerprint.
+    """One record per person: a row with an address first, then the newest; ties by the other columns.
 
     One row per person leaves each map task (WindowGroupLimit), however many records a person has.
     """
     linked = candidates.join(xref.select(*SOURCE_KEY, "patron_id"), SOURCE_KEY)
     ordering = [F.col("address_line1").isNull(), F.col("updated_at").desc_nulls_last(),
-                row_hash(*candidates.columns).desc()]
+                *tie_break(candidates, ["updated_at"])]
     place = F.row_number().over(Window.partitionBy("patron_id").orderBy(*ordering))
     return linked.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 

@@ -19,7 +19,7 @@ from ..operators.clean import add_missing_meta, conform, filter_pending, with_ro
 from ..operators.quality import apply_dq
 from ..sources.landing import add_lineage, available_days, pending_partitions, read_landing_csv, read_landing_json, read_manifests
 from ..sources.logs import load_log, log_ingest, log_run
-from ..sources.tables import _newest, append_bronze, delete_folder, list_folder, overwrite_table, read_bronze, read_table, stage_table, table_exists
+from ..sources.tables import _newest, append_bronze, delete_folder, list_folder, local_table, overwrite_table, read_bronze, read_table, stage_table, table_exists
 
 __all__ = ["Lake", "Step", "ingest_landing", "check_landing", "process_entity", "load_gold", "run_daily"]
 
@@ -63,7 +63,7 @@ def ingest_landing(lake: Lake, source: str, contract: TableContract, format: str
     days = [(contract.key, d) for d in available_days(spark, lake.landing(source), contract.name)]
     if not days:
         return []
-    listed = spark.createDataFrame(days, "entity string, load_date string")
+    listed = local_table(spark, days, "entity string, load_date string")
     todo = pending_partitions(listed, lake.get("audit", "ingest_log"), [contract.key], load_date, reprocess)
     done = []
     for day in sorted(r["load_date"] for r in todo.collect()):
@@ -161,7 +161,7 @@ def load_gold(lake: Lake, steps: Sequence[Step], run_id: str, as_of: datetime, r
         existing = lake.get("gold", target)
         if existing is None and ddl is None:
             raise FileNotFoundError(f"gold table {target} has not been built")
-        return existing if existing is not None else spark.createDataFrame([], ddl)
+        return existing if existing is not None else local_table(spark, [], ddl)
 
     for step in steps:
         try:

@@ -91,13 +91,12 @@ def period_table(daily: DataFrame, measures: Mapping[str, Column] | Sequence[str
     day = F.col(date)
     in_cap = F.lit(True) if cap is None else day <= cap
     in_prior_cap = F.lit(True) if cap is None else day <= F.add_months(cap, -12)
+    # Days first: one plain sum per measure over the fact, the three capped variants only over the days.
+    by_day = daily.groupBy(*keys, day.alias(date)).agg(*[F.sum(value).alias(name) for name, value in values.items()])
+    slots = {_ALL: F.lit(True), _CAPPED: in_cap, _PRIOR_CAPPED: in_prior_cap}
     used = {CALCULATIONS[c].slot for c in calculations}
-    folds = []
-    for name, value in values.items():
-        folds.append(F.sum(value).alias(name + _ALL)) if _ALL in used else None
-        folds.append(F.sum(F.when(in_cap, value)).alias(name + _CAPPED)) if _CAPPED in used else None
-        folds.append(F.sum(F.when(in_prior_cap, value)).alias(name + _PRIOR_CAPPED)) if _PRIOR_CAPPED in used else None
-    monthly = daily.groupBy(*keys, month_start(day).alias(_MONTH)).agg(*folds)
+    folds = [F.sum(F.when(slots[slot], F.col(name))).alias(name + slot) for name in values for slot in sorted(used)]
+    monthly = by_day.groupBy(*keys, month_start(day).alias(_MONTH)).agg(*folds)
 
     monthly = monthly.withColumns({f"_to_{c}": _targets(c, cap) for c in calculations})
     reach = F.concat(*[

@@ -154,7 +154,7 @@ def fact_venue_booking(t: Showcase):
     return facts.fact_venue_booking(rows, known, t.rooms.where(F.col("room_key") < 6), AS_OF).drop("loaded_at", "start_datetime", "end_datetime")
 
 
-@query("fact_budget", "SELECT budget_line_id, date_key, fiscal_year, budget_version, account_key, 1 AS fund_key, 1 AS department_key, budget_amount FROM budget", ["budget"], money="budget_amount")
+@query("fact_budget", "SELECT budget_line_id, date_key, fiscal_year, budget_version, account_key, CASE WHEN account_code < '5000' THEN 1 ELSE 2 END AS fund_key, CASE WHEN account_code < '5000' THEN 1 ELSE 2 END AS department_key, budget_amount FROM budget", ["budget"], money="budget_amount")
 def fact_budget(t: Showcase):
     return t.budget.drop("loaded_at")
 

@@ -13,34 +13,78 @@ from .sql import fy
 from .tables import AS_OF, Showcase
 
 
-def star(t: Showcase) -> dict:
-    """Every fact as the measures read it: keys resolved, fiscal year attached."""
-    year = t.calendar.select("date_key", "fiscal_year")
-
-    def dated(df, key):
-        return df.join(year.withColumnRenamed("date_key", key), key)
-
-    shows = t.performance.select("performance_key", "series")
-    people = t.patrons.select("patron_key", "first_seen_date")
-    sales = dated(t.sales, "performance_date_key").join(people, "patron_key").join(shows, "performance_key", "left")
-    ads = t.ads
-    gifts = t.gifts
-    live = t.venue_events.select("event_key", "event_type", "status")
-    subs = t.subscriptions
-    return {
-        "gl": t.gl_star, "budget": t.budget_star, "recon": t.recon, "freshness": freshness(t),
-        "bookings": dated(t.bookings, "booking_date_key").join(live, "event_key"), "events": t.venue_events,
-        "calendar": t.calendar.where(F.col("date_key") > 0), "rooms": t.rooms,
-        "sales": sales_star(sales, gifts), "sales_by_order_date": dated(t.sales, "order_date_key"),
-        "performances": t.performance.drop("fiscal_year").withColumn("fiscal_year", fiscal_year("performance_date")),
-        "gifts": gifts, "campaigns": t.campaigns,
-        "donor_years": donor_years(gifts, t.calendar.where(F.col("date_key") > 0)),
-        "subscriptions": subs, "subscriber_years": subscriber_years(subs),
-        "email_results": dated(t.email_campaigns, "send_date_key"),
-        "email_clicks": dated(t.email_clicks, "click_date_key"),
-        "ad_spend": ads, "promoted_sales": promoted_sales(sales, ads, ["fiscal_year"]),
-        "education": t.sessions.join(t.schools, "school_key"),
-    }
+class Star(dict):
+    """Every fact as the measures read it, built when first asked for: keys resolved, fiscal year attached."""
+
+    def __init__(self, t: Showcase):
+        super().__init__()
+        self.t = t
+
+    def __missing__(self, fact: str):
+        self[fact] = frame = getattr(self, f"_{fact}", lambda: getattr(self.t, fact))()
+        return frame
+
+    def dated(self, df, key):
+        return df.join(self.t.calendar.select(F.col("date_key").alias(key), "fiscal_year"), key)
+
+    def days(self):
+        return self.t.calendar.where(F.col("date_key") > 0)
+
+    def plain_sales(self):
+        people = self.t.patrons.select("patron_key", "first_seen_date")
+        shows = self.t.performance.select("performance_key", "series")
+        return self.dated(self.t.sales, "performance_date_key").join(people, "patron_key").join(shows, "performance_key", "left")
+
+    def _gl(self):
+        return self.t.gl_star
+
+    def _budget(self):
+        return self.t.budget_star
+
+    def _freshness(self):
+        return freshness(self.t)
+
+    def _bookings(self):
+        return self.dated(self.t.bookings, "booking_date_key").join(self.t.venue_events.select("event_key", "event_type", "status"), "event_key")
+
+    def _events(self):
+        return self.t.venue_events
+
+    def _calendar(self):
+        return self.days()
+
+    def _sales(self):
+        return sales_star(self.plain_sales(), self.t.gifts)
+
+    def _sales_by_order_date(self):
+        return self.dated(self.t.sales, "order_date_key")
+
+    def _performances(self):
+        return self.t.performance.withColumn("fiscal_year", fiscal_year("performance_date"))
+
+    def _donor_years(self):
+        return donor_years(self.t.gifts, self.days())
+
+    def _subscriber_years(self):
+        return subscriber_years(self.t.subscriptions)
+
+    def _email_results(self):
+        return self.dated(self.t.email_campaigns, "send_date_key")
+
+    def _email_clicks(self):
+        return self.dated(self.t.email_clicks, "click_date_key")
+
+    def _ad_spend(self):
+        return self.t.ads
+
+    def _promoted_sales(self):
+        return promoted_sales(self.plain_sales(), self.t.ads, ["fiscal_year"])
+
+    def _education(self):
+        return self.t.sessions.join(self.t.schools, "school_key")
+
+
+star = Star
 
 
 LEDGER = "revenue expenses net_surplus earned_revenue contributed_revenue earned_revenue_share surplus_margin debits credits out_of_balance"

@@ -234,7 +234,7 @@ def order_rules(t: Showcase):
 @query("latest_per_key", f"""
     SELECT * EXCLUDE (rn, l_shipdate), CAST(l_shipdate AS DATE) AS ship_day FROM (
       SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST,
-        {sql_hash('l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', 'l_returnflag', 'l_linestatus', 'l_shipdate')} DESC) AS rn
+        l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn
       FROM lineitem) WHERE rn = 1""", text="ship_day")
 def latest_per_key(t: Showcase):
     newest = changes.latest_per_key(t.lineitem, ["l_orderkey", "l_linenumber"], "l_shipdate")

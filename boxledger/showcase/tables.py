@@ -17,6 +17,7 @@ from ..operators.dimensions import calendar_bounds, fiscal_calendar, static_look
 from ..operators.facts import fact_budget
 from ..operators.joins import point_in_time_join, self_join_prior
 from ..plans.finance import compare_legs
+from ..sources.tables import local_table
 
 AS_OF = "2024-02-01 12:00:00"
 SPLIT = "1998-07-01 00:00:00"
@@ -57,7 +58,7 @@ class Showcase:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def literal(self, rows, ddl: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, ddl)
+        return local_table(self.spark, rows, ddl)
 
     orders = cached_property(lambda self: self.raw("orders"))
     lineitem = cached_property(lambda self: self.raw("lineitem"))
@@ -247,8 +248,9 @@ class Showcase:
         return monthly.select(
             F.concat("account_code", F.lit(":"), start.cast("string")).alias("budget_line_id"), "account_code",
             start.alias("period_start"), fiscal_year(start).alias("fiscal_year"),
-            dec(F.col("actual").cast("decimal(16,2)") * dec(F.lit(1.05), 3, 2)).alias("amount"), F.lit("GEN").alias("fund_code"),
-            F.lit("D1").alias("department_code"),
+            dec(F.col("actual").cast("decimal(16,2)") * dec(F.lit(1.05), 3, 2)).alias("amount"),
+            F.when(F.col("account_code") < "5000", "GEN").otherwise("EDU").alias("fund_code"),
+            F.when(F.col("account_code") < "5000", "D1").otherwise("D2").alias("department_code"),
             F.when(F.col("account_code") == "5600", "Draft").otherwise("Adopted").alias("budget_version"))
 
     @cached_property

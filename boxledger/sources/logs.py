@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import SourceContract
+from .tables import local_table
 
 __all__ = ["log_run", "load_log", "log_ingest", "source_config", "RUN_LOG_SCHEMA", "LOAD_LOG_SCHEMA",
            "INGEST_LOG_SCHEMA"]
@@ -23,7 +24,7 @@ MESSAGE_LIMIT = 4000
 
 
 def _append(spark: SparkSession, row: tuple, schema: str, path: str | None) -> DataFrame:
-    frame = spark.createDataFrame([row], schema)
+    frame = local_table(spark, [row], schema)
     if path:
         frame.coalesce(1).write.mode("append").parquet(path)
     return frame
@@ -53,4 +54,4 @@ def log_ingest(spark: SparkSession, path: str | None, entity: str, load_date: st
 
 def source_config(spark: SparkSession, sources: Iterable[SourceContract]) -> DataFrame:
     """Expected refresh and allowed age per source."""
-    return spark.createDataFrame([(s.system, s.source, s.refresh, s.sla_hours) for s in sources], CONFIG_SCHEMA)
+    return local_table(spark, [(s.system, s.source, s.refresh, s.sla_hours) for s in sources], CONFIG_SCHEMA)

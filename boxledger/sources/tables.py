@@ -12,8 +12,9 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-__all__ = ["list_folder", "delete_folder", "append_bronze", "read_bronze", "overwrite_table", "read_table",
+__all__ = ["list_folder", "delete_folder", "local_table", "append_bronze", "read_bronze", "overwrite_table", "read_table",
            "table_exists", "truncate_reload", "stage_table", "compact_table", "require_success", "expire_snapshots", "reset_gold"]
 
 COMMITS = "_commits"
@@ -61,6 +62,28 @@ def _newest(spark: SparkSession, path: str):
     return None if commits is None else commits.orderBy(F.col("committed_at").desc(), F.col("version").desc()).first()
 
 
+def local_table(spark: SparkSession, rows: Sequence[Sequence], ddl: str) -> DataFrame:
+    """A small literal table as a local relation.
+
+    Unlike a frame made from Python rows its exact size is known to Catalyst, so a join broadcasts it and never the
+    other side.
+    """
+    fields = StructType.fromDDL(ddl).fields
+
+    def literal(value) -> str:
+        if value is None:
+            return "NULL"
+        if isinstance(value, bool) or isinstance(value, (int, float)):
+            return str(value)
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    columns = ", ".join(f"CAST(v.c{i} AS {f.dataType.simpleString()}) AS `{f.name}`" for i, f in enumerate(fields))
+    names = ", ".join(f"c{i}" for i in range(len(fields)))
+    lines = rows or [[None] * len(fields)]
+    values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in lines)
+    return spark.sql(f"SELECT {columns} FROM VALUES {values} AS v({names})" + ("" if rows else " WHERE false"))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     return _commits(spark, path) is not None
 
@@ -74,7 +97,7 @@ def overwrite_table(df: DataFrame, path: str, as_of: datetime, mark: datetime |
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/version={version}")
-    commit = spark.createDataFrame([(version, as_of, mark)], COMMIT_SCHEMA)
+    commit = local_table(spark, [(version, as_of, mark)], COMMIT_SCHEMA)
     commit.coalesce(1).write.mode("append").json(f"{path}/{COMMITS}")
 
 
@@ -124,7 +147,7 @@ def compact_table(spark: SparkSession, tables: Mapping[str, str], as_of: datetim
             log.append((name, files, "Succeeded", ""))
         except Exception as problem:  # one broken table must not stop the others
             log.append((name, 0, "Failed", str(problem)[:4000]))
-    return spark.createDataFrame(log, "table_name string, files int, status string, message string")
+    return local_table(spark, log, "table_name string, files int, status string, message string")
 
 
 def require_success(log: DataFrame) -> None:
