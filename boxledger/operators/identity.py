@@ -82,10 +82,21 @@ def golden_rollup(candidates: DataFrame, xref: DataFrame) -> DataFrame:
 
 
 def golden_people(candidates: DataFrame, xref: DataFrame, as_of) -> DataFrame:
-    """Golden record and roll-up side by side."""
-    record = golden_record(candidates, xref).drop("first_seen_date", "email_key", "name_zip_key", *SOURCE_KEY)
-    return record.join(golden_rollup(candidates, xref), "patron_id").withColumn(
-        "_silver_updated_at", F.lit(as_of).cast("timestamp"))
+    """Golden record and roll-up in one grouping.
+
+    The record is the largest struct of (has an address, update time, all other columns), which is the order of
+    :func:`golden_record`; being an aggregate it combines on the map side, however many records a person has.
+    """
+    linked = candidates.join(xref.select(*SOURCE_KEY, "patron_id"), SOURCE_KEY)
+    rest = [c for c in candidates.columns if c != "updated_at"]
+    best = F.max(F.struct(F.col("address_line1").isNotNull().alias("_has_address"), "updated_at", *rest))
+    folded = linked.groupBy("patron_id").agg(
+        best.alias("_best"), F.min("first_seen_date").alias("_first_seen"),
+        F.array_join(F.sort_array(F.collect_set("source_system")), ",").alias("source_systems"))
+    shown = [c for c in candidates.columns if c not in ("first_seen_date", "email_key", "name_zip_key", *SOURCE_KEY)]
+    return folded.select("patron_id", *[F.col(f"_best.{c}").alias(c) for c in shown],
+                         F.col("_first_seen").alias("first_seen_date"), "source_systems",
+                         F.lit(as_of).cast("timestamp").alias("_silver_updated_at"))
 
 
 def dedupe_rate(candidates: DataFrame, people: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
+
 __all__ = ["lookup_or_unknown", "point_in_time_join", "bridge_lookup", "inner_star", "dim_left_fact",
            "full_outer_align", "align_facts", "range_expand_join", "interval_join", "conditional_match", "theta_join",
            "self_join_prior", "left_anti", "left_semi", "exists_predicate", "multi_key_fallback_match", "note_join",
@@ -141,15 +143,17 @@ def theta_join(giving: DataFrame, person: str = "patron_id", year: str = "fiscal
 
     Columns: ``fiscal_year``, the person, ``by_year`` (map of year to amount) and ``first_year``.  A person's giving
     is folded into one map first (at most one entry per fiscal year), so the inequality becomes a generated
-    sequence of years; years nobody gave in are removed by a semi join.
+    sequence of years; years nobody gave in are removed by a semi join.  The totals per person and year are kept in
+    the shared folder, because history, last year and the list of years all read them and the facts behind them
+    should be joined once.
     """
-    yearly = giving.groupBy(person, year).agg(F.sum(amount).alias("_amount"))
+    yearly = cut_lineage(giving.groupBy(person, year).agg(F.sum(amount).alias("_amount")))
     history = yearly.groupBy(person).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(year), F.col("_amount")))).alias("by_year"),
         F.min(year).alias("first_year"))
-    last = giving.agg(F.max(year)).scalar()
+    last = yearly.agg(F.max(year)).scalar()
     grid = history.withColumn(year, F.explode(F.sequence(F.col("first_year"), last)))
-    return grid.join(giving.select(year).distinct(), year, "left_semi")
+    return grid.join(yearly.select(year).distinct(), year, "left_semi")
 
 
 def self_join_prior(df: DataFrame, year: str, values: Mapping[str, str], keys: Sequence[str] = ()) -> DataFrame:

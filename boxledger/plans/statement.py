@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fiscal_year, safe_ratio
 from ..operators.aggregate import subtotals
 from ..operators.joins import align_facts
+from ..session import cut_lineage
 from .measures import BUDGET_VALUES, CASH_VALUES, GL_VALUES
 from .time_intelligence import as_of_date, period_table, trailing_year, with_comparisons
 
-__all__ = ["ledger_periods", "budget_periods", "finance_periods", "cash_periods", "statement_amounts",
+__all__ = ["fold_days", "ledger_periods", "budget_periods", "finance_periods", "cash_periods", "statement_amounts",
            "statement_periods", "statement_of_activities", "trend", "STATEMENT_LAYOUT"]
 
 # The sixteen lines of the Statement of Activities.
@@ -50,11 +51,25 @@ def _values(definitions) -> dict[str, Column]:
     return {name: value() for name, value in definitions.items()}
 
 
+def fold_days(lines: DataFrame, definitions, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per day (and key) with the summed measures, kept in the shared folder.
+
+    The report tables look at the same days many times: for the cap, for each calculation, for trailing windows.
+    Folding once means the ledger itself is read once, and everything after works on one row per day.
+    """
+    return cut_lineage(lines.groupBy(*keys, "date").agg(*[F.sum(v).alias(n) for n, v in _values(definitions).items()]))
+
+
 def ledger_periods(gl: DataFrame, calendar: DataFrame, keys: Sequence[str] = (),
-                   calculations: Sequence[str] = ("current", "py", "fytd", "py_fytd"), cap: Column | None = None) -> DataFrame:
+                   calculations: Sequence[str] = ("current", "py", "fytd", "py_fytd")) -> DataFrame:
     """Revenue, expenses, surplus, earned and contributed revenue with shares, by month and calculation."""
-    cap = as_of_date(gl) if cap is None else cap
-    table = period_table(gl, _values(GL_VALUES), calculations, keys, cap, calendar)
+    daily = fold_days(gl, GL_VALUES, keys)
+    return _ledger_table(daily, calendar, as_of_date(daily), keys, calculations)
+
+
+def _ledger_table(daily: DataFrame, calendar: DataFrame, cap: Column, keys: Sequence[str] = (),
+                  calculations: Sequence[str] = ("current", "py", "fytd", "py_fytd")) -> DataFrame:
+    table = period_table(daily, list(GL_VALUES), calculations, keys, cap, calendar)
     added = {}
     for c in calculations:
         s = {"current": ""}.get(c, f"_{c}")
@@ -83,9 +98,10 @@ def budget_periods(budget: DataFrame, calendar: DataFrame, cap: Column, keys: Se
 
 def finance_periods(gl: DataFrame, budget: DataFrame, calendar: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Ledger and budget side by side per month, with variances in favourable sign and comparisons to last year."""
-    cap = as_of_date(gl)
+    daily = fold_days(gl, GL_VALUES, keys)
+    cap = as_of_date(daily)
     period = [*keys, *_PERIOD]
-    table = align_facts([ledger_periods(gl, calendar, keys, cap=cap), budget_periods(budget, calendar, cap, keys)], period)
+    table = align_facts([_ledger_table(daily, calendar, cap, keys), budget_periods(budget, calendar, cap, keys)], period)
     revenue, expenses = F.col("revenue_fytd"), F.col("expenses_fytd")
     revenue_plan, expense_plan = F.col("revenue_budget_fytd"), F.col("expense_budget_fytd")
     begun = F.col("month_start") <= cap
@@ -102,17 +118,16 @@ def finance_periods(gl: DataFrame, budget: DataFrame, calendar: DataFrame, keys:
 
 def cash_periods(gl: DataFrame, calendar: DataFrame) -> DataFrame:
     """Cash received, paid and held, money owed, and days of cash, per month with last year beside them."""
-    cap = as_of_date(gl)
-    values = _values(CASH_VALUES)
-    flows = {n: values[n] for n in ("cash_received", "cash_paid", "cash_flow_amount", "cash_movement")}
-    stocks = {"cash": values["cash_movement"], "accounts_payable": values["accounts_payable"],
-              "accrued_payroll": values["accrued_payroll"]}
-    moved = period_table(gl, flows, ["current", "fytd", "py_fytd"], (), cap, calendar)
-    held = period_table(gl, stocks, ["balance", "balance_py", "balance_py_fytd"], (), cap, calendar)
-    expenses = GL_VALUES["expenses"]()
+    daily = fold_days(gl, {**CASH_VALUES, "expenses": GL_VALUES["expenses"]})
+    cap = as_of_date(daily)
+    flows = ["cash_received", "cash_paid", "cash_flow_amount", "cash_movement"]
+    stocks = {"cash": F.col("cash_movement"), "accounts_payable": F.col("accounts_payable"),
+              "accrued_payroll": F.col("accrued_payroll")}
+    moved = period_table(daily, flows, ["current", "fytd", "py_fytd"], (), cap, calendar)
+    held = period_table(daily, stocks, ["balance", "balance_py", "balance_py_fytd"], (), cap, calendar)
 
     def spent(name: str, prior: bool) -> DataFrame:
-        frame = trailing_year(gl, expenses, name, cap, prior=prior)
+        frame = trailing_year(daily, F.col("expenses"), name, cap, prior=prior)
         return frame.select(fiscal_year("month_start").alias("fiscal_year"), "month_start", name)
 
     table = align_facts([moved, held, spent("spent_365", False), spent("spent_365_py", True)], _PERIOD)
@@ -154,8 +169,7 @@ def statement_of_activities(gl: DataFrame, budget: DataFrame, calendar: DataFram
     Variances are favourable when positive, so expense lines are turned; percentages stay blank on the net and ratio
     lines.
     """
-    cap = as_of_date(gl)
-    by_account = account_periods(gl, budget, calendar, cap)
+    by_account = account_periods(gl, budget, calendar)
 
     account_lines = by_account.select("fiscal_year", "month_start", F.lit("Account").alias("line_type"), "account_code",
                                       *[_sum2(f"revenue_{v}", f"expenses_{v}").alias(v) for v in _VALUES])
@@ -203,11 +217,14 @@ def _sum2(a: str, b: str) -> Column:
     return F.when(a.isNotNull() | b.isNotNull(), F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
 
 
-def account_periods(gl: DataFrame, budget: DataFrame, calendar: DataFrame, cap: Column) -> DataFrame:
+def account_periods(gl: DataFrame, budget: DataFrame, calendar: DataFrame) -> DataFrame:
     """Revenue and expenses per account and month: actual and budget year to date, last year to date."""
-    pick = ("revenue", "expenses")
-    actual = period_table(gl, {n: GL_VALUES[n]() for n in pick}, ["fytd", "py_fytd"], ["account_code"], cap, calendar)
-    planned = period_table(budget, {f"{n}_plan": BUDGET_VALUES[n]() for n in pick}, ["fytd"], ["account_code"], cap, calendar)
+    pick, key = ("revenue", "expenses"), ["account_code"]
+    daily = fold_days(gl, {n: GL_VALUES[n] for n in pick}, key)
+    planned_daily = fold_days(budget, {f"{n}_plan": BUDGET_VALUES[n] for n in pick}, key)
+    cap = as_of_date(daily)
+    actual = period_table(daily, list(pick), ["fytd", "py_fytd"], key, cap, calendar)
+    planned = period_table(planned_daily, [f"{n}_plan" for n in pick], ["fytd"], key, cap, calendar)
     both = align_facts([actual, planned], ["account_code", *_PERIOD])
     return both.select(
         "account_code", *_PERIOD,
@@ -221,8 +238,9 @@ def trend(gl: DataFrame, budget: DataFrame, calendar: DataFrame, metric: str = "
     names = {"Revenue": ("revenue", "revenue_budget"), "Expenses": ("expenses", "expense_budget"),
              "Net Surplus": ("net_surplus", "net_surplus_budget")}
     actual, planned = names[metric]
-    cap = as_of_date(gl)
-    ledger = ledger_periods(gl, calendar, calculations=("current", "py"), cap=cap)
+    daily = fold_days(gl, GL_VALUES)
+    cap = as_of_date(daily)
+    ledger = _ledger_table(daily, calendar, cap, calculations=("current", "py"))
     plan = budget_periods(budget, calendar, cap, calculations=("current",))
     table = align_facts([ledger.select(*_PERIOD, actual, f"{actual}_py"), plan.select(*_PERIOD, planned)], _PERIOD)
     begun = F.col("month_start") <= cap

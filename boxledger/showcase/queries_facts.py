@@ -95,7 +95,7 @@ def fact_gifts(t: Showcase):
                            F.concat(F.lit("C"), F.col("o_orderkey") % 12 + 1).alias("campaign_id"), F.concat(F.lit("F"), F.col("o_custkey") % 5 + 1).alias("fund_id"),
                            dec("o_totalprice").alias("amount"), F.col("o_orderpriority").alias("contribution_type"),
                            F.when(F.col("o_orderstatus") == "O", True).when(F.col("o_orderstatus") == "F", False).alias("is_anonymous"), F.col("o_orderdate").alias("_silver_updated_at"))
-    return facts.fact_gifts(rows, xref(t), t.patrons, t.campaigns.where(F.col("campaign_key") <= 10), t.funds, MARK, AS_OF).drop("loaded_at")
+    return facts.fact_gifts(rows, xref(t), t.patrons, t.campaigns.where(F.col("goal_amount") < 100000000), t.funds, MARK, AS_OF).drop("loaded_at")
 
 
 @query("fact_subscriptions", f"""
@@ -138,20 +138,20 @@ def fact_gl_entry(t: Showcase):
         F.col("date").alias("effective_date"), F.col("date").cast("timestamp_ntz").alias("posted_at"), "account_code", codes.alias("fund_code"),
         F.concat(F.lit("D"), "department_key").alias("department_code"), "debit_amount", "credit_amount", F.lit("d").alias("description"), F.lit("r").alias("reference"),
         F.col("date").cast("timestamp_ntz").alias("_silver_updated_at"))
-    loaded = facts.fact_gl_entry(journal, t.accounts.where(F.col("account_code") != "5600"), t.funds, t.departments.where(F.col("department_key") < 5), MARK, AS_OF)
+    loaded = facts.fact_gl_entry(journal, t.accounts.where(F.col("account_code") != "5600"), t.funds, t.departments.where(F.col("department_name") != "Department 5"), MARK, AS_OF)
     return loaded.drop("loaded_at", "journal_id", "line_number", "session_id", "description", "reference")
 
 
 @query("fact_venue_booking", f"""
-    SELECT event_id AS booking_id, CASE WHEN user_id % 7 <> 0 THEN user_id + 1 ELSE -1 END AS event_key, CASE WHEN event_id % 6 + 1 < 6 THEN event_id % 6 + 1 ELSE -1 END AS room_key,
-           CASE WHEN event_id % 6 + 1 < 6 THEN (event_id % 6 + 1) % 4 + 1 ELSE -1 END AS venue_key, {dkey('ts')} AS booking_date_key, event_type AS booking_type,
+    SELECT event_id AS booking_id, CASE WHEN user_id % 10 <> 0 THEN user_id + 1 ELSE -1 END AS event_key, CASE WHEN event_id % 6 + 1 > 2 THEN event_id % 6 + 1 ELSE -1 END AS room_key,
+           CASE WHEN event_id % 6 + 1 > 2 THEN (event_id % 6 + 1) % 4 + 1 ELSE -1 END AS venue_key, {dkey('ts')} AS booking_date_key, event_type AS booking_type,
            CAST(datediff('minute', ts, ts + INTERVAL 95 MINUTE) / 60.0 AS DECIMAL(6,2)) AS hours_booked, CASE WHEN value > 10 THEN CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) ELSE 0 END AS rental_fee FROM events""",
        money="hours_booked rental_fee")
 def fact_venue_booking(t: Showcase):
     rows = t.events.select(F.col("event_id").alias("booking_id"), F.concat(F.lit("E"), "user_id").alias("event_id"), F.concat(F.lit("R"), F.col("event_id") % 6 + 1).alias("room_id"), F.col("event_type").alias("booking_type"),
                            F.col("ts").alias("start_datetime"), F.timestamp_add("MINUTE", F.lit(95), F.col("ts")).alias("end_datetime"), F.when(F.col("value") > 10, dec("value", 12)).alias("rental_fee"))
-    known = t.venue_events.where((F.col("event_key") - 1) % 7 != 0)
-    return facts.fact_venue_booking(rows, known, t.rooms.where(F.col("room_key") < 6), AS_OF).drop("loaded_at", "start_datetime", "end_datetime")
+    known = t.venue_events.where(F.col("status") != "Cancelled")
+    return facts.fact_venue_booking(rows, known, t.rooms.where(F.col("room_type") == "Studio"), AS_OF).drop("loaded_at", "start_datetime", "end_datetime")
 
 
 @query("fact_budget", "SELECT budget_line_id, date_key, fiscal_year, budget_version, account_key, CASE WHEN account_code < '5000' THEN 1 ELSE 2 END AS fund_key, CASE WHEN account_code < '5000' THEN 1 ELSE 2 END AS department_key, budget_amount FROM budget", ["budget"], money="budget_amount")

@@ -341,7 +341,7 @@ PEOPLE = """
 KEYED = {"people": PEOPLE, "keyed": "SELECT *, email AS email_key, lower(concat_ws('|', first_name, last_name, postal_code)) AS name_zip_key FROM people"}
 KNOWN = {**KEYED,
          "xref": """SELECT source_system, source_id, 'PAT-' || left(sha256(coalesce(email_key, name_zip_key)), 12) AS patron_id, email_key, name_zip_key,
-                    CASE WHEN email_key IS NOT NULL THEN 'new:email' ELSE 'new:name_zip' END AS match_rule FROM keyed WHERE source_id LIKE 'A%'""",
+                    CASE WHEN email_key IS NOT NULL THEN 'new:email' ELSE 'new:name_zip' END AS match_rule FROM keyed WHERE address_line1 IS NOT NULL""",
          "by_email": "SELECT email_key, min(patron_id) AS p FROM xref WHERE email_key IS NOT NULL GROUP BY 1",
          "by_name": "SELECT name_zip_key, min(patron_id) AS p FROM xref GROUP BY 1",
          "matched": """SELECT k.source_system, k.source_id, k.email_key, k.name_zip_key, coalesce(e.p, n.p) AS patron_id, CASE WHEN e.p IS NOT NULL THEN 'email' WHEN n.p IS NOT NULL THEN 'name_zip' END AS match_rule
@@ -371,7 +371,7 @@ def people(t: Showcase):
 
 def first_xref(t: Showcase, keyed):
     empty = t.literal([], identity.XREF_SCHEMA)
-    first = keyed.where(F.col("source_id").startswith("A"))
+    first = keyed.where(F.col("address_line1").isNotNull())
     return identity.append_xref(empty, identity.match_known(first, empty), AS_OF)
 
 
