@@ -20,11 +20,12 @@ RECOMMENDED_CONF = {
     # A third of the rows on one key is the planning assumption, so split earlier than the default
     # factor of 5 would.
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    # Split a hot key even where the grouping after the join then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Full outer joins of pre-aggregated legs are small; everything else is decided by size.
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
