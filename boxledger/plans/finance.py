@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import conditional_sum, favourable_variance, fiscal_year, month_start
+from ..functions import favourable_variance, fiscal_year, month_start
 from ..operators.aggregate import running_balance, union_all
 from ..operators.joins import full_outer_align, inner_star, note_join
 

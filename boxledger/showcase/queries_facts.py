@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import changes, facts
 from .queries_model import XREF, xref
 from .registry import query
-from .sql import dkey, fy, mstart
+from .sql import dkey, fy
 from .tables import AS_OF, Showcase, dec
 
 MARK = "1998-01-01 00:00:00"

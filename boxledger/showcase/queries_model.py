@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fiscal_year, month_start
-from ..operators import changes, dimensions, facts, joins
+from ..operators import changes, dimensions, joins
 from .registry import query
 from .sql import dkey, fy, money, mstart
-from .tables import AS_OF, Showcase, dec
+from .tables import Showcase, dec
 
 # ---------------------------------------------------------------- joins
 

@@ -299,7 +299,7 @@ def run_log_lines(t: Showcase):
 @query("load_gold", "SELECT 'dim.venue' AS target, count(*) + 1 AS n FROM nation UNION ALL SELECT 'dim.channel', count(DISTINCT o_orderpriority) + 1 FROM orders UNION ALL SELECT 'fact.gifts', count(*) FROM orders")
 def load_gold(t: Showcase):
     """Three steps of the ordered load, each logged; counts are read back from the gold tables."""
-    from ..operators import dimensions, facts
+    from ..operators import dimensions
     lake = daily.Lake(t.spark, work_path(t.spark, "gold-lake"))
     venues = t.nation.select(F.concat(F.lit("V"), "n_nationkey").alias("venue_id"), F.col("n_name").alias("venue_name"), F.lit(10).alias("capacity"))
     gifts = t.orders.select(F.col("o_orderkey").alias("gift_id"), dec("o_totalprice").alias("amount"))

@@ -12,7 +12,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import date_key, fiscal_year, hours_booked, month_start
-from ..operators.aggregate import union_all
 from ..operators.dimensions import calendar_bounds, fiscal_calendar, static_lookup
 from ..operators.facts import fact_budget
 from ..operators.joins import point_in_time_join, self_join_prior

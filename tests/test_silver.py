@@ -3,7 +3,6 @@ from __future__ import annotations
 from decimal import Decimal as D
 
 import pytest
-from pyspark.sql import functions as F
 
 from boxledger.contracts import Rule, TableContract, load_contracts
 from boxledger.operators import changes, clean, quality
