@@ -1,6 +1,6 @@
 """Training-data operators: ten components, each with a query in its own module."""
 
-from . import packing
+from . import chat, packing
 from .registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "packing"]
+__all__ = ["ORACLE_SQL", "QUERIES", "chat", "packing"]

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .registry import register, table
 from .tokens import encoder
+from .workers import map_arrow
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
@@ -133,7 +134,8 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024, grain: i
         if loose:
             yield out(settle(loose))
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return map_arrow(picked, run, schema)
 
 
 def vocabulary() -> str:
