@@ -1,6 +1,6 @@
 """Training-data operators: ten components, each with a query in its own module."""
 
-from . import chat, packing, toxicity
+from . import chat, packing, quality, toxicity
 from .registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "chat", "packing", "toxicity"]
+__all__ = ["ORACLE_SQL", "QUERIES", "chat", "packing", "quality", "toxicity"]
