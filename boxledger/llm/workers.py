@@ -9,6 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from boxledger.session import work_path
+
 _shipped: set[str] = set()
 
 
@@ -33,3 +35,10 @@ def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with the package at hand on every executor."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written below the shared folder and read again: later steps survive the loss of any executor."""
+    path = work_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
