@@ -1,6 +1,6 @@
 """Training-data operators: ten components, each with a query in its own module."""
 
-from . import chat, near_dup, packing, quality, toxicity
+from . import chat, near_dup, packing, quality, substring_dedup, toxicity
 from .registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "chat", "near_dup", "packing", "quality", "toxicity"]
+__all__ = ["ORACLE_SQL", "QUERIES", "chat", "near_dup", "packing", "quality", "substring_dedup", "toxicity"]

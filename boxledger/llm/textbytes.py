@@ -124,6 +124,10 @@ def windows(values: np.ndarray, bounds: np.ndarray, size: int, seed: int = 1) ->
     counts = np.maximum(np.diff(bounds) - size + 1, 0)
     out_bounds = np.concatenate(([0], np.cumsum(counts)))
     start = np.repeat(bounds[:-1] - out_bounds[:-1], counts) + np.arange(out_bounds[-1])
+    if size > 8:  # prefix sums of powers, shifted back: the cost does not grow with the size
+        prefix = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * _power("up", len(values)), out=prefix[1:])
+        return mix((prefix[start + size] - prefix[start]) * _power("down", len(values) + 1)[start] + np.uint64(seed)), out_bounds
     total = np.full(len(start), seed, np.uint64)
     for k in range(size):
         total = total * _BASE + values[start + k]
@@ -139,3 +143,12 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def unit(hashes: np.ndarray) -> np.ndarray:
     """Hashes as numbers in the open interval from 0 to 1."""
     return ((hashes >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+
+
+def joined(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a slice joined by single spaces, and where each starts (one past the last word's space at the end)."""
+    sizes = words.ends - words.starts
+    starts = np.concatenate(([0], np.cumsum(sizes + 1)))
+    out = np.full(starts[-1], 0x20, np.uint8)
+    out[ragged(starts[:-1], sizes)] = words.data[ragged(words.starts, sizes)]
+    return out, starts
