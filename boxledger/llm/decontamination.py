@@ -153,9 +153,15 @@ n_items AS (SELECT count(DISTINCT item_id) AS n FROM item_shingles),
 weights AS (
     SELECT s, CAST(round(1000 * ln(1 + any_value(n) / count(DISTINCT item_id))) AS BIGINT) AS weight
     FROM item_shingles, n_items GROUP BY s),
-starts AS (
-    SELECT DISTINCT d.id AS doc_id, i.item_id, i.n_words, greatest(0, UNNEST(range(d.pos + 5 - i.n_words, d.pos + 1))) AS start
+alignments AS (
+    SELECT DISTINCT d.id AS doc_id, i.item_id, i.n_words, d.pos - i.place AS start
     FROM shingles d JOIN item_shingles i USING (s) WHERE d.kind = 'd'),
+followed AS (
+    SELECT *, lead(start) OVER (PARTITION BY doc_id, item_id ORDER BY start) AS following FROM alignments),
+starts AS (
+    SELECT DISTINCT doc_id, item_id, n_words, greatest(0, UNNEST(range(start,
+        CASE WHEN following - start <= ceil(n_words * 0.2) + 1 THEN following ELSE start + 1 END))) AS start
+    FROM followed),
 window_counts AS (
     SELECT doc_id, item_id, t.n_words, start, d.s, count(*) AS n
     FROM starts t JOIN shingles d ON d.kind = 'd' AND d.id = t.doc_id AND d.pos >= start AND d.pos + 5 <= start + t.n_words
