@@ -10,18 +10,17 @@ from .workers import stored
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, label`` for every node of ``edges``; the label is the smallest node that can be reached.
 
-    Every round each node takes the smallest label among its neighbours and then its label's label, so the number of
-    rounds grows with the logarithm of a component's width.  Labels are written each round; nothing is collected.
+    Every round each node takes the smallest label among its neighbours, or that label's own if it is smaller still, so
+    labels jump ahead along chains.  Labels are written each round; nothing is collected.
     """
     both = stored(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(b, a)).filter("u <> v").distinct(), "edges")
-    labels = stored(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("least"))
-                    .select("node", F.least("node", "least").alias("label")), "labels")
-    while True:
+    labels = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("least"))
+    labels = stored(labels.select("node", F.least("node", "least").alias("label"), F.lit(True).alias("moved")), "labels")
+    while not labels.filter("moved").isEmpty():
         near = (both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("u").alias("node"))
                 .agg(F.min("label").alias("near")))
-        hooked = stored(labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next")), "labels")
-        jump = hooked.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        moved = stored(hooked.join(jump, "next").select("node", F.col("far").alias("label"), (F.col("far") != F.col("label")).alias("moved")), "labels")
-        labels = moved.select("node", "label")
-        if moved.filter("moved").isEmpty():
-            return labels
+        hooked = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
+        ahead = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
+        far = F.least("next", "far")
+        labels = stored(hooked.join(ahead, "next").select("node", far.alias("label"), (far != F.col("label")).alias("moved")), "labels")
+    return labels.select("node", "label")

@@ -7,8 +7,10 @@ estimates its similarity and filters, and links are confirmed on full sets.
 Which lists: two similar nodes share many retained values, so they share one even among the rarest of each (the prefix
 that remains when the smallest possible overlap is taken off).  Only those prefixes are listed, which keeps passages
 shared by unlike documents out of the lists.  A short list gives all its pairs.  A long one is a family of near copies:
-its members are compared with one of them; only members outside the family's largest component are then compared with
-the others, so no link between components is missed and no list gives all its pairs.
+its members are compared with its centre, the member with the fewest shingles of its own.  Only members outside the
+family's largest component are then compared with the others, and of these only those that share enough shingles with
+the families at all to be linked: a member's shared shingles bound its intersection with any other.  So no link between
+components is missed, and no list gives all its pairs.
 
 The chance that a pair's overlap falls below the bound is that of ``SIGMAS`` standard deviations, about one in 10^7.
 """
@@ -30,8 +32,6 @@ from .workers import map_arrow, stored
 SIGMAS = 5.5
 #: Lists up to this length give all their pairs.
 SHORT_LIST = 16
-#: Comparisons per list member that outliers may cost before another member is tried as the family's centre.
-PATIENCE = 8
 
 
 def shingle_sets(words, size: int) -> Iterator[np.ndarray]:
@@ -73,13 +73,15 @@ def sketches(docs: DataFrame, *, k: int, size: int, id_col: str, text_col: str)
 
 
 def full_sets(docs: DataFrame, *, size: int) -> DataFrame:
-    """``node, values`` of the rows of ``docs`` (columns ``node`` and ``text``)."""
+    """``node, own, values`` of the rows of ``docs`` (columns ``node`` and ``text``); ``own`` is the text's real node."""
     def run(batches):
         for batch in batches:
-            values = [v.view(np.int64) for part in split_words(batch.column(1), lower=True) for v in shingle_sets(part, size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.list_(pa.int64()))], ["node", "values"])
+            values = [v for part in split_words(batch.column(1), lower=True) for v in shingle_sets(part, size)]
+            own = [node_of(v) if len(v) else None for v in values]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.int64()), pa.array([v.view(np.int64) for v in values], pa.list_(pa.int64()))],
+                                             ["node", "own", "values"])
 
-    return map_arrow(docs.select("node", "text"), run, "node long, values array<long>")
+    return map_arrow(docs.select("node", "text"), run, "node long, own long, values array<long>")
 
 
 class _Linker:
@@ -90,6 +92,13 @@ class _Linker:
         t = percent / 100
         self.least = t - SIGMAS * math.sqrt(t * (1 - t) / k)
 
+    def sets_of(self, wanted: DataFrame) -> DataFrame:
+        """``node, values``: the full sets of the wanted nodes, each from one document that has it."""
+        chosen = wanted.join(self.nodes.select("node", F.col("doc").alias("doc_id")), "node")
+        texts = self.docs.join(chosen, "doc_id").select("node", "text")
+        sets = full_sets(texts, size=self.size)
+        return stored(sets.filter("node = own").select("node", "values").dropDuplicates(["node"]), "sets")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` whose similarity reaches the threshold, written once."""
         side = lambda x: self.nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
@@ -99,9 +108,7 @@ class _Linker:
         both = both.withColumn("union", union)
         shared = F.size(F.array_intersect(F.array_intersect("union", "s_a"), F.col("s_b")))
         likely = stored(both.filter(shared >= F.size("union") * self.least).select("a", "b", "n_a", "n_b"), "likely")
-        needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct().join(self.nodes.select("node", "doc"), "node")
-        texts = self.docs.join(needed.select("node", F.col("doc").alias("doc_id")), "doc_id").select("node", "text", "doc_id")
-        sets = stored(full_sets(texts, size=self.size).join(needed.select("node"), "node", "left_semi"), "sets")
+        sets = self.sets_of(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct())
         side = lambda x: sets.select(F.col("node").alias(x), F.col("values").alias(f"v_{x}"))
         exact = likely.join(side("a"), "a").join(side("b"), "b").withColumn("same", F.size(F.array_intersect("v_a", "v_b")))
         return stored(exact.filter(F.col("same") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("same")) * self.percent).select("a", "b").distinct(), "links")
@@ -114,12 +121,12 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, k: int = 48, size: in
     Rows are linked when ``100 * |intersection| >= percent * |union|`` of their sets of ``size``-word shingles (A-Z
     lower-cased).  ``component_id`` is the smallest id that can be reached over links, the row's own included; ``kept``
     says that it is the row's own.  Rows without words, null texts among them, are linked with nothing.  Repeated rows
-    are exact copies.  A row with a null id takes part as a link; its component is null, and it is not kept, unless a
-    row with an id can be reached, whose id it then gets.  Other columns are ignored.  No rows give no rows.
+    are exact copies.  A row with a null id links nothing itself: it gets the component of the rows with its set, null if
+    there is none, and is not kept.  Other columns are ignored.  No rows give no rows.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     drawn = stored(sketches(source, k=k, size=size, id_col="doc_id", text_col="text"), "sketches")
-    nodes = stored(drawn.filter("node is not null").groupBy("node").agg(
+    nodes = stored(drawn.filter("node is not null and doc_id is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "nodes")
 
     t = percent / 100
@@ -138,32 +145,33 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, k: int = 48, size: in
     one = short.select("value", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"))
     two = short.select("value", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"))
     pairs = one.join(two, "value").filter((F.col("a") < F.col("b")) & like("a", "b")).select("a", "b")
-    long = listed.join(lengths.filter(F.col("length") > SHORT_LIST).select("value", "length", "centre"), "value")
-    stars = long.filter(F.col("node") != F.col("centre")).select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    stars, long = _stars(listed, lengths, linker, percent)
     links = linker.links(pairs.union(stars).distinct())
     labels = components(links)
 
-    tried = 0
-    while not lengths.filter(F.col("length") > SHORT_LIST).isEmpty():
-        member = stored(long.drop("centre").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "members")
-        families = member.groupBy("value", "label").agg(F.count("*").alias("n"))
-        main = families.groupBy("value").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"))
-        main = main.filter("n_main < n_all")
-        outside = stored(member.join(main, "value").filter("label <> main").select(
-            "value", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("label").alias("l_a")), "outside")
-        work = member.join(main, "value").agg(F.sum(F.col("n_all") - F.col("n_main")), F.count("*")).first()
-        if not work[1]:
-            break
-        every = member.select("value", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("label").alias("l_b"))
-        last = work[0] <= PATIENCE * work[1] or tried >= 6
-        if not last:  # try one more centre: an outside member per list, another one each time
-            outside = outside.groupBy("value").agg(F.min_by(F.struct("a", "n_a", "l_a"), F.xxhash64("a", F.lit(tried))).alias("x")).select("value", "x.*")
-        more = outside.join(every, "value").filter((F.col("l_a") != F.col("l_b")) & like("a", "b"))
-        links = stored(links.union(linker.links(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))), "links")
-        labels = components(links)
-        tried += 1
-        if last:
-            break
+    member = stored(long.drop("centre", "s_centre", "n_centre").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "members")
+    families = member.groupBy("value", "label").agg(F.count("*").alias("n"), F.min("n_shingles").alias("least"))
+    main = families.groupBy("value").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("n_labels"), F.min("least").alias("least"))
+    outside = member.join(main.filter("n_labels > 1"), "value").filter("label <> main")
+    # The other node has no fewer shingles than the least of the list, or than `percent` of this one's.
+    other = F.greatest(F.col("least") * 100, F.col("n_shingles") * percent)
+    outside = outside.filter(F.col("shared") * (100 + percent) * 100 >= percent * (F.col("n_shingles") * 100 + other))
+    one = outside.select("value", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("shared").alias("s_a"), F.col("label").alias("l_a"))
+    two = member.select("value", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("shared").alias("s_b"), F.col("label").alias("l_b"))
+    enough = F.least("s_a", "s_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
+    more = one.join(two, "value").filter((F.col("l_a") != F.col("l_b")) & like("a", "b") & enough)
+    more = stored(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "outside")
+    if not more.isEmpty():
+        late = linker.links(more)
+        if not late.isEmpty():  # components of components
+            known = labels.withColumnRenamed("label", "of")
+            ends = late.join(known.withColumnRenamed("node", "a").withColumnRenamed("of", "of_a"), "a", "left")
+            ends = ends.join(known.withColumnRenamed("node", "b").withColumnRenamed("of", "of_b"), "b", "left")
+            ends = stored(ends.select("a", "b", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")), "late")
+            again = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+            alone = ends.select(F.col("a").alias("node"), F.col("of_a").alias("of")).union(ends.select("b", "of_b")).distinct()
+            every = labels.select("node", F.col("label").alias("of")).union(alone).distinct()
+            labels = stored(every.join(again.withColumnRenamed("node", "of"), "of", "left").select("node", F.coalesce("label", "of").alias("label")), "labels")
 
     named = nodes.select("node", "doc").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc").alias("component_id"))
@@ -173,6 +181,22 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, k: int = 48, size: in
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
+def _stars(listed: DataFrame, lengths: DataFrame, linker: _Linker, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of each long list's centre with its members, and the members with ``shared``: how many of a node's shingles
+    any other member of a long list has."""
+    long = stored(listed.join(lengths.filter(F.col("length") > SHORT_LIST).select("value"), "value"), "long")
+    sets = linker.sets_of(long.select("node").distinct())
+    each = sets.select("node", F.explode("values").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1").select("shingle")
+    shared = each.join(often, "shingle").groupBy("node").agg(F.count("*").alias("shared"))
+    long = stored(long.join(shared, "node", "left").withColumn("shared", F.coalesce("shared", F.lit(0))), "long")
+    centre = F.max_by(F.struct(F.col("node").alias("centre"), F.col("shared").alias("s_centre"), F.col("n_shingles").alias("n_centre")),
+                      F.struct(F.col("shared") / F.col("n_shingles"), -F.col("node")))
+    long = long.join(long.groupBy("value").agg(centre.alias("c")).select("value", "c.*"), "value")
+    enough = F.least("shared", "s_centre") * (100 + percent) >= percent * (F.col("n_shingles") + F.col("n_centre"))
+    return long.filter((F.col("node") != F.col("centre")) & enough).select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")), long
+
+
 @register("op3_minhash_near_dedup")
 def op3_minhash_near_dedup(spark, sf_dir):
     """Components of documents whose word shingles are at least 85 % alike."""
