@@ -89,10 +89,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, similarity: float = 0.8, rad
         part = windows.filter(F.col("size") == size).join(own, "row")
         low = F.greatest(F.col("start"), F.lit(0))
         high = F.least(F.col("start") + F.col("n_words"), F.col("n"))
-        part = part.withColumn("begin", low).withColumn("parts", F.slice("all", F.col("begin") + 1, F.greatest(high - low - size + 1, F.lit(0))))
-        part = part.select("row", "item_id", "n_words", "begin", F.explode("parts").alias("shingle"))
+        part = part.withColumn("parts", F.slice("all", low + 1, F.greatest(high - low - size + 1, F.lit(0))))
+        part = part.select("row", "item_id", "n_words", "start", F.explode("parts").alias("shingle"))
         placed = part if placed is None else placed.unionByName(part)
-    key = ["row", "item_id", "n_words", "begin"]
+    key = ["row", "item_id", "n_words", "start"]
     counted = placed.groupBy(*key, "shingle").agg(F.count("*").alias("n"))
     counted = stored(counted.join(small(weights), "shingle", "left").withColumn("weight", F.coalesce("weight", F.lit(default)) * F.col("n")), "windows")
     item_counts = pieces.groupBy("item_id", "n_words", "shingle").agg(F.count("*").alias("n_item")).join(small(weights), "shingle")
@@ -111,7 +111,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, similarity: float = 0.8, rad
     scored = scored.join(small(totals), ["item_id", "n_words"])
     scored = scored.withColumn("similarity", F.round(F.col("same") / (F.col("total") + F.col("total_item") - F.col("same")), 6))
     named = scored.filter(F.col("similarity") >= similarity).join(leaking.select("row", "doc_id"), "row")
-    best = F.max_by(F.struct(F.col("begin").cast("long").alias("start"), "similarity"), F.struct(F.col("similarity"), -F.col("begin")))
+    best = F.max_by(F.struct(F.greatest("start", F.lit(0)).cast("long").alias("start"), "similarity"), F.struct(F.col("similarity"), -F.col("start")))
     return named.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.start", "best.similarity")
 
 
@@ -159,8 +159,8 @@ alignments AS (
 followed AS (
     SELECT *, lead(start) OVER (PARTITION BY doc_id, item_id ORDER BY start) AS following FROM alignments),
 starts AS (
-    SELECT DISTINCT doc_id, item_id, n_words, greatest(0, UNNEST(range(start,
-        CASE WHEN following - start <= ceil(n_words * 0.2) + 1 THEN following ELSE start + 1 END))) AS start
+    SELECT DISTINCT doc_id, item_id, n_words, UNNEST(range(start,
+        CASE WHEN following - start <= ceil(n_words * 0.2) + 1 THEN following ELSE start + 1 END)) AS start
     FROM followed),
 window_counts AS (
     SELECT doc_id, item_id, t.n_words, start, d.s, count(*) AS n
@@ -176,7 +176,7 @@ scored AS (
     GROUP BY ALL),
 ratios AS (
     SELECT doc_id, item_id, start, round(same / (s.total + t.total - same), 6) AS similarity FROM scored s JOIN item_totals t USING (item_id))
-SELECT doc_id, item_id, arg_max(start, similarity * 1e9 - start) AS start, max(similarity) AS similarity
+SELECT doc_id, item_id, greatest(0, arg_max(start, similarity * 1e9 - start)) AS start, max(similarity) AS similarity
 FROM ratios WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 """
 
