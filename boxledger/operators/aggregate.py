@@ -96,9 +96,9 @@ def top_n(df: DataFrame, n: int, order: str) -> DataFrame:
     return df.where((F.col(order) >= boundary) | (filled < n))
 
 
-def top_1(df: DataFrame, ts: str) -> DataFrame:
-    """The newest row."""
-    return df.orderBy(F.col(ts).desc_nulls_last()).limit(1)
+def top_1(df: DataFrame, ts: str, tie_break: Sequence[str] = ()) -> DataFrame:
+    """The newest row; of rows with the same time the first by ``tie_break``."""
+    return df.orderBy(F.col(ts).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break]).limit(1)
 
 
 def union_all(frames: Sequence[DataFrame], columns: Mapping[str, str] | None = None) -> DataFrame:

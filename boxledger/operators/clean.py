@@ -39,7 +39,7 @@ def add_missing_meta(df: DataFrame, change_column: str | None, as_of) -> DataFra
     have = set(df.columns)
     ingested = F.col("_ingested_at") if "_ingested_at" in have else (
         F.col(change_column) if change_column else F.lit(as_of)
-    ).cast("timestamp")
+    ).try_cast("timestamp")
     stamped = df.withColumn("_ingested_at", ingested)
     return stamped if "_load_date" in have else stamped.withColumn("_load_date", F.to_date("_ingested_at"))
 

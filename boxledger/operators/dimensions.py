@@ -139,9 +139,16 @@ def number_in_order(df: DataFrame, order: str, name: str) -> DataFrame:
 def assign_surrogate_keys(dim: DataFrame, new: DataFrame, business_id: str, key: str) -> DataFrame:
     """Add unseen members with the next keys, numbered in the order of the business id.
 
-    Existing keys never move.  The unknown member's -1 does not count towards the maximum.
+    Existing keys never move.  The unknown member's -1 does not count towards the maximum.  An id that arrives more than
+    once gets one key; of its rows the smallest in column order stays.
     """
     unseen = new.where(F.col(business_id).isNotNull()).join(dim.select(business_id), business_id, "left_anti")
+    others = [c for c in unseen.columns if c != business_id]
+    if others:
+        first = unseen.groupBy(business_id).agg(F.min(F.struct(*others)).alias("_first"))
+        unseen = first.select(business_id, *[F.col(f"_first.{c}").alias(c) for c in others])
+    else:
+        unseen = unseen.distinct()
     top = F.coalesce(dim.where(F.col(key) > 0).agg(F.max(key)).scalar(), F.lit(0))
     numbered = number_in_order(unseen, business_id, "_number")
     keyed = numbered.withColumn(key, (F.col("_number") + top).cast(dim.schema[key].dataType))

@@ -159,6 +159,10 @@ class Gate:
     quarantine: DataFrame | None
     flagged: DataFrame
 
+    def release(self) -> None:
+        """Give back what ``persist=True`` keeps; call it after the three outcomes are written."""
+        self.flagged.unpersist()
+
 
 def apply_dq(df: DataFrame, entity: str, rules: Sequence[Rule], *, restricted: Sequence[str] = (),
              references: Mapping[str, DataFrame] | None = None, run_id: str = "", as_of=None,

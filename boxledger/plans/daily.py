@@ -1,31 +1,40 @@
 """The daily run: land, check, clean, and load the star in order.
 
-Independent tables share nothing but logs, so a caller may run :func:`process_entity` for several of them from a small
-thread pool under Spark's FAIR scheduler; scheduling itself stays outside.
+Independent tables share nothing but logs, where every line is a batch of its own, so a caller may run
+:func:`process_entity` for several of them from a small thread pool under Spark's FAIR scheduler; scheduling itself stays
+outside.  ``as_of`` is the run's logical time; the start and end of each step come from ``clock``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..contracts import Contracts, Rule, TableContract
 from ..operators.aggregate import require_no_mismatch, rowcount_reconcile
-from ..operators.changes import latest_per_key, upsert
+from ..operators.changes import delete_insert, latest_per_key, upsert
+from ..operators.identity import resolve_identities
 from ..operators.clean import add_missing_meta, conform, filter_pending, with_row_hash
 from ..operators.quality import apply_dq
 from ..sources.landing import add_lineage, available_days, pending_partitions, read_landing_csv, read_landing_json, read_manifests
 from ..sources.logs import load_log, log_ingest, log_run
-from ..sources.tables import _newest, append_bronze, delete_folder, list_folder, local_table, overwrite_table, read_bronze, read_table, stage_table, table_exists
+from ..sources.tables import _newest, append_batch, append_bronze, delete_folder, has_batches, local_table, overwrite_table, read_bronze, read_table, stage_table, table_exists
 
-__all__ = ["Lake", "Step", "ingest_landing", "check_landing", "process_entity", "load_gold", "run_daily"]
+__all__ = ["Lake", "Step", "utc_now", "ingest_landing", "check_landing", "process_entity", "load_identities", "load_gold", "run_daily"]
 
 VERSIONED = ("silver", "gold")
 
 
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+Clock = Callable[[], datetime]
+
+
 class Lake:
     """Where the tables of a run live: landing, bronze (append), silver and gold (versioned), logs and quality tables."""
 
@@ -42,7 +51,7 @@ class Lake:
     def exists(self, layer: str, name: str) -> bool:
         if layer in VERSIONED:
             return table_exists(self.spark, self.path(layer, name))
-        return any(n.startswith("part-") for n in list_folder(self.spark, self.path(layer, name)))
+        return has_batches(self.spark, self.path(layer, name))
 
     def read(self, layer: str, name: str) -> DataFrame:
         if layer in VERSIONED:
@@ -54,10 +63,11 @@ class Lake:
 
 
 def ingest_landing(lake: Lake, source: str, contract: TableContract, format: str, run_id: str, as_of: datetime,
-                   load_date: str | None = None, reprocess: bool = False) -> list[str]:
+                   load_date: str | None = None, reprocess: bool = False, clock: Clock = utc_now) -> list[str]:
     """Append every landed day of one table that the log does not have.  Returns the days loaded.
 
-    A day counts as loaded even when its file is empty.
+    A day counts as loaded even when its file is empty.  A day is one batch, so a run that stopped between the append and
+    its log line replaces the day's rows when it is tried again; ``reprocess`` adds another batch.
     """
     spark = lake.spark
     days = [(contract.key, d) for d in available_days(spark, lake.landing(source), contract.name)]
@@ -67,15 +77,16 @@ def ingest_landing(lake: Lake, source: str, contract: TableContract, format: str
     todo = pending_partitions(listed, lake.get("audit", "ingest_log"), [contract.key], load_date, reprocess)
     done = []
     for day in sorted(r["load_date"] for r in todo.collect()):
+        started = clock()
         read = read_landing_csv if format == "csv" else read_landing_json
         raw = read(spark, f"{lake.landing(source)}/{contract.name}/load_date={day}")
         stamped = add_lineage(raw, day, run_id, as_of)
         rows = 0 if len(raw.columns) <= 1 else raw.count()
         if rows:
-            append_bronze(stamped, lake.path("bronze", contract.key))
+            append_bronze(stamped, lake.path("bronze", contract.key), f"{day}-{run_id}" if reprocess else day)
         log_ingest(spark, lake.path("audit", "ingest_log"), contract.key, day, rows, run_id, as_of)
         log_run(spark, lake.path("audit", "run_log"), run_id=run_id, step="ingest_landing", entity=contract.key, stage="bronze",
-                rows_in=rows, rows_out=rows, started_at=as_of, ended_at=as_of)
+                rows_in=rows, rows_out=rows, started_at=started, ended_at=clock())
         done.append(day)
     return done
 
@@ -91,18 +102,19 @@ def check_landing(lake: Lake, manifest_paths: Sequence[str], as_of: datetime) ->
 
 
 def process_entity(lake: Lake, contract: TableContract, rules: Sequence[Rule], run_id: str, as_of: datetime,
-                   references: Mapping[str, DataFrame] | None = None, full_refresh: bool = False) -> str:
+                   references: Mapping[str, DataFrame] | None = None, full_refresh: bool = False, clock: Clock = utc_now) -> str:
     """Bronze to silver for one table: increment, type, newest version, gate, fingerprint, upsert, mark, log.
 
     Returns ``Succeeded`` or ``Skipped``.  The gated increment is staged once in the shared folder and feeds results,
-    quarantine and the upsert.  The mark is committed together with the new version.
+    quarantine and the upsert.  The mark is committed together with the new version, and only if no other version was
+    committed meanwhile.  Rows whose change value is no timestamp never load; the log counts them.
     """
-    spark, key = lake.spark, contract.key
+    spark, key, started = lake.spark, contract.key, clock()
     run_log = lake.path("audit", "run_log")
 
     def log(rows_in=0, rows_out=0, bad=0, status="Succeeded", message=""):
         log_run(spark, run_log, run_id=run_id, step="process_entity", entity=key, stage="silver", rows_in=rows_in,
-                rows_out=rows_out, rows_quarantined=bad, status=status, message=message, started_at=as_of, ended_at=as_of)
+                rows_out=rows_out, rows_quarantined=bad, status=status, message=message, started_at=started, ended_at=clock())
 
     bronze = lake.get("bronze", key)
     if bronze is None:
@@ -112,16 +124,17 @@ def process_entity(lake: Lake, contract: TableContract, rules: Sequence[Rule], r
     df = add_missing_meta(bronze, change, as_of)
     target_path = lake.path("silver", key)
     committed = _newest(spark, target_path)
-    mark = None
+    mark, unread = None, 0
     if change:
-        df = df.withColumn("_change", F.col(change).cast("timestamp"))
+        df = df.withColumn("_change", F.col(change).try_cast("timestamp"))
+        unread = df.filter(F.col(change).isNotNull() & F.col("_change").isNull()).count()
         if committed is not None and not full_refresh:
             df = filter_pending(df, "_change", committed["high_water_mark"])
         seen = df.agg(F.max("_change").alias("mark"), F.count(F.lit(1)).alias("n")).first()
         mark, rows_in = seen["mark"], seen["n"]
         df = df.drop("_change")
         if mark is None:
-            log(message="checked: nothing new")
+            log(message="checked: nothing new" + (f"; {unread} change values are no timestamp" if unread else ""))
             return "Succeeded"
     else:
         rows_in = df.count()
@@ -132,28 +145,82 @@ def process_entity(lake: Lake, contract: TableContract, rules: Sequence[Rule], r
     staged = stage_table(newest, staging)
     gate = apply_dq(staged, key, rules, restricted=contract.restricted, references=references, run_id=run_id, as_of=as_of)
     if gate.results is not None:
-        gate.results.write.mode("append").parquet(lake.path("dq", "results"))
-        gate.quarantine.write.mode("append").parquet(lake.path("dq", "quarantine"))
+        append_batch(gate.results, lake.path("dq", "results"), f"{key}-{run_id}")
+        append_batch(gate.quarantine, lake.path("dq", "quarantine"), f"{key}-{run_id}")
     columns = list(contract.columns)
     source = with_row_hash(gate.valid, columns).select(
         *columns, "_row_hash", "_load_date", F.lit(as_of).cast("timestamp").alias("_silver_updated_at"))
     counts = staged.agg(F.count(F.lit(1)).alias("n")).first()["n"], source.count()
-    overwrite_table(upsert(lake.get("silver", key), source, contract.primary_key), target_path, as_of, mark)
-    log(rows_in, counts[1], counts[0] - counts[1])
+    overwrite_table(upsert(lake.get("silver", key), source, contract.primary_key), target_path, as_of, mark,
+                    expected=committed["number"] if committed else 0)
+    log(rows_in, counts[1], counts[0] - counts[1], message=f"{unread} change values are no timestamp" if unread else "")
     delete_folder(spark, staging)
     return "Succeeded"
 
 
+def load_identities(lake: Lake, candidates: DataFrame, empty_xref: str, run_id: str, as_of: datetime, clock: Clock = utc_now) -> None:
+    """Match one batch of person records and commit the cross-reference and the people.
+
+    ``empty_xref`` is the DDL of a cross-reference that does not exist yet.
+    """
+    started = clock()
+    xref = lake.get("silver", "person_xref")
+    linked, _ = resolve_identities(candidates, xref if xref is not None else local_table(lake.spark, [], empty_xref), as_of)
+    overwrite_table(linked, lake.path("silver", "person_xref"), as_of)
+    # The people follow from the committed cross-reference, so that matching is not done twice.
+    _, people = resolve_identities(candidates, lake.read("silver", "person_xref"), as_of)
+    overwrite_table(people, lake.path("silver", "people"), as_of)
+    rows = lake.read("silver", "people").count()
+    log_run(lake.spark, lake.path("audit", "run_log"), run_id=run_id, step="load_identities", entity="people", stage="silver",
+            rows_in=rows, rows_out=rows, started_at=started, ended_at=clock())
+
+
 @dataclass(frozen=True)
 class Step:
-    """One target of the gold load.  ``build`` gets a reader ``(target, ddl) -> frame`` for tables built so far."""
+    """One target of the gold load.  ``build`` gets a reader ``(target, ddl) -> frame`` for tables built so far.
+
+    A step with ``keys`` is incremental: ``build`` also gets the target's mark (None at first) and returns the changed
+    rows, whose old versions are replaced by key, and ``top`` returns the highest change value to be read before.
+    """
 
     target: str
-    build: Callable[[Callable[..., DataFrame]], DataFrame]
+    build: Callable[..., DataFrame]
+    keys: Sequence[str] = ()
+    top: Callable[[Callable[..., DataFrame]], datetime | None] | None = None
+
+
+def _load_step(lake: Lake, step: Step, reader, as_of: datetime) -> tuple[int, int, int]:
+    """Rows inserted, updated and deleted."""
+    path = lake.path("gold", step.target)
+    committed = _newest(lake.spark, path)
+    number = committed["number"] if committed else 0
+    if not step.keys:
+        before = lake.read("gold", step.target).count() if committed else 0
+        overwrite_table(step.build(reader), path, as_of, expected=number)
+        return lake.read("gold", step.target).count(), 0, before
+    old = committed["high_water_mark"] if committed else None
+    top = step.top(reader) if step.top else None
+    if committed and top is not None and old is not None and top <= old:
+        return 0, 0, 0
+    staging = lake.path("stage", f"gold-{step.target}")
+    changed = stage_table(step.build(reader, old), staging)
+    arrived = changed.count()
+    if committed is None:
+        updated = 0
+        overwrite_table(changed, path, as_of, top, expected=number)
+    else:
+        target = lake.read("gold", step.target)
+        updated = target.join(changed.select(*step.keys).distinct(), list(step.keys), "left_semi").count()
+        overwrite_table(delete_insert(target, changed, list(step.keys)), path, as_of, top or old, committed["partition_by"], expected=number)
+    delete_folder(lake.spark, staging)
+    return max(arrived - updated, 0), min(updated, arrived), max(updated - arrived, 0)
+
 
+def load_gold(lake: Lake, steps: Sequence[Step], run_id: str, as_of: datetime, run_by: str = "", clock: Clock = utc_now) -> None:
+    """Run the steps in order.  The first failure is logged and stops the load; earlier steps stay loaded.
 
-def load_gold(lake: Lake, steps: Sequence[Step], run_id: str, as_of: datetime, run_by: str = "") -> None:
-    """Run the steps in order.  The first failure is logged and stops the load; earlier steps stay loaded."""
+    An incremental step's mark is committed with its rows.
+    """
     spark = lake.spark
     log_path = lake.path("audit", "load_log")
 
@@ -164,25 +231,29 @@ def load_gold(lake: Lake, steps: Sequence[Step], run_id: str, as_of: datetime, r
         return existing if existing is not None else local_table(spark, [], ddl)
 
     for step in steps:
+        started = clock()
         try:
-            overwrite_table(step.build(reader), lake.path("gold", step.target), as_of)
-            rows = lake.read("gold", step.target).count()
-            load_log(spark, log_path, run_id=run_id, step=f"load {step.target}", target=step.target, inserted=rows,
-                     started_at=as_of, ended_at=as_of, run_by=run_by)
+            inserted, updated, deleted = _load_step(lake, step, reader, as_of)
+            load_log(spark, log_path, run_id=run_id, step=f"load {step.target}", target=step.target, inserted=inserted, updated=updated,
+                     deleted=deleted, started_at=started, ended_at=clock(), run_by=run_by)
         except Exception as problem:
             load_log(spark, log_path, run_id=run_id, step=f"load {step.target}", target=step.target, status="Failed",
-                     message=str(problem)[:4000], started_at=as_of, ended_at=as_of, run_by=run_by)
+                     message=str(problem)[:4000], started_at=started, ended_at=clock(), run_by=run_by)
             raise
 
 
 def run_daily(lake: Lake, contracts: Contracts, steps: Sequence[Step], run_id: str, as_of: datetime,
-              manifests: Sequence[str] = ()) -> None:
-    """Landing to gold.  Tables that only look others up come first, as listed in the contract."""
+              manifests: Sequence[str] = (), identities: Callable[[Lake], tuple[DataFrame, str]] | None = None, clock: Clock = utc_now) -> None:
+    """Landing to gold.  Tables that only look others up come first, as listed in the contract.
+
+    ``identities`` returns the person records of all systems and the DDL of the cross-reference; people are matched
+    between silver and gold, because facts look them up.
+    """
     for source in contracts.sources:
         if source.lands_in != "files":
             continue
         for table in source.tables:
-            ingest_landing(lake, source.source, table, source.format, run_id, as_of)
+            ingest_landing(lake, source.source, table, source.format, run_id, as_of, clock=clock)
     if manifests:
         check_landing(lake, manifests, as_of)
     for source in contracts.sources:
@@ -192,5 +263,7 @@ def run_daily(lake: Lake, contracts: Contracts, steps: Sequence[Step], run_id: s
             for rule in rules:
                 if rule.ref_entity and rule.ref_entity not in references and lake.exists("silver", rule.ref_entity):
                     references[rule.ref_entity] = lake.read("silver", rule.ref_entity)
-            process_entity(lake, table, rules, run_id, as_of, references)
-    load_gold(lake, steps, run_id, as_of)
+            process_entity(lake, table, rules, run_id, as_of, references, clock=clock)
+    if identities is not None:
+        load_identities(lake, *identities(lake), run_id, as_of, clock)
+    load_gold(lake, steps, run_id, as_of, clock=clock)

@@ -308,7 +308,10 @@ def measure(star: Mapping[str, DataFrame], names: Sequence[str], keys: Sequence[
         have = [k for k in keys if k in frame.columns]
         folded = frame.groupBy(*have).agg(*[MEASURES[m].aggregate(as_of).alias(m) for m in members])
         (full if len(have) == len(keys) else partial).append((folded, have))
-    table = align_facts([f for f, _ in full], keys)
+    if full:
+        table = align_facts([f for f, _ in full], keys)
+    else:
+        table = _key_grid(partial, keys)
     for folded, have in partial:
         if have:
             table = table.join(folded, have, "left")
@@ -321,6 +324,24 @@ def measure(star: Mapping[str, DataFrame], names: Sequence[str], keys: Sequence[
     return table.select(*keys, *names)
 
 
+def _key_grid(partial: Sequence[tuple[DataFrame, list[str]]], keys: Sequence[str]) -> DataFrame:
+    """All keys of facts none of which has every key, joined on the keys they share."""
+    missing = [k for k in keys if not any(k in have for _, have in partial)]
+    if missing:
+        raise ValueError(f"no fact of these measures has the key(s) {', '.join(missing)}")
+    grid, seen = None, []
+    for folded, have in sorted(partial, key=lambda x: -len(x[1])):
+        if not have or set(have) <= set(seen):
+            continue
+        own = folded.select(*have).distinct()
+        shared = [k for k in have if k in seen]
+        if grid is not None and not shared:
+            raise ValueError(f"these measures' facts share none of the keys {', '.join(keys)}")
+        grid = own if grid is None else grid.join(own, shared, "full_outer")
+        seen += [k for k in have if k not in seen]
+    return grid.select(*keys)
+
+
 # ---------------------------------------------------------------- prepared facts
 
 def donor_years(gifts: DataFrame, years: DataFrame) -> DataFrame:

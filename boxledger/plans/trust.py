@@ -51,7 +51,8 @@ def finance_integrity(gl: DataFrame, funds: DataFrame, events: DataFrame, bookin
         count_check(journals, "fin.fact_gl_entry", "unbalanced journals", F.col("_off")),
         count_check(gl, "fin.fact_gl_entry", "unknown account", F.col("account_key") == -1),
         count_check(gl, "fin.fact_gl_entry", "unknown fund", F.col("fund_key") == -1),
-        count_check(funds, "dim.fund", "fund with no ledger code",
+        # Check names are fixed output values.
+        count_check(funds, "dim.fund", "Tessitura fund with no ledger code",
                     (F.col("fund_key") > 0) & F.col("ledger_fund_code").isNull()),
         count_check(events, "dim.event", "concert not linked to a performance",
                     (F.col("event_type") == "Concert") & ~F.col("is_linked")),

@@ -121,9 +121,9 @@ def top_n(t: Showcase):
     return aggregate.top_n(t.bookings, 40, "hours_booked").select("booking_id", "hours_booked")
 
 
-@query("top_1", "SELECT event_id, user_id FROM events ORDER BY ts DESC LIMIT 1")
+@query("top_1", "SELECT event_id, user_id FROM events ORDER BY ts DESC, event_id LIMIT 1")
 def top_1(t: Showcase):
-    return aggregate.top_1(t.events, "ts").select("event_id", "user_id")
+    return aggregate.top_1(t.events, "ts", ["event_id"]).select("event_id", "user_id")
 
 
 @query("sort_by_measure", "SELECT c_mktsegment, sum(CAST(c_acctbal AS DECIMAL(14,2))) AS total FROM customer GROUP BY 1 ORDER BY total DESC, c_mktsegment", money="total")

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import SourceContract
-from .tables import local_table
+from .tables import append_batch, local_table
 
 __all__ = ["log_run", "load_log", "log_ingest", "source_config", "RUN_LOG_SCHEMA", "LOAD_LOG_SCHEMA",
            "INGEST_LOG_SCHEMA"]
@@ -24,9 +24,10 @@ MESSAGE_LIMIT = 4000
 
 
 def _append(spark: SparkSession, row: tuple, schema: str, path: str | None) -> DataFrame:
+    """One line as a batch of its own: parallel calls never meet."""
     frame = local_table(spark, [row], schema)
     if path:
-        frame.coalesce(1).write.mode("append").parquet(path)
+        append_batch(frame.coalesce(1), path)
     return frame
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import clean_text
-from .tables import list_folder
+from .tables import list_folder, local_table
 
 __all__ = ["combine_sheets", "read_sheet_folder"]
 
@@ -42,15 +43,25 @@ def _tidy(df: DataFrame, renames: Mapping[str, str], types: Mapping[str, str], k
 def read_sheet_folder(spark: SparkSession, folder: str, headers: Sequence[str], renames: Mapping[str, str],
                       types: Mapping[str, str], key: str, yes_no: Sequence[str] = (),
                       extension: str = ".csv") -> DataFrame:
-    """All extracts of a folder in one distributed read; ``headers`` is the union of their columns.
+    """All extracts of a folder; ``headers`` is the union of their columns, in any order per file.
 
-    Columns are matched by header name per file only when the files share a layout; for mixed layouts read each
-    layout on its own and use :func:`combine_sheets`.
+    The first line of each file (one row a file comes to the driver) tells its layout; files of one layout are one
+    distributed read, so the plan grows with the number of layouts, not of files.  Columns outside ``headers`` are left
+    out, absent ones are NULL.  Header names may be quoted but do not span lines.
     """
     names = [n for n in list_folder(spark, folder) if n.lower().endswith(extension.lower())]
-    schema = ", ".join(f"`{h}` string" for h in headers)
-    raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-           .option("enforceSchema", False).schema(schema)
-           .csv([f"{folder.rstrip('/')}/{n}" for n in names]))
+    paths = [f"{folder.rstrip('/')}/{n}" for n in names]
     file_name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return _tidy(raw.select("*", file_name.alias("source_file")), renames, types, key, yes_no)
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    if paths:
+        lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.struct(
+            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("at"))
+        for row in lines.groupBy("path").agg(F.min_by("value", "at").alias("first")).collect():
+            layouts.setdefault(tuple(next(csv.reader([row["first"].lstrip("\ufeff")]))), []).append(row["path"])
+    frames = [local_table(spark, [], ", ".join(f"`{h}` string" for h in headers) + ", source_file string")]
+    for layout, files in sorted(layouts.items()):
+        schema = ", ".join(f"`{h}` string" for h in layout)
+        raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+               .option("enforceSchema", True).schema(schema).csv(files))
+        frames.append(raw.select(*[F.col(f"`{h}`") for h in layout if h in headers], file_name.alias("source_file")))
+    return _tidy(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), renames, types, key, yes_no)

@@ -1,12 +1,16 @@
 """Tables as folders of Parquet files.
 
-Append tables are plain folders.  Tables that are replaced or merged keep one sub-folder per version plus a commit
-record that is written after the data: a reader sees the newest committed version, so a job that dies half way leaves
-the old version in place, and a table may be rewritten from itself.
+Append tables are folders of batches, one sub-folder each, so parallel writers never share a job's working folder and
+a batch that is written again replaces itself.  Tables that are replaced or merged keep one sub-folder per version plus
+a numbered commit record that is written after the data.  A number can be taken once: a reader sees the version with
+the highest number, so a job that dies half way leaves the old version in place, a table may be rewritten from itself,
+and a writer that started from an older version than the newest can tell.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
@@ -14,11 +18,16 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-__all__ = ["list_folder", "delete_folder", "local_table", "append_bronze", "read_bronze", "overwrite_table", "read_table",
+__all__ = ["list_folder", "delete_folder", "local_table", "append_bronze", "append_batch", "has_batches", "read_bronze",
+           "ConcurrentWrite", "overwrite_table", "read_table",
            "table_exists", "truncate_reload", "stage_table", "compact_table", "require_success", "expire_snapshots", "reset_gold"]
 
 COMMITS = "_commits"
-COMMIT_SCHEMA = "version string, committed_at timestamp, high_water_mark timestamp"
+BATCH = "_batch"
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another version was committed since the one this write started from."""
 
 
 def _fs(spark: SparkSession, path: str):
@@ -38,28 +47,64 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
-def append_bronze(df: DataFrame, path: str) -> None:
-    """Append; new columns are allowed, older files then read as NULL in them.  An empty frame writes nothing."""
+def append_bronze(df: DataFrame, path: str, batch: str | None = None) -> None:
+    """Append one batch; new columns are allowed, older files then read as NULL in them.  An empty frame writes nothing.
+
+    A batch with a name replaces what was written under that name before, so a retry does not load rows twice.
+    """
     if df.columns and not df.isEmpty():
-        df.write.mode("append").parquet(path)
+        append_batch(df, path, batch)
+
+
+def append_batch(df: DataFrame, path: str, batch: str | None = None) -> None:
+    """Write ``df`` as the batch's own sub-folder."""
+    name = re.sub(r"[^A-Za-z0-9.-]", "-", batch) if batch else uuid.uuid4().hex
+    df.write.mode("overwrite").parquet(f"{path}/{BATCH}=b-{name}")
+
+
+def has_batches(spark: SparkSession, path: str) -> bool:
+    return any(n.startswith((f"{BATCH}=", "part-")) for n in list_folder(spark, path))
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """All appended versions under the union of their columns."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """All appended batches under the union of their columns."""
+    return spark.read.option("mergeSchema", "true").parquet(path).drop(BATCH)
 
 
 # ---------------------------------------------------------------- versioned tables
 
-def _commits(spark: SparkSession, path: str) -> DataFrame | None:
-    folder = f"{path}/{COMMITS}"
-    names = [n for n in list_folder(spark, folder) if n.startswith("part-")]
-    return spark.read.schema(COMMIT_SCHEMA).json(folder) if names else None
+def _commit_numbers(spark: SparkSession, path: str) -> list[int]:
+    names = list_folder(spark, f"{path}/{COMMITS}")
+    return sorted(int(n.split(".")[0]) for n in names if re.fullmatch(r"\d+\.json", n))
 
 
-def _newest(spark: SparkSession, path: str):
-    commits = _commits(spark, path)
-    return None if commits is None else commits.orderBy(F.col("committed_at").desc(), F.col("version").desc()).first()
+def _commit(spark: SparkSession, path: str, number: int) -> dict:
+    """One commit record: a few values, read on the driver."""
+    fs, target = _fs(spark, f"{path}/{COMMITS}/{number:012d}.json")
+    stream = fs.open(target)
+    try:
+        record = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    for name in ("committed_at", "high_water_mark"):
+        record[name] = datetime.fromisoformat(record[name]) if record[name] else None
+    return record | {"number": number}
+
+
+def _newest(spark: SparkSession, path: str) -> dict | None:
+    numbers = _commit_numbers(spark, path)
+    return _commit(spark, path, numbers[-1]) if numbers else None
+
+
+def _write_commit(spark: SparkSession, path: str, number: int, record: dict) -> None:
+    """Take the number, or fail when another writer has it."""
+    fs, target = _fs(spark, f"{path}/{COMMITS}/{number:012d}.json")
+    try:
+        stream = fs.create(target, False)
+    except Exception as taken:
+        raise ConcurrentWrite(f"version {number} of {path} was committed meanwhile") from taken
+    stream.write(bytearray(json.dumps(record).encode()))
+    stream.close()
 
 
 def local_table(spark: SparkSession, rows: Sequence[Sequence], ddl: str) -> DataFrame:
@@ -85,20 +130,33 @@ def local_table(spark: SparkSession, rows: Sequence[Sequence], ddl: str) -> Data
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return _commits(spark, path) is not None
+    return bool(_commit_numbers(spark, path))
 
 
 def overwrite_table(df: DataFrame, path: str, as_of: datetime, mark: datetime | None = None,
-                    partition_by: Sequence[str] = ()) -> None:
-    """Replace the table, schema included.  Data first, then the commit record with the mark it was loaded to."""
+                    partition_by: Sequence[str] = (), expected: int | None = None) -> None:
+    """Replace the table, schema included.  Data first, then the commit record with the mark it was loaded to.
+
+    The version that is committed last wins, whatever its ``as_of``.  With ``expected``, the number of the version that
+    ``df`` was made from (0: none), the write fails if another one was committed since.
+    """
     spark = df.sparkSession
     version = f"{as_of:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/version={version}")
-    commit = local_table(spark, [(version, as_of, mark)], COMMIT_SCHEMA)
-    commit.coalesce(1).write.mode("append").json(f"{path}/{COMMITS}")
+    record = {"version": version, "committed_at": as_of.isoformat(), "high_water_mark": mark.isoformat() if mark else None,
+              "partition_by": list(partition_by)}
+    while True:
+        last = (_commit_numbers(spark, path) or [0])[-1]
+        if expected is not None and last != expected:
+            raise ConcurrentWrite(f"{path} is at version {last}, not {expected}")
+        try:
+            return _write_commit(spark, path, last + 1, record)
+        except ConcurrentWrite:
+            if expected is not None or (_commit_numbers(spark, path) or [0])[-1] == last:
+                raise
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -143,7 +201,11 @@ def compact_table(spark: SparkSession, tables: Mapping[str, str], as_of: datetim
             newest = _newest(spark, path)
             size = _bytes(spark, f"{path}/version={newest['version']}")
             files = max(1, -(-size // target_bytes))
-            overwrite_table(read_table(spark, path).repartition(files), path, as_of, newest["high_water_mark"])
+            columns = newest["partition_by"]
+            whole = spark.read.parquet(f"{path}/version={newest['version']}")
+            # A partitioned table keeps its layout: a folder's rows go to as many tasks as its size asks for.
+            packed = whole.repartition(files, *columns, *([F.pmod(F.xxhash64(*whole.columns), F.lit(files))] if files > 1 else [])) if columns else whole.repartition(files)
+            overwrite_table(packed, path, as_of, newest["high_water_mark"], columns, expected=newest["number"])
             log.append((name, files, "Succeeded", ""))
         except Exception as problem:  # one broken table must not stop the others
             log.append((name, 0, "Failed", str(problem)[:4000]))
@@ -161,17 +223,17 @@ def expire_snapshots(spark: SparkSession, path: str, retain_hours: int, as_of: d
 
     Only commit records come to the driver: one per load, bounded by the number of loads in the retention.
     """
-    commits = _commits(spark, path)
-    if commits is None:
-        return []
-    rows = commits.orderBy("committed_at", "version").collect()
+    rows = [_commit(spark, path, n) for n in _commit_numbers(spark, path)]
     limit = as_of - timedelta(hours=retain_hours)
-    # A version is superseded when its successor was committed.
-    expired = [old["version"] for old, new in zip(rows, rows[1:]) if new["committed_at"] < limit]
+    # A version is superseded when its successor was committed; commits are in the order of their numbers.
+    old_rows = [old for old, new in zip(rows, rows[1:]) if new["committed_at"] < limit]
+    expired = [old["version"] for old in old_rows]
     present = set(list_folder(spark, path))
     removed = [v for v in expired if f"version={v}" in present]
     for version in removed:
         delete_folder(spark, f"{path}/version={version}")
+    for old in old_rows:  # data first: a record without data is never the newest
+        delete_folder(spark, f"{path}/{COMMITS}/{old['number']:012d}.json")
     return removed
 
 
