@@ -116,7 +116,48 @@ def apply_rules(docs: DataFrame, *, min_words: int = 50, min_docs: int = 40, rea
                        F.coalesce(~base & good, F.lit(False)).alias("kept"))
 
 
-@register("op6_quality_rules")
+#: The same in SQL with exact quantiles; a sketch is exact up to its ``k`` rows, which covers each group of the smaller tables.
+SQL = f"""
+WITH parsed AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS text,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \\t\\n\\x0B\\f\\r]')) AS lines
+    FROM documents),
+places AS (SELECT doc_id, w, UNNEST(range(0, len(w) - 2)) AS i FROM parsed WHERE len(w) >= 3),
+repeated AS (SELECT doc_id, i FROM places QUALIFY count(*) OVER (PARTITION BY doc_id, w[i + 1], w[i + 2], w[i + 3]) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + d) AS n FROM repeated, (VALUES (0), (1), (2)) t(d) GROUP BY doc_id),
+measured AS (
+    SELECT p.doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+           length(text) - length(translate(text, '{SYMBOLS}', '')) AS n_symbols, length(text) - length(translate(text, '{UPPER}', '')) AS n_upper,
+           len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+    FROM parsed p LEFT JOIN covered c USING (doc_id)),
+ratios AS (
+    SELECT *, round(n_symbols / word_chars, {PLACES}) AS symbol_ratio, round(n_upper / word_chars, {PLACES}) AS upper_ratio,
+           round(n_dup_lines / n_lines, {PLACES}) AS dup_line_ratio, round(n_repeat_words / n_words, {PLACES}) AS repeat_ratio,
+           round(word_chars / n_words, {PLACES}) AS word_length FROM measured),
+long AS (UNPIVOT (SELECT * FROM ratios WHERE n_words >= 50) ON symbol_ratio, upper_ratio, dup_line_ratio, repeat_ratio, word_length INTO NAME rule VALUE x),
+own AS (SELECT lang, source, rule, count(*) AS n, quantile_disc(x, 0.25) AS q1, quantile_disc(x, 0.75) AS q3 FROM long GROUP BY ALL),
+by_lang AS (SELECT lang, rule, count(*) AS n, quantile_disc(x, 0.25) AS q1, quantile_disc(x, 0.75) AS q3 FROM long GROUP BY ALL),
+of_all AS (SELECT rule, quantile_disc(x, 0.25) AS q1, quantile_disc(x, 0.75) AS q3 FROM long GROUP BY ALL),
+chosen AS (
+    SELECT o.lang, o.source, o.rule, CASE WHEN o.n >= 40 THEN o.q1 WHEN l.n >= 40 THEN l.q1 ELSE a.q1 END AS q1,
+           CASE WHEN o.n >= 40 THEN o.q3 WHEN l.n >= 40 THEN l.q3 ELSE a.q3 END AS q3
+    FROM own o JOIN by_lang l ON l.lang IS NOT DISTINCT FROM o.lang AND l.rule = o.rule JOIN of_all a ON a.rule = o.rule),
+bounds(rule, low, high) AS (VALUES {", ".join(f"('{c}', {low}, {high})" for c, (low, high, _) in RULES.items())}),
+limits AS (
+    SELECT lang, source, rule, least(high, greatest(low, q3 + 3 * (q3 - q1))) AS top,
+           CASE WHEN rule = 'word_length' THEN least(q1 - 3 * (q3 - q1), q1 / 2) END AS bottom
+    FROM chosen JOIN bounds USING (rule)),
+broken AS (
+    SELECT DISTINCT doc_id FROM long x JOIN limits t ON t.lang IS NOT DISTINCT FROM x.lang AND t.source IS NOT DISTINCT FROM x.source AND t.rule = x.rule
+    WHERE x.x > t.top OR x.x < t.bottom)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND doc_id NOT IN (SELECT doc_id FROM broken) AS kept
+FROM measured
+"""
+
+
+@register("op6_quality_rules", SQL)
 def op6_quality_rules(spark, sf_dir):
     """Measures and verdict of every document."""
     return apply_rules(table(spark, sf_dir, "documents"))
