@@ -136,7 +136,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, k: int = 48, size: in
     shared = values.groupBy("value").agg(F.count("*").alias("n_nodes")).filter("n_nodes > 1")
     ranked = (values.join(shared, "value").groupBy("node", "n_shingles").agg(F.array_sort(F.collect_list(F.struct("n_nodes", "value"))).alias("common"))
               .select("node", "n_shingles", F.slice("common", 1, F.greatest(F.lit(0), (F.size("common") - F.least("n_shingles", F.lit(k)) + prefix).cast("int"))).alias("common")))
-    listed = stored(ranked.select("node", "n_shingles", F.explode("common.value").alias("value")), "lists")
+    ranked = ranked.withColumn("common", F.col("common.value"))
+    listed = stored(ranked.select("node", "n_shingles", "common", F.explode("common").alias("value")), "lists")
     lengths = stored(listed.groupBy("value").agg(F.count("*").alias("length"), F.min("node").alias("centre")).filter("length > 1"), "lengths")
 
     linker = _Linker(source, nodes, k=k, size=size, percent=percent)
@@ -156,10 +157,11 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, k: int = 48, size: in
     # The other node has no fewer shingles than the least of the list, or than `percent` of this one's.
     other = F.greatest(F.col("least") * 100, F.col("n_shingles") * percent)
     outside = outside.filter(F.col("shared") * (100 + percent) * 100 >= percent * (F.col("n_shingles") * 100 + other))
-    one = outside.select("value", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("shared").alias("s_a"), F.col("label").alias("l_a"))
-    two = member.select("value", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("shared").alias("s_b"), F.col("label").alias("l_b"))
+    one = outside.select("value", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("shared").alias("s_a"), F.col("label").alias("l_a"), F.col("common").alias("c_a"))
+    two = member.select("value", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("shared").alias("s_b"), F.col("label").alias("l_b"), F.col("common").alias("c_b"))
+    first = F.array_min(F.array_intersect("c_a", "c_b")) == F.col("value")  # a pair meets in its first common list only
     enough = F.least("s_a", "s_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
-    more = one.join(two, "value").filter((F.col("l_a") != F.col("l_b")) & like("a", "b") & enough)
+    more = one.join(two, "value").filter((F.col("l_a") != F.col("l_b")) & like("a", "b") & enough & first)
     more = stored(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "outside")
     if not more.isEmpty():
         late = linker.links(more)
