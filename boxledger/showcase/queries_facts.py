@@ -51,19 +51,21 @@ def ticket_sales(t: Showcase, mark=MARK):
     return facts.fact_ticket_sales(ticket_lines(t), ticket_orders(t), xref(t), t.patrons, t.performance, venues(t), channels(t), mark, AS_OF)
 
 
+#: The person's version is the latest that began by the order's time (ASOF); every other lookup is an equality.
 SALES = f"""
-    SELECT ol.order_line_id, ol.order_id, coalesce(p.patron_key, -1) AS patron_key, coalesce(dp.performance_key, -1) AS performance_key,
-           CASE WHEN dp.venue_id <> 'V3' THEN CAST(right(dp.venue_id, 1) AS INTEGER) ELSE -1 END AS venue_key,
-           CASE WHEN o_orderpriority <> '3-MEDIUM' THEN CAST(left(o_orderpriority, 1) AS INTEGER) ELSE -1 END AS channel_key,
-           {dkey('o_orderdate')} AS order_date_key, coalesce(dp.performance_date_key, -1) AS performance_date_key,
-           CAST(dp.performance_datetime AS DATE) - CAST(o_orderdate AS DATE) AS days_before_show, 'A' AS price_zone, quantity, unit_price,
-           CAST(quantity * unit_price AS DECIMAL(14,2)) AS gross_amount, 0 AS discount_amount, CAST(quantity * unit_price AS DECIMAL(14,2)) AS net_amount, is_comp,
-           o_orderstatus = 'F' AS is_returned
-    FROM lines ol LEFT JOIN orders ON o_orderkey = ol.order_id LEFT JOIN xref ON xref.source_id = o_custkey
-    LEFT JOIN patrons p ON p.patron_id = xref.patron_id AND o_orderdate >= p.valid_from AND o_orderdate < p.valid_to
-    LEFT JOIN performance dp ON dp.performance_id = 'P' || ol.part
-    WHERE ol.updated > TIMESTAMP '{MARK}' OR o_orderdate > TIMESTAMP '{MARK}'"""
-SALES_CTE = {"xref": XREF, "lines": LINES}
+    SELECT order_line_id, order_id, coalesce(patron_key, -1) AS patron_key, coalesce(performance_key, -1) AS performance_key,
+           coalesce(TRY_CAST(nullif(venue_id, 'V3')[2:] AS INTEGER), -1) AS venue_key, coalesce(TRY_CAST(nullif(channel, '3-MEDIUM')[1:1] AS INTEGER), -1) AS channel_key,
+           {dkey('bought')} AS order_date_key, coalesce(performance_date_key, -1) AS performance_date_key,
+           date_diff('day', CAST(bought AS DATE), CAST(performance_datetime AS DATE)) AS days_before_show, 'A' AS price_zone, quantity, unit_price,
+           worth AS gross_amount, 0 AS discount_amount, worth AS net_amount, is_comp, returned AS is_returned
+    FROM placed ASOF LEFT JOIN versions ON versions.source_id = placed.buyer AND placed.bought >= versions.valid_from
+    LEFT JOIN performance USING (performance_id)"""
+PLACED = """
+    SELECT order_line_id, order_id, quantity, unit_price, is_comp, 'P' || part AS performance_id, CAST(quantity * unit_price AS DECIMAL(14,2)) AS worth,
+           o_custkey AS buyer, o_orderdate AS bought, o_orderpriority AS channel, o_orderstatus = 'F' AS returned, greatest(updated, o_orderdate) AS touched
+    FROM lines LEFT JOIN orders ON o_orderkey = order_id"""
+ALL_SALES_CTE = {"xref": XREF, "lines": LINES, "versions": "SELECT source_id, patron_key, valid_from FROM patrons JOIN xref USING (patron_id)", "placed": PLACED}
+SALES_CTE = {**ALL_SALES_CTE, "placed": f"FROM ({PLACED}) WHERE touched > TIMESTAMP '{MARK}'"}
 AMOUNTS = "gross_amount discount_amount net_amount unit_price"
 
 
@@ -77,7 +79,7 @@ def changed_lines(t: Showcase):
     return facts.changed_lines(ticket_lines(t), ticket_orders(t), MARK).select("order_line_id")
 
 
-@query("ticket_sales_increment", f"SELECT order_line_id, net_amount, is_returned FROM ({SALES.split('WHERE ol.updated')[0]})", ["patrons", "performance"], SALES_CTE, money="net_amount")
+@query("ticket_sales_increment", f"SELECT order_line_id, net_amount, is_returned FROM ({SALES})", ["patrons", "performance"], ALL_SALES_CTE, money="net_amount")
 def ticket_sales_increment(t: Showcase):
     """A full load, then the increment after the mark applied to it: the result is the full load again."""
     everything = ticket_sales(t, "1900-01-01 00:00:00")
@@ -166,9 +168,11 @@ def fact_email_campaign_results(t: Showcase):
 
 
 @query("fact_email_click", f"""
-    SELECT event_id AS click_id, CASE WHEN event_id % 25 < 20 THEN event_id % 25 + 1 ELSE -1 END AS email_campaign_key, coalesce(p.patron_key, -1) AS patron_key, {dkey('ts')} AS click_date_key
-    FROM events LEFT JOIN (SELECT lower(email) AS k, min(patron_id) AS patron_id FROM patrons WHERE is_current AND email IS NOT NULL GROUP BY 1) e ON e.k = 'cust' || user_id || '@mail.org'
-    LEFT JOIN patrons p ON p.patron_id = e.patron_id AND ts >= p.valid_from AND ts < p.valid_to WHERE event_type = 'click' AND ts > TIMESTAMP '2024-01-10'""", ["patrons"])
+    SELECT click_id, coalesce(list_position(range(20), mailing), -1) AS email_campaign_key, coalesce(patron_key, -1) AS patron_key, {dkey('at_time')} AS click_date_key
+    FROM clicked LEFT JOIN owners USING (address) ASOF LEFT JOIN patrons ON patrons.patron_id = owners.owner AND clicked.at_time >= patrons.valid_from""", ["patrons"], {
+    "clicked": """SELECT event_id AS click_id, event_id % 25 AS mailing, 'cust' || user_id || '@mail.org' AS address, ts AS at_time
+                  FROM events WHERE event_type = 'click' AND ts > TIMESTAMP '2024-01-10'""",
+    "owners": "SELECT lower(email) AS address, min(patron_id) AS owner FROM patrons WHERE is_current GROUP BY lower(email)"})
 def fact_email_click(t: Showcase):
     clicks = t.events.where(F.col("event_type") == "click").select(
         F.col("event_id").alias("click_id"), F.concat(F.lit("EM"), F.col("event_id") % 25).alias("email_campaign_id"), F.concat(F.lit("CUST"), "user_id", F.lit("@mail.org")).alias("email"), F.col("ts").alias("clicked_at"),
