@@ -91,9 +91,8 @@ def top_n(df: DataFrame, n: int, order: str) -> DataFrame:
     The boundary value is found with a bounded top-n and applied as a filter, so ties stay distributed.
     """
     best = df.select(order).orderBy(F.col(order).desc_nulls_last()).limit(n)
-    boundary = best.agg(F.min(order)).scalar()
-    filled = best.agg(F.count(order)).scalar()
-    return df.where((F.col(order) >= boundary) | (filled < n))
+    edge = best.agg(F.struct(F.min(order).alias("least"), F.count(order).alias("filled")).alias("edge")).scalar()
+    return df.where((F.col(order) >= edge.getField("least")) | (edge.getField("filled") < n))
 
 
 def top_1(df: DataFrame, ts: str, tie_break: Sequence[str] = ()) -> DataFrame:

@@ -108,11 +108,14 @@ def audience_mix(sales: DataFrame, patrons: DataFrame, channels: DataFrame, peri
     """Buyers per region and channel, split into new (first seen in the period) and returning."""
     star = inner_star(sales, [(patrons.select("patron_key", "patron_id", "region", "first_seen_date"), "patron_key"),
                               (channels, "channel_key")])
-    is_new = F.col("first_seen_date") >= F.lit(period_start).cast("date")
-    return star.groupBy("region", "channel_name").agg(
-        distinct_when("patron_id").alias("buyers"), distinct_when("patron_id", is_new).alias("new_buyers"),
-        distinct_when("patron_id", ~F.coalesce(is_new, F.lit(False))).alias("returning_buyers"),
-        conditional_sum("quantity", ~F.col("is_returned")).alias("tickets"))
+    is_new = F.coalesce(F.col("first_seen_date") >= F.lit(period_start).cast("date"), F.lit(False))
+    # One row per person first, so that people are counted without multiplying the sales rows.
+    people = star.groupBy("region", "channel_name", "patron_id").agg(
+        F.bool_or(is_new).alias("_new"), F.bool_or(~is_new).alias("_returning"), conditional_sum("quantity", ~F.col("is_returned")).alias("_tickets"))
+    known = F.col("patron_id").isNotNull()
+    return people.groupBy("region", "channel_name").agg(
+        F.count("patron_id").alias("buyers"), F.count_if(known & F.col("_new")).alias("new_buyers"),
+        F.count_if(known & F.col("_returning")).alias("returning_buyers"), F.sum("_tickets").alias("tickets"))
 
 
 def lybunt_list(status: DataFrame, fiscal_year: int | None = None) -> DataFrame:
