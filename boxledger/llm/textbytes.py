@@ -28,7 +28,7 @@ def _power(kind: str, n: int) -> np.ndarray:
     """The first ``n`` powers of the hash base or of its inverse, kept between calls."""
     have = _powers[kind]
     if len(have) < n:
-        out = np.full(max(n, 2 * len(have)), _BASE if kind == "up" else _INVERSE, np.uint64)
+        out = np.full(-(-n // (1 << 18)) << 18, _BASE if kind == "up" else _INVERSE, np.uint64)
         out[0] = 1
         _powers[kind] = have = np.multiply.accumulate(out)
     return have[:n]

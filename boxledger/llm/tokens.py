@@ -96,7 +96,7 @@ class Encoder:
 
     def rows(self, column) -> Iterator[np.ndarray]:
         """The ids of each text of an Arrow column, in order; a null text has none."""
-        for _, data, offsets in text_slices(column, 8 << 20):
+        for _, data, offsets in text_slices(column):
             raw = data.tobytes()
             whole = np.zeros(len(offsets) - 1, bool)
             for k in np.unique(np.searchsorted(offsets, np.flatnonzero(_LEADS[data]), "right") - 1):
