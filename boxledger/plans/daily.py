@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..contracts import Contracts, Rule, TableContract
 from ..operators.aggregate import require_no_mismatch, rowcount_reconcile
 from ..operators.changes import delete_insert, latest_per_key, upsert
-from ..operators.identity import resolve_identities
 from ..operators.clean import add_missing_meta, conform, filter_pending, with_row_hash
+from ..operators.identity import XREF_SCHEMA, append_xref, golden_people, match_keys, match_known
 from ..operators.quality import apply_dq
 from ..sources.landing import add_lineage, available_days, pending_partitions, read_landing_csv, read_landing_json, read_manifests
 from ..sources.logs import load_log, log_ingest, log_run
@@ -158,21 +158,17 @@ def process_entity(lake: Lake, contract: TableContract, rules: Sequence[Rule], r
     return "Succeeded"
 
 
-def load_identities(lake: Lake, candidates: DataFrame, empty_xref: str, run_id: str, as_of: datetime, clock: Clock = utc_now) -> None:
-    """Match one batch of person records and commit the cross-reference and the people.
-
-    ``empty_xref`` is the DDL of a cross-reference that does not exist yet.
-    """
+def load_identities(lake: Lake, candidates: DataFrame, run_id: str, as_of: datetime, clock: Clock = utc_now) -> None:
+    """Match one batch of person records and commit the cross-reference, then the people that follow from it."""
     started = clock()
     xref = lake.get("silver", "person_xref")
-    linked, _ = resolve_identities(candidates, xref if xref is not None else local_table(lake.spark, [], empty_xref), as_of)
-    overwrite_table(linked, lake.path("silver", "person_xref"), as_of)
-    # The people follow from the committed cross-reference, so that matching is not done twice.
-    _, people = resolve_identities(candidates, lake.read("silver", "person_xref"), as_of)
-    overwrite_table(people, lake.path("silver", "people"), as_of)
+    keyed = match_keys(candidates)
+    known = xref if xref is not None else local_table(lake.spark, [], XREF_SCHEMA)
+    overwrite_table(append_xref(known, match_known(keyed, known), as_of), lake.path("silver", "person_xref"), as_of)
+    overwrite_table(golden_people(keyed, lake.read("silver", "person_xref"), as_of), lake.path("silver", "people"), as_of)
     rows = lake.read("silver", "people").count()
     log_run(lake.spark, lake.path("audit", "run_log"), run_id=run_id, step="load_identities", entity="people", stage="silver",
-            rows_in=rows, rows_out=rows, started_at=started, ended_at=clock())
+            rows_in=candidates.count(), rows_out=rows, started_at=started, ended_at=clock())
 
 
 @dataclass(frozen=True)
@@ -243,11 +239,11 @@ def load_gold(lake: Lake, steps: Sequence[Step], run_id: str, as_of: datetime, r
 
 
 def run_daily(lake: Lake, contracts: Contracts, steps: Sequence[Step], run_id: str, as_of: datetime,
-              manifests: Sequence[str] = (), identities: Callable[[Lake], tuple[DataFrame, str]] | None = None, clock: Clock = utc_now) -> None:
+              manifests: Sequence[str] = (), identities: Callable[[Lake], DataFrame] | None = None, clock: Clock = utc_now) -> None:
     """Landing to gold.  Tables that only look others up come first, as listed in the contract.
 
-    ``identities`` returns the person records of all systems and the DDL of the cross-reference; people are matched
-    between silver and gold, because facts look them up.
+    ``identities`` returns the person records of all systems; people are matched between silver and gold, because facts
+    look them up.
     """
     for source in contracts.sources:
         if source.lands_in != "files":
@@ -265,5 +261,5 @@ def run_daily(lake: Lake, contracts: Contracts, steps: Sequence[Step], run_id: s
                     references[rule.ref_entity] = lake.read("silver", rule.ref_entity)
             process_entity(lake, table, rules, run_id, as_of, references, clock=clock)
     if identities is not None:
-        load_identities(lake, *identities(lake), run_id, as_of, clock)
+        load_identities(lake, identities(lake), run_id, as_of, clock)
     load_gold(lake, steps, run_id, as_of, clock=clock)

@@ -9,12 +9,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from boxledger.contracts import TableContract
+from boxledger.contracts import Contracts, TableContract
 from boxledger.operators import aggregate, dimensions
 from boxledger.plans import daily, measures
 from boxledger.session import work_path
 from boxledger.sources import logs, sheets, tables
-from conftest import rows
+from conftest import d, rows
 
 NOW = datetime(2025, 6, 1, 12)
 
@@ -123,6 +123,17 @@ def test_incremental_gold(spark, frame, tmp_path):
     assert tables._newest(spark, lake.path("gold", "fact"))["high_water_mark"] == NOW + timedelta(hours=2)
 
 
+def test_identities_between_silver_and_gold(spark, frame, tmp_path):
+    from test_model import PEOPLE
+    lake = daily.Lake(spark, str(tmp_path / "lake"))
+    people = lambda lake: frame([("s", "1", "Ann", "Lee", "1", "a@x.org", "addr", d("2020-01-01"), 1), ("s", "2", "Ann", "Lee", "1", "A@x.org", None, d("2019-01-01"), 2)], PEOPLE)
+    step = daily.Step("patron", lambda gold: lake.read("silver", "people"))
+    daily.run_daily(lake, Contracts((), {}), [step], "r1", NOW, identities=people)
+    daily.run_daily(lake, Contracts((), {}), [step], "r2", NOW, identities=people)
+    assert lake.read("silver", "person_xref").count() == 2 and lake.read("gold", "patron").count() == 1
+    assert lake.read("audit", "run_log").where("entity = 'people'").count() == 2
+
+
 def test_sheets_with_mixed_layouts(spark, tmp_path):
     for name, text in (("a.csv", "id,n\n1,5\n"), ("b.CSV", 'n,"id",extra\n7,2,z\n,3,\n'), ("c.txt", "x")):
         (tmp_path / name).write_text(text, encoding="utf-8")
