@@ -5,8 +5,8 @@ network's short list; every other word's probability is its class's (predicted b
 class by counts, add-one smoothed with one place for unseen words, so the model is a distribution over the same events
 as the unigram base.
 
-The network learns in rounds.  In each, every task trains on its share of a fraction of the training documents from the
-same weights, and the weights are averaged by tokens.  The number of documents it sees grows with the input.
+The network learns in rounds.  In each, every task trains on its share of another part of the training documents from the
+same weights, and the weights are averaged by tokens.  The rounds together use each training document once.
 
 Counts of the ``head`` most frequent words (a fixed number) travel to the tasks; the counts of all others are joined to
 the documents by a shuffle of each document's rarer words.
@@ -150,9 +150,10 @@ def _encode(part, vocab: Vocabulary, per_class: int, pick: np.ndarray | None = N
     return x, cls, np.where(target >= 0, target % per_class, 0), lengths, hashes, known, target, other
 
 
-def train(texts: DataFrame, vocab: Vocabulary, *, per_class: int, hidden: int, rounds: int, share: float, merge: int = 24) -> gru.Gru:
+def train(texts: DataFrame, vocab: Vocabulary, *, per_class: int, hidden: int, rounds: int, share: float | None = None, merge: int = 24) -> gru.Gru:
     """A network after ``rounds`` rounds, each over another ``share`` of the training documents (by a hash of id and text).
 
+    Without ``share`` the rounds split all training documents: each is used once.
     A task sends its weights and token count; ``merge`` tasks add them up, so the driver gets at most that many rows.
     """
     counts = np.zeros(vocab.n_short)
@@ -163,9 +164,10 @@ def train(texts: DataFrame, vocab: Vocabulary, *, per_class: int, hidden: int, r
     known = context.broadcast(vocab)
     sums = None
     draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("round")), F.lit(1_000_000))
+    share = 1 / rounds if share is None else share
     for k in range(rounds):
         weights = context.broadcast((net, sums))
-        low, high = int(1e6 * share * k), int(1e6 * share * (k + 1))
+        low, high = round(1e6 * share * k), round(1e6 * share * (k + 1))
         rows = texts.filter(~F.col("held_out") & (draw >= low) & (draw < high))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +202,7 @@ def train(texts: DataFrame, vocab: Vocabulary, *, per_class: int, hidden: int, r
 
 
 def score(docs: DataFrame, held_out: Column, *, head: int = 1 << 18, short: int = 1024, per_class: int = 32, hidden: int = 16, rounds: int = 3,
-          share: float = 0.06, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+          share: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Scores of every row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Tokens are the words of the text (A-Z lower-cased) and an end.  ``base_score`` is the add-one unigram score from the

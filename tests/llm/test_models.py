@@ -141,6 +141,24 @@ def test_lm_bases_and_gain(spark):
     assert all(r.score < 0 for r in got)
 
 
+def test_lm_trains_on_every_training_row_once(spark, monkeypatch):
+    """With the registered query's settings, and with a gain on held-out rows."""
+    rows = lm_rows() + [(d, t) for d, t, *_ in ODD]
+    seen, plain = Counter(), lm_scoring.map_arrow
+
+    def spy(df, run, schema, *more, **named):
+        if df.columns == ["text"] and "packed" in schema:
+            seen.update(r.text for r in df.collect())
+        return plain(df, run, schema, *more, **named)
+
+    monkeypatch.setattr(lm_scoring, "map_arrow", spy)
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    got = lm_scoring.score(frame(spark, rows), held).collect()
+    assert seen == Counter(t or "" for d, t in rows if d is None or zlib.crc32(str(d).encode()) % 7 != 2)
+    tested = [r for r in got if r.held_out and r.doc_id >= 100]
+    assert sum(r.score for r in tested) > sum(r.base_score for r in tested)
+
+
 def test_lm_without_rows_or_training_rows(spark):
     docs = frame(spark, ODD)
     assert lm_scoring.score(docs.filter("false"), F.lit(False), head=10, short=4).collect() == []
