@@ -131,7 +131,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, k: int = 48, size: in
 
     t = percent / 100
     weak = max(1, math.floor(k * t - SIGMAS * math.sqrt(k * t * (1 - t))))
-    prefix = F.when(F.col("n_shingles") <= t * k, F.floor(F.col("n_shingles") * (1 - t))).otherwise(F.least("n_shingles", F.lit(k)) - weak) + 1
+    spare = F.expr(f"n_shingles * {100 - percent} div 100")  # in whole numbers: 5 * (1 - 0.8) is less than 1
+    prefix = F.when(F.col("n_shingles") * 100 <= percent * k, spare).otherwise(F.least("n_shingles", F.lit(k)) - weak) + 1
     values = nodes.select("node", "n_shingles", F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count("*").alias("n_nodes")).filter("n_nodes > 1")
     ranked = (values.join(shared, "value").groupBy("node", "n_shingles").agg(F.array_sort(F.collect_list(F.struct("n_nodes", "value"))).alias("common"))

@@ -61,6 +61,16 @@ def test_components_match_brute_force(spark):
         assert max(Counter(c for _, c in want.values()).values()) > near_dup.SHORT_LIST
 
 
+def test_pairs_at_exactly_the_threshold(spark):
+    """One text extends the other: 5 shingles against 4, 10 against 8 and so on are 0.8 alike."""
+    rows = []
+    for n in range(5, 40, 5):
+        w = [f"t{n}x{k}" for k in range(n + 4)]
+        rows += [(10 * n, " ".join(w)), (10 * n + 1, " ".join(w[:4 * n // 5 + 4]))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(frame(spark, rows), percent=80).collect()}
+    assert got == brute(rows, 80) == {d: (n, 10 * n) if d == 10 * n else (4 * n // 5, 10 * n) for n in range(5, 40, 5) for d in (10 * n, 10 * n + 1)}
+
+
 def test_odd_rows(spark):
     got = near_dup.near_duplicates(frame(spark, ODD)).collect()
     assert len(got) == len(ODD)
