@@ -18,7 +18,7 @@ __all__ = ["match_keys", "match_known", "cluster_new", "append_xref", "golden_re
 XREF_SCHEMA = ("source_system string, source_id string, patron_id string, email_key string, name_zip_key string, "
                "match_rule string, matched_at timestamp")
 SOURCE_KEY = ["source_system", "source_id"]
-# Shape of a person id.
+# Shape of a person id; the number of digits is a default.
 ID_PREFIX, ID_HEX_DIGITS = "PAT-", 12
 
 
@@ -44,19 +44,33 @@ def match_known(candidates: DataFrame, xref: DataFrame) -> DataFrame:
                                     labels=["email", "name_zip"])
 
 
-def cluster_new(unmatched: DataFrame) -> DataFrame:
-    """Give the rest an id derived from their key.  Stateless, so no shuffle: equal keys give equal ids."""
+def cluster_new(unmatched: DataFrame, xref: DataFrame | None = None, *, digits: int = ID_HEX_DIGITS) -> DataFrame:
+    """Give the rest an id derived from their key: equal keys give equal ids of ``digits`` hex digits (1 to 64).
+
+    The frame fails when read if two keys give one id, among these records or with those that got theirs in ``xref``.
+    The check is one grouping by id; the records themselves are not shuffled.
+    """
+    if not 1 <= digits <= 64:
+        raise ValueError(f"digits must be from 1 to 64, not {digits}")
     basis = F.coalesce("email_key", "name_zip_key")
+    patron_id = F.concat(F.lit(ID_PREFIX), F.left(F.sha2(basis, 256), F.lit(digits)))
+    keys = unmatched.select(patron_id.alias("patron_id"), basis.alias("basis"))
+    if xref is not None:
+        given = F.when(F.col("match_rule") == "new:email", F.col("email_key")).when(F.col("match_rule") == "new:name_zip", F.col("name_zip_key"))
+        keys = keys.union(xref.select("patron_id", given.alias("basis")).where("basis IS NOT NULL").join(keys.select("patron_id"), "patron_id", "left_semi"))
+    clash = keys.groupBy("patron_id").agg(F.min("basis").alias("one"), F.max("basis").alias("other")).where("one <> other")
+    n = clash.agg(F.count(F.lit(1)).alias("n")).scalar()
+    failed = F.raise_error(F.concat(n.cast("string"), F.lit(f" person ids of {digits} hex digits come from two keys or more")))
     return unmatched.withColumns({
-        "patron_id": F.concat(F.lit(ID_PREFIX), F.left(F.sha2(basis, 256), F.lit(ID_HEX_DIGITS))),
+        "patron_id": F.when(n > 0, failed.cast("string")).otherwise(patron_id),
         "match_rule": F.when(F.col("email_key").isNotNull(), "new:email").otherwise("new:name_zip"),
     })
 
 
-def append_xref(xref: DataFrame, matched: DataFrame, as_of) -> DataFrame:
+def append_xref(xref: DataFrame, matched: DataFrame, as_of, *, digits: int = ID_HEX_DIGITS) -> DataFrame:
     """The cross-reference with this batch appended.  ``matched`` comes from :func:`match_known`."""
     known = matched.where(F.col("patron_id").isNotNull())
-    fresh = cluster_new(matched.where(F.col("patron_id").isNull()))
+    fresh = cluster_new(matched.where(F.col("patron_id").isNull()), xref, digits=digits)
     batch = known.unionByName(fresh).withColumn("matched_at", F.lit(as_of).cast("timestamp"))
     return xref.unionByName(batch.select(*xref.columns))
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from boxledger.operators import aggregate, dimensions, facts, identity, joins
@@ -157,3 +158,18 @@ def test_top_n_keeps_ties_and_nulls_last(frame):
     df = frame([(1, 9), (2, 8), (3, 8), (4, 7), (5, None)], "k int, v int")
     assert rows(aggregate.top_n(df, 2, "v"), "k") == [(1,), (2,), (3,)]
     assert aggregate.top_n(df, 10, "v").count() == 5
+
+
+def test_person_id_from_two_keys_fails(frame):
+    """Short ids collide: within a batch, and with an id that the cross-reference gave to another key."""
+    ddl = "source_system string, source_id string, patron_id string, email_key string, name_zip_key string, match_rule string"
+    records = frame([("s", str(k), None, f"p{k}@x", "", None) for k in range(17)], ddl)  # 17 keys, 16 ids of one digit
+    assert identity.cluster_new(records).select("patron_id").distinct().count() == 17
+    with pytest.raises(Exception, match="hex digits come from two keys"):
+        identity.cluster_new(records, digits=1).collect()
+    one = records.where("source_id = '0'")
+    pid = identity.cluster_new(one, digits=1).first().patron_id
+    row = lambda email: frame([("s", "old", pid, email, "", "new:email", None)], identity.XREF_SCHEMA)
+    assert identity.append_xref(row("p0@x"), one, "2025-01-01 00:00:00", digits=1).count() == 2
+    with pytest.raises(Exception, match="hex digits come from two keys"):
+        identity.append_xref(row("someone@else"), one, "2025-01-01 00:00:00", digits=1).collect()
