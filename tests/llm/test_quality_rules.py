@@ -18,7 +18,7 @@ def brute(text):
     return len(w), sum(map(len, w)), sum(x in "#*$%&|<>" for x in text), dup, len(hit), len(w) < 50 or 100 * len(hit) > 50 * len(w)
 
 
-ROWS = ODD + [(20 + k, "\n".join([prose(k, 40), "again line", "again line", prose(k, 25)])) for k in range(50)] + [
+ROWS = ODD + [(20 + k, "\n".join([prose(k, 40), "again line", "again line", prose(k + 500, 25)])) for k in range(50)] + [
     (90, "a%%% b### " * 60), (91, "same three words " * 40), (92, "x | y | " * 50), (93, prose(3, 20_000)), (94, "\n\n" + prose(4, 60) + " \n")]
 
 
@@ -43,6 +43,25 @@ def test_limits_follow_their_group(spark):
     assert kept[201] and not kept[200] and all(kept[k] for k in range(60))
 
 
+def test_limits_come_from_the_sketches(spark):
+    """On the given tables the limits of most groups are their own, not the least spread's."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    limit = quality_rules.thresholds(quality_rules.measures(docs), min_words=50, min_docs=40, reach=quality_rules.REACH, k=2048).collect()
+    for rule in ("upper_ratio", "word_length"):
+        own = {round(r[f"{rule}_max"], 6) for r in limit}
+        assert len(limit) >= 70 and len(own) > 0.9 * len(limit), rule
+    by_lang = {}
+    for r in limit:
+        by_lang.setdefault(r.lang, []).append(r.word_length_max)
+    assert min(by_lang["de"]) > sorted(by_lang["en"])[len(by_lang["en"]) // 2]
+
+
+def test_repeats_in_a_text_of_many_words(spark):
+    text = " ".join(f"w{k}" for k in range(120_000)) + " w5 w6 w7 w90000 w90001 w90002"
+    got = quality_rules.measures(frame(spark, [(1, text)])).first()
+    assert (got.n_words, got.n_repeat_words) == (120_006, 12)
+
+
 def test_null_groups_and_empty_table(spark):
     rows = [(k, prose(k, 70), None, None) for k in range(5)]
     assert all(r.kept for r in quality_rules.apply_rules(frame(spark, rows)).collect())

@@ -10,10 +10,10 @@ from helpers import ODD, frame, prose, words
 
 
 def brute(rows, length):
-    texts = [words(t) for _, t in rows]
+    texts = [words(t) for _, t, *_ in rows]
     seen = Counter(tuple(w[i:i + length]) for w in texts for i in range(len(w) - length + 1))
     out = []
-    for (d, _), w in zip(rows, texts):
+    for (d, *_), w in zip(rows, texts):
         gone = [False] * len(w)
         for i in range(len(w) - length + 1):
             if seen[tuple(w[i:i + length])] > 1:
