@@ -6,7 +6,12 @@ super-k-mer) to the minimiser's bucket; there the windows of all strings are sor
 start twice or more are sent back as word ranges, and each document drops the words they cover.
 
 Equal strings of a task travel once with the list of their places, so a passage that a third of all rows share costs a
-bucket one string per task.  A task reads one bucket at a time.
+bucket one string per task.  A phrase shorter than a window, in a third of all rows with other words around it, does not:
+all its strings differ and have one minimiser.  A first pass therefore counts what each bucket would get.  In a bucket
+beyond ``HOT_BYTES`` the windows travel one by one, as their two hashes, dealt by the hash of the window itself, which equal
+windows share and others do not; so a task holds at most ``HOT_BYTES`` of strings or about ``HOT_WINDOWS`` windows.
+
+Windows are compared by two 64-bit hashes with bases of their own, words and windows alike.
 """
 
 from __future__ import annotations
@@ -20,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .registry import register, table
-from .textbytes import joined, mix, ragged, split_words, windows
+from .textbytes import joined, mix, ragged, span_hashes, split_words, windows
 from .workers import map_arrow
 
 #: Bytes of strings a task gathers before it sends them.
 FLUSH_BYTES = 48 << 20
+#: Bytes of strings from which a bucket is dealt by windows, and windows a part of it gets.
+HOT_BYTES, HOT_WINDOWS = 96 << 20, 1 << 20
 
 
 def super_kmers(words, length: int, minimiser: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -71,14 +78,102 @@ def _send(strings: dict[tuple[int, bytes], list], schema_names: list[str]) -> pa
                                        pa.array(places, pa.binary())], schema_names)
 
 
+def window_hashes(part, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Both hashes of each window of a slice, and the bounds of each row's windows."""
+    one, bounds = windows(part.hashes(), part.bounds, length)
+    two, _ = windows(part.hashes(second=True), part.bounds, length, seed=2)
+    return one, two, bounds
+
+
+def repeated(one: np.ndarray, two: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Which pairs of hashes occur twice or more, each counted by its weight."""
+    twice = np.zeros(len(one), bool)
+    if not len(one):
+        return twice
+    by = np.argsort(one, kind="stable")
+    same = one[by][1:] == one[by][:-1]
+    if np.any(same & (two[by][1:] != two[by][:-1])):
+        by = np.lexsort((two, one))
+        same = (one[by][1:] == one[by][:-1]) & (two[by][1:] == two[by][:-1])
+    heads = np.flatnonzero(np.concatenate(([True], ~same)))
+    total = np.add.reduceat(weights[by], heads)
+    twice[by] = np.repeat(total >= 2, np.diff(np.append(heads, len(by))))
+    return twice
+
+
+def _send_windows(bucket: np.ndarray, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """One row per part of a hot bucket: the hashes, and the row keys and first words, of its windows."""
+    by = np.argsort(bucket, kind="stable")
+    heads = np.flatnonzero(np.concatenate(([True], bucket[by][1:] != bucket[by][:-1])))
+    ends = np.append(heads[1:], len(by))
+    pack = lambda which, at: pa.compress(b"".join(columns[k][by[at]].astype("<u8" if k < 2 else "<i8").tobytes() for k in which), codec="zstd", asbytes=True)
+    pieces = [slice(a, b) for a, b in zip(heads, ends)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[by][heads], pa.int64()), pa.array(ends - heads, pa.int64()),
+                                       pa.array([pack((0, 1), at) for at in pieces], pa.binary()), pa.array([pack((2, 3), at) for at in pieces], pa.binary())], names)
+
+
+def _window_ranges(rows: list[tuple], length: int) -> pa.RecordBatch:
+    """Word ranges that the repeated windows of one part of a hot bucket cover."""
+    read = lambda packed, n: np.frombuffer(pa.decompress(packed, 16 * n, codec="zstd", asbytes=True), "<u8")
+    hashes = [read(packed, n) for _, n, packed, _ in rows]
+    places = [read(packed, n).view("<i8") for _, n, _, packed in rows]
+    half = lambda arrays, k: np.concatenate([a[k * (len(a) // 2):(k + 1) * (len(a) // 2)] for a in arrays])
+    key, at = half(places, 0), half(places, 1)
+    hit = np.flatnonzero(repeated(half(hashes, 0), half(hashes, 1), np.ones(len(key), np.int64)))
+    hit = hit[np.lexsort((at[hit], key[hit]))]
+    key, at = key[hit], at[hit]
+    apart = np.ones(len(key), bool)
+    apart[1:] = (key[1:] != key[:-1]) | (at[1:] > at[:-1] + 1)
+    start = np.flatnonzero(apart)
+    stop = np.append(start[1:], len(key)) - 1 if len(key) else start
+    return pa.RecordBatch.from_arrays([pa.array(key[start]), pa.array(at[start]), pa.array(at[stop] + length)], ["key", "begin", "end"])
+
+
+def bucket_of(value: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(value + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
+
+
+def hot_buckets(docs: DataFrame, *, length: int, minimiser: int, buckets: int) -> dict[int, int]:
+    """Parts of each bucket that would get more than ``HOT_BYTES``; at most one entry a bucket comes to the driver."""
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, n_windows = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        kept: list[tuple] = []
+        held = 0
+
+        def settle():
+            if kept:
+                _, first = np.unique(np.concatenate([k[1] for k in kept]), return_index=True)  # equal strings travel once
+                np.add.at(size, np.concatenate([k[0] for k in kept])[first], np.concatenate([k[2] for k in kept])[first])
+                kept.clear()
+
+        for batch in batches:
+            for part in split_words(batch.column(0)):
+                word, n, _, value = super_kmers(part, length, minimiser)
+                if not len(word):
+                    continue
+                text, starts = joined(part)
+                bucket, begin, end = bucket_of(value, buckets), starts[word], starts[word + n] - 1
+                np.add.at(n_windows, bucket, n - length + 1)
+                kept.append((bucket, span_hashes(text, begin, end), end - begin))
+                held += int((end - begin).sum())
+                if held > FLUSH_BYTES:
+                    settle()
+                    held = 0
+        settle()
+        some = np.flatnonzero(n_windows)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(size[some]), pa.array(n_windows[some])], ["bucket", "size", "n_windows"])
+
+    weighed = map_arrow(docs.select("text"), weigh, "bucket long, size long, n_windows long")
+    heavy = weighed.groupBy("bucket").agg(F.sum("size").alias("size"), F.sum("n_windows").alias("n_windows")).filter(F.col("size") > HOT_BYTES)
+    return {r["bucket"]: max(2, -(-r["n_windows"] // HOT_WINDOWS)) for r in heavy.collect()}
+
+
 def repeated_ranges(texts: list[bytes], counts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """String, first word and end word of the runs of windows that occur twice or more; ``counts`` weighs each string."""
     weights, first_hash, second_hash, owner, offset = [], [], [], [], []
     base = 0
     for part in split_words(pa.array(texts, pa.large_binary()).view(pa.large_string()), limit=8 << 20):
-        value = part.hashes()
-        one, bounds = windows(value, part.bounds, length)
-        two, _ = windows(mix(value ^ np.uint64(0xA5A5A5A5A5A5A5A5)), part.bounds, length)
+        one, two, bounds = window_hashes(part, length)
         n = np.diff(bounds)
         rows = np.repeat(np.arange(part.n_rows), n)
         owner.append(rows + base)
@@ -89,16 +184,7 @@ def repeated_ranges(texts: list[bytes], counts: np.ndarray, length: int) -> tupl
         base += part.n_rows
     owner, offset, weights = np.concatenate(owner), np.concatenate(offset), np.concatenate(weights)
     one, two = np.concatenate(first_hash), np.concatenate(second_hash)
-    by = np.argsort(one, kind="stable")
-    same = one[by][1:] == one[by][:-1]
-    if np.any(same & (two[by][1:] != two[by][:-1])):
-        by = np.lexsort((two, one))
-        same = (one[by][1:] == one[by][:-1]) & (two[by][1:] == two[by][:-1])
-    heads = np.flatnonzero(np.concatenate(([True], ~same)))
-    total = np.add.reduceat(weights[by], heads)
-    twice = np.zeros(len(one), bool)
-    twice[by] = np.repeat(total >= 2, np.diff(np.append(heads, len(by))))
-    hit = np.flatnonzero(twice)
+    hit = np.flatnonzero(repeated(one, two, weights))
     if not len(hit):
         return hit, hit, hit
     apart = np.ones(len(hit), bool)
@@ -111,20 +197,36 @@ def repeated_ranges(texts: list[bytes], counts: np.ndarray, length: int) -> tupl
 def ranges(docs: DataFrame, *, length: int, minimiser: int, buckets: int) -> DataFrame:
     """``key, begin, end``: word ranges of each row (columns ``key``, ``text``) that repeated windows cover."""
     names = ["bucket", "size", "texts", "places"]
+    hot = hot_buckets(docs, length=length, minimiser=minimiser, buckets=buckets)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings: dict[tuple[int, bytes], list] = {}
+        loose: list[tuple] = []
         held = 0
+        parts = np.zeros(buckets, np.int64)
+        parts[list(hot)] = list(hot.values())
+        first_part = buckets + np.cumsum(parts) - parts
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             for part in split_words(batch.column(1)):
                 word, n, row, value = super_kmers(part, length, minimiser)
+                of = bucket_of(value, buckets)
+                apart = parts[of] > 0
+                if apart.any():
+                    one, two, bounds = window_hashes(part, length)
+                    count = n[apart] - length + 1
+                    own, home = np.repeat(row[apart], count), np.repeat(of[apart], count)
+                    at = ragged(word[apart] - part.bounds[row[apart]], count)
+                    window = bounds[own] + at
+                    to = first_part[home] + (one[window] % parts[home].astype(np.uint64)).astype(np.int64)
+                    loose.append((to, one[window], two[window], keys[part.first_row + own], at))
+                    held += 40 * len(at)
+                    word, n, row, of = word[~apart], n[~apart], row[~apart], of[~apart]
                 text, starts = joined(part)
                 raw = text.tobytes()
                 local = (word - part.bounds[row]).tolist()
                 own = keys[part.first_row + row].tolist()
-                bucket = (mix(value + np.uint64(1)) % np.uint64(buckets)).tolist()
-                for b, low, high, key, at in zip(bucket, starts[word].tolist(), (starts[word + n] - 1).tolist(), own, local):
+                for b, low, high, key, at in zip(of.tolist(), starts[word].tolist(), (starts[word + n] - 1).tolist(), own, local):
                     packed = (b, raw[low:high])
                     places = strings.get(packed)
                     if places is None:
@@ -135,15 +237,24 @@ def ranges(docs: DataFrame, *, length: int, minimiser: int, buckets: int) -> Dat
                         held += 16
                 if held > FLUSH_BYTES:
                     yield _send(strings, names)
-                    strings, held = {}, 0
+                    if loose:
+                        to, *columns = (np.concatenate(c) for c in zip(*loose))
+                        yield _send_windows(to, columns, names)
+                    strings, loose, held = {}, [], 0
         yield _send(strings, names)
+        if loose:
+            to, *columns = (np.concatenate(c) for c in zip(*loose))
+            yield _send_windows(to, columns, names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
                 yield from zip(*[batch.column(k).to_pylist() for k in range(4)])
 
-        for _, group in groupby(rows(), key=lambda r: r[0]):
+        for bucket, group in groupby(rows(), key=lambda r: r[0]):
+            if bucket >= buckets:
+                yield _window_ranges(list(group), length)
+                continue
             texts, n, keys, firsts = [], [], [], []
             for _, size, packed, places in group:
                 texts += pa.decompress(packed, size - 1, codec="zstd", asbytes=True).split(b"\n")

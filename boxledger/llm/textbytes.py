@@ -19,16 +19,19 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+#: Two hash bases (any odd numbers do); the second serves where two independent hashes are wanted.
+_BASES = (np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD1342543DE82EF95))
+_BASE = _BASES[0]
+_STEPS = {"up": _BASES[0], "down": np.uint64(pow(int(_BASES[0]), -1, 1 << 64)),
+          "up2": _BASES[1], "down2": np.uint64(pow(int(_BASES[1]), -1, 1 << 64))}
+_powers = {kind: np.ones(1, np.uint64) for kind in _STEPS}
 
 
 def _power(kind: str, n: int) -> np.ndarray:
-    """The first ``n`` powers of the hash base or of its inverse, kept between calls."""
+    """The first ``n`` powers of a hash base or of its inverse, kept between calls."""
     have = _powers[kind]
     if len(have) < n:
-        out = np.full(-(-n // (1 << 18)) << 18, _BASE if kind == "up" else _INVERSE, np.uint64)
+        out = np.full(-(-n // (1 << 18)) << 18, _STEPS[kind], np.uint64)
         out[0] = 1
         _powers[kind] = have = np.multiply.accumulate(out)
     return have[:n]
@@ -69,16 +72,19 @@ class Words:
         """Row of each word, counted from ``first_row``."""
         return np.repeat(np.arange(self.n_rows), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        return span_hashes(self.data, self.starts, self.ends)
+    def hashes(self, second: bool = False) -> np.ndarray:
+        return span_hashes(self.data, self.starts, self.ends, second)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges that depend on the bytes only: prefix sums of powers, shifted back to position 0."""
-    n = len(data)
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False) -> np.ndarray:
+    """64-bit hashes of byte ranges that depend on the bytes only: prefix sums of powers, shifted back to position 0.
+
+    ``second`` takes another base, which gives hashes independent of the first ones.
+    """
+    n, tail = len(data), "2" if second else ""
     prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power("up", n), out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * _power("down", n + 1)[starts] + (ends - starts).astype(np.uint64))
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power("up" + tail, n), out=prefix[1:])
+    return mix((prefix[ends] - prefix[starts]) * _power("down" + tail, n + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
 def text_slices(column, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
