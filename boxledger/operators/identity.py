@@ -48,7 +48,8 @@ def cluster_new(unmatched: DataFrame, xref: DataFrame | None = None, *, digits:
     """Give the rest an id derived from their key: equal keys give equal ids of ``digits`` hex digits (1 to 64).
 
     The frame fails when read if two keys give one id, among these records or with those that got theirs in ``xref``.
-    The check is one grouping by id; the records themselves are not shuffled.
+    The check is one grouping by id; the records themselves are not shuffled.  It reads ``unmatched`` besides the result,
+    so pass records that are staged, not a query.
     """
     if not 1 <= digits <= 64:
         raise ValueError(f"digits must be from 1 to 64, not {digits}")
@@ -68,7 +69,8 @@ def cluster_new(unmatched: DataFrame, xref: DataFrame | None = None, *, digits:
 
 
 def append_xref(xref: DataFrame, matched: DataFrame, as_of, *, digits: int = ID_HEX_DIGITS) -> DataFrame:
-    """The cross-reference with this batch appended.  ``matched`` comes from :func:`match_known`."""
+    """The cross-reference with this batch appended.  ``matched`` comes from :func:`match_known` and is read several times, so
+    stage it first."""
     known = matched.where(F.col("patron_id").isNotNull())
     fresh = cluster_new(matched.where(F.col("patron_id").isNull()), xref, digits=digits)
     batch = known.unionByName(fresh).withColumn("matched_at", F.lit(as_of).cast("timestamp"))

@@ -17,7 +17,7 @@ from ..functions import as_column, hash_value
 
 __all__ = ["dq_not_null", "dq_regex", "dq_accepted_values", "dq_range", "dq_not_future", "dq_expression",
            "dq_foreign_key", "dq_route", "dq_results", "dq_quarantine", "dq_latest", "dq_alerts", "apply_dq",
-           "flag_rules", "hash_restricted", "Gate"]
+           "flag_rules", "hash_restricted", "dq_counts", "dq_lines", "Gate"]
 
 
 def dq_not_null(column: str | Column) -> Column:
@@ -121,6 +121,23 @@ def dq_results(flagged: DataFrame, active: Sequence[tuple[str, Rule]], entity: s
         "failed_rows", "total_rows", share.alias("pass_rate"), F.lit(as_of).cast("timestamp").alias("checked_at"))
 
 
+def dq_counts(active: Sequence[tuple[str, Rule]]) -> list[Column]:
+    """Rows, rows set aside and failures per rule as aggregates, for ``observe`` on a write that happens anyway."""
+    return [F.count(F.lit(1)).alias("total_rows"), F.count_if(_any_error(active)).alias("bad_rows"),
+            *[F.count_if(F.coalesce(F.col(flag), F.lit(False))).alias(flag) for flag, _ in active]]
+
+
+def dq_lines(spark, counts: Mapping[str, int], active: Sequence[tuple[str, Rule]], entity: str, run_id: str, as_of) -> DataFrame:
+    """The lines of :func:`dq_results` from counts that a write has observed."""
+    from ..sources.tables import local_table
+
+    total = counts["total_rows"]
+    rows = [(run_id, entity, rule.rule, rule.column, rule.severity, counts[flag], total, 1.0 if not total else 1 - counts[flag] / total, as_of)
+            for flag, rule in active]
+    return local_table(spark, rows, "run_id string, entity string, rule string, column_name string, severity string, failed_rows bigint, "
+                                    "total_rows bigint, pass_rate double, checked_at timestamp")
+
+
 def hash_restricted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace contact columns by their SHA-256, so two rows can be told apart but not read."""
     present = [c for c in columns if c in df.columns]
@@ -158,6 +175,17 @@ class Gate:
     results: DataFrame | None
     quarantine: DataFrame | None
     flagged: DataFrame
+    active: Sequence[tuple[str, Rule]] = ()
+
+    @classmethod
+    def of(cls, flagged: DataFrame, active: Sequence[tuple[str, Rule]], entity: str, columns: Sequence[str], restricted: Sequence[str],
+           run_id: str, as_of) -> "Gate":
+        """The outcome of rows that carry their flags already, such as staged ones."""
+        if not active:
+            return cls(flagged, None, None, flagged)
+        valid, bad = dq_route(flagged, active)
+        return cls(valid, dq_results(flagged, active, entity, run_id, as_of), dq_quarantine(bad, active, columns, restricted, entity, run_id, as_of),
+                   flagged, active)
 
     def release(self) -> None:
         """Give back what ``persist=True`` keeps; call it after the three outcomes are written."""
@@ -173,6 +201,4 @@ def apply_dq(df: DataFrame, entity: str, rules: Sequence[Rule], *, restricted: S
         return Gate(df, None, None, df)
     if persist:
         flagged = flagged.persist()
-    valid, bad = dq_route(flagged, active)
-    return Gate(valid, dq_results(flagged, active, entity, run_id, as_of),
-                dq_quarantine(bad, active, df.columns, restricted, entity, run_id, as_of), flagged)
+    return Gate.of(flagged, active, entity, df.columns, restricted, run_id, as_of)

@@ -1,5 +1,8 @@
 """The daily run: land, check, clean, and load the star in order.
 
+Nothing here rewrites or reads a whole silver or incremental gold table: bronze is read from the mark's day on, and merges
+touch the key buckets of the increment.
+
 Independent tables share nothing but logs, where every line is a batch of its own, so a caller may run
 :func:`process_entity` for several of them from a small thread pool under Spark's FAIR scheduler; scheduling itself stays
 outside.  ``as_of`` is the run's logical time; the start and end of each step come from ``clock``.
@@ -9,23 +12,27 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
+from hashlib import sha256
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..contracts import Contracts, Rule, TableContract
 from ..operators.aggregate import require_no_mismatch, rowcount_reconcile
 from ..operators.changes import delete_insert, latest_per_key, upsert
 from ..operators.clean import add_missing_meta, conform, filter_pending, with_row_hash
 from ..operators.identity import XREF_SCHEMA, append_xref, golden_people, match_keys, match_known
-from ..operators.quality import apply_dq
+from ..operators.quality import Gate, apply_dq, dq_counts, dq_lines
 from ..sources.landing import add_lineage, available_days, pending_partitions, read_landing_csv, read_landing_json, read_manifests
 from ..sources.logs import load_log, log_ingest, log_run
-from ..sources.tables import _newest, append_batch, append_bronze, delete_folder, has_batches, local_table, overwrite_table, read_bronze, read_table, stage_table, table_exists
+from ..sources.tables import (append_batch, append_bronze, create_merged, current_version, drop_table, local_table, merge_table, open_database,
+                              overwrite_table, path_exists, read_bronze, read_table, stage_table, table_exists, table_name)
 
-__all__ = ["Lake", "Step", "utc_now", "ingest_landing", "check_landing", "process_entity", "load_identities", "load_gold", "run_daily"]
+__all__ = ["Lake", "Step", "utc_now", "ingest_landing", "check_landing", "pending_rows", "process_entity", "load_identities", "load_gold", "run_daily"]
 
-VERSIONED = ("silver", "gold")
+CATALOGUED = ("silver", "gold", "stage")
+#: How many days a delivery may be named before the day of the changes in it (time zones, business days).
+LOOK_BACK_DAYS = 3
 
 
 def utc_now() -> datetime:
@@ -36,26 +43,31 @@ Clock = Callable[[], datetime]
 
 
 class Lake:
-    """Where the tables of a run live: landing, bronze (append), silver and gold (versioned), logs and quality tables."""
+    """Where the tables of a run live: landing, bronze, logs and quality tables in folders below ``root`` (appended), silver and
+    gold in a database of the catalogue (replaced or merged)."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, database: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.database = open_database(spark, database or f"lake_{sha256(self.root.encode()).hexdigest()[:12]}", f"{self.root}/tables")
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def table(self, layer: str, name: str) -> str:
+        return table_name(self.database, f"{layer}_{name}")
+
     def landing(self, source: str) -> str:
         return f"{self.root}/landing/{source}"
 
     def exists(self, layer: str, name: str) -> bool:
-        if layer in VERSIONED:
-            return table_exists(self.spark, self.path(layer, name))
-        return has_batches(self.spark, self.path(layer, name))
+        if layer in CATALOGUED:
+            return table_exists(self.spark, self.table(layer, name))
+        return path_exists(self.spark, self.path(layer, name))
 
     def read(self, layer: str, name: str) -> DataFrame:
-        if layer in VERSIONED:
-            return read_table(self.spark, self.path(layer, name))
+        if layer in CATALOGUED:
+            return read_table(self.spark, self.table(layer, name))
         return read_bronze(self.spark, self.path(layer, name))
 
     def get(self, layer: str, name: str) -> DataFrame | None:
@@ -95,19 +107,41 @@ def check_landing(lake: Lake, manifest_paths: Sequence[str], as_of: datetime) ->
     """Compare announced with loaded rows, save the outcome and stop the run on a mismatch."""
     expected = read_manifests(lake.spark, list(manifest_paths))
     recon = rowcount_reconcile(expected, lake.read("audit", "ingest_log"))
-    overwrite_table(recon.withColumn("checked_at", F.lit(as_of).cast("timestamp")), lake.path("gold", "reconciliation"), as_of)
+    overwrite_table(recon.withColumn("checked_at", F.lit(as_of).cast("timestamp")), lake.table("gold", "reconciliation"), as_of)
     saved = lake.read("gold", "reconciliation")
     require_no_mismatch(saved)
     return saved
 
 
+def pending_rows(lake: Lake, contract: TableContract, as_of: datetime, full_refresh: bool = False,
+                 look_back_days: int = LOOK_BACK_DAYS) -> tuple[DataFrame, datetime | None]:
+    """Bronze rows newer than the silver table's mark, with ``_change``, the change value as a time; and that mark.
+
+    A change can only be delivered on its own day or later, so the mark is also a lower bound of the load day, less
+    ``look_back_days``: earlier days are neither listed for reading nor opened.  Change values that are no time are kept
+    here with a NULL ``_change`` so that they can be counted.
+    """
+    version = current_version(lake.spark, lake.table("silver", contract.key))
+    mark = None if version is None or full_refresh else version.mark
+    change = contract.change_column
+    since = (mark - timedelta(days=look_back_days)).date() if mark is not None and change else None
+    df = add_missing_meta(read_bronze(lake.spark, lake.path("bronze", contract.key), since), change, as_of)
+    if not change:
+        return df, None
+    if change not in df.columns:  # no delivery of these days has the column
+        return df.withColumn("_change", F.lit(None).cast("timestamp")), mark
+    return df.withColumn("_change", F.col(change).try_cast("timestamp")), mark
+
+
 def process_entity(lake: Lake, contract: TableContract, rules: Sequence[Rule], run_id: str, as_of: datetime,
                    references: Mapping[str, DataFrame] | None = None, full_refresh: bool = False, clock: Clock = utc_now) -> str:
     """Bronze to silver for one table: increment, type, newest version, gate, fingerprint, upsert, mark, log.
 
-    Returns ``Succeeded`` or ``Skipped``.  The gated increment is staged once in the shared folder and feeds results,
-    quarantine and the upsert.  The mark is committed together with the new version, and only if no other version was
-    committed meanwhile.  Rows whose change value is no timestamp never load; the log counts them.
+    Returns ``Succeeded`` or ``Skipped``.  The increment is gated and staged by one write, which also counts rows in and
+    out, rule failures and the new mark (observed metrics); results, quarantine and upsert read what it staged, and no
+    count is a job of its own.  The upsert reads and overwrites only the key buckets that the increment touches.  The mark
+    is set after the rows; a run that died before it is repeated to the same end.  Rows whose change value is no timestamp
+    never load; the log counts those of the days read.  The logged counts may be too high after lost executors.
     """
     spark, key, started = lake.spark, contract.key, clock()
     run_log = lake.path("audit", "run_log")
@@ -116,59 +150,83 @@ def process_entity(lake: Lake, contract: TableContract, rules: Sequence[Rule], r
         log_run(spark, run_log, run_id=run_id, step="process_entity", entity=key, stage="silver", rows_in=rows_in,
                 rows_out=rows_out, rows_quarantined=bad, status=status, message=message, started_at=started, ended_at=clock())
 
-    bronze = lake.get("bronze", key)
-    if bronze is None:
+    if not lake.exists("bronze", key):
         log(status="Skipped", message="no bronze table yet")
         return "Skipped"
     change = contract.change_column
-    df = add_missing_meta(bronze, change, as_of)
-    target_path = lake.path("silver", key)
-    committed = _newest(spark, target_path)
-    mark, unread = None, 0
+    df, old_mark = pending_rows(lake, contract, as_of, full_refresh)
+    arrived, gated = Observation(), Observation()
     if change:
-        df = df.withColumn("_change", F.col(change).try_cast("timestamp"))
-        unread = df.filter(F.col(change).isNotNull() & F.col("_change").isNull()).count()
-        if committed is not None and not full_refresh:
-            df = filter_pending(df, "_change", committed["high_water_mark"])
-        seen = df.agg(F.max("_change").alias("mark"), F.count(F.lit(1)).alias("n")).first()
-        mark, rows_in = seen["mark"], seen["n"]
-        df = df.drop("_change")
-        if mark is None:
-            log(message="checked: nothing new" + (f"; {unread} change values are no timestamp" if unread else ""))
-            return "Succeeded"
+        given = F.col(change).isNotNull() if change in df.columns else F.lit(False)
+        unread = F.count_if(given & F.col("_change").isNull()).alias("unread")
+        pending = F.lit(True) if old_mark is None else F.col("_change") > F.lit(old_mark)
+        df = df.observe(arrived, unread, F.count_if(pending).alias("n"), F.max(F.when(pending, F.col("_change"))).alias("mark"))
+        fresh = filter_pending(df, "_change", old_mark).drop("_change")
     else:
-        rows_in = df.count()
-
-    typed = conform(df, contract.columns)
-    newest = latest_per_key(typed, contract.primary_key, contract.order_by)
-    staging = lake.path("stage", f"{key}-{run_id}")
-    staged = stage_table(newest, staging)
-    gate = apply_dq(staged, key, rules, restricted=contract.restricted, references=references, run_id=run_id, as_of=as_of)
-    if gate.results is not None:
-        append_batch(gate.results, lake.path("dq", "results"), f"{key}-{run_id}")
-        append_batch(gate.quarantine, lake.path("dq", "quarantine"), f"{key}-{run_id}")
+        fresh = df.observe(arrived, F.lit(0).cast("bigint").alias("unread"), F.count(F.lit(1)).alias("n"), F.max(F.lit(None).cast("timestamp")).alias("mark"))
+
+    newest = latest_per_key(conform(fresh, contract.columns), contract.primary_key, contract.order_by)
+    gate = apply_dq(newest, key, rules, restricted=contract.restricted, references=references, run_id=run_id, as_of=as_of)
+    flagged = gate.flagged.observe(gated, *dq_counts(gate.active))
+    staging = lake.table("stage", f"{key}-{run_id}")
+    staged = stage_table(flagged, staging)
+    seen, counts = arrived.get, gated.get
+    note = f"{seen['unread']} change values are no timestamp" if seen["unread"] else ""
+    if change and seen["mark"] is None:
+        drop_table(spark, staging)
+        log(message="checked: nothing new" + (f"; {note}" if note else ""))
+        return "Succeeded"
+    gate = Gate.of(staged, gate.active, key, newest.columns, contract.restricted, run_id, as_of)
+    if gate.active:
+        append_batch(dq_lines(spark, counts, gate.active, key, run_id, as_of), lake.path("dq", "results"), f"{key}-{run_id}")
+        if counts["bad_rows"]:
+            append_batch(gate.quarantine, lake.path("dq", "quarantine"), f"{key}-{run_id}")
     columns = list(contract.columns)
     source = with_row_hash(gate.valid, columns).select(
         *columns, "_row_hash", "_load_date", F.lit(as_of).cast("timestamp").alias("_silver_updated_at"))
-    counts = staged.agg(F.count(F.lit(1)).alias("n")).first()["n"], source.count()
-    overwrite_table(upsert(lake.get("silver", key), source, contract.primary_key), target_path, as_of, mark,
-                    expected=committed["number"] if committed else 0)
-    log(rows_in, counts[1], counts[0] - counts[1], message=f"{unread} change values are no timestamp" if unread else "")
-    delete_folder(spark, staging)
+    target = lake.table("silver", key)
+    if table_exists(spark, target):
+        _merge(spark, target, source, lambda held, new: upsert(held, new, contract.primary_key), contract.primary_key, as_of, seen["mark"])
+    else:
+        create_merged(source, target, contract.primary_key, as_of, seen["mark"], expected=0)
+    log(seen["n"], counts["total_rows"] - counts["bad_rows"], counts["bad_rows"], message=note)
+    drop_table(spark, staging)
     return "Succeeded"
 
 
+def _merge(spark: SparkSession, table: str, source: DataFrame, combine, keys: Sequence[str], as_of: datetime, mark: datetime | None):
+    """Merge by key bucket, or in full where columns or types have changed since the table was written."""
+    version = current_version(spark, table)
+    held = read_table(spark, table)
+    types = {f.name: f.dataType for f in held.schema}
+    if version.buckets and types == {f.name: f.dataType for f in source.schema}:
+        return merge_table(table, source, combine, as_of, mark)
+    held = held.select(*[(F.col(f.name) if f.name in types else F.lit(None)).cast(f.dataType).alias(f.name) for f in source.schema])
+    return create_merged(combine(held, source), table, keys, as_of, mark or version.mark, expected=version.number)
+
+
 def load_identities(lake: Lake, candidates: DataFrame, run_id: str, as_of: datetime, clock: Clock = utc_now) -> None:
-    """Match one batch of person records and commit the cross-reference, then the people that follow from it."""
-    started = clock()
-    xref = lake.get("silver", "person_xref")
-    keyed = match_keys(candidates)
-    known = xref if xref is not None else local_table(lake.spark, [], XREF_SCHEMA)
-    overwrite_table(append_xref(known, match_known(keyed, known), as_of), lake.path("silver", "person_xref"), as_of)
-    overwrite_table(golden_people(keyed, lake.read("silver", "person_xref"), as_of), lake.path("silver", "people"), as_of)
-    rows = lake.read("silver", "people").count()
-    log_run(lake.spark, lake.path("audit", "run_log"), run_id=run_id, step="load_identities", entity="people", stage="silver",
-            rows_in=candidates.count(), rows_out=rows, started_at=started, ended_at=clock())
+    """Match one batch of person records and write the cross-reference, then the people that follow from it.
+
+    The matched batch is staged once.  Each write fails if another writer came between; people are made from the
+    cross-reference that this run wrote.
+    """
+    spark, started = lake.spark, clock()
+    xref_table, people_table = lake.table("silver", "person_xref"), lake.table("silver", "people")
+    versions = [current_version(spark, t) for t in (xref_table, people_table)]
+    before = [v.number if v else 0 for v in versions]
+    arrived, made = Observation(), Observation()
+    keyed = stage_table(match_keys(candidates).observe(arrived, F.count(F.lit(1)).alias("n")), lake.table("stage", f"people-{run_id}"))
+    known = lake.get("silver", "person_xref")
+    known = known if known is not None else local_table(spark, [], XREF_SCHEMA)
+    matched = stage_table(match_known(keyed, known), lake.table("stage", f"matched-{run_id}"))
+    overwrite_table(append_xref(known, matched, as_of), xref_table, as_of, expected=before[0])
+    people = golden_people(keyed, lake.read("silver", "person_xref"), as_of).observe(made, F.count(F.lit(1)).alias("n"))
+    overwrite_table(people, people_table, as_of, expected=before[1])
+    log_run(spark, lake.path("audit", "run_log"), run_id=run_id, step="load_identities", entity="people", stage="silver",
+            rows_in=arrived.get["n"], rows_out=made.get["n"], started_at=started, ended_at=clock())
+    for purpose in ("people", "matched"):
+        drop_table(spark, lake.table("stage", f"{purpose}-{run_id}"))
 
 
 @dataclass(frozen=True)
@@ -176,40 +234,47 @@ class Step:
     """One target of the gold load.  ``build`` gets a reader ``(target, ddl) -> frame`` for tables built so far.
 
     A step with ``keys`` is incremental: ``build`` also gets the target's mark (None at first) and returns the changed
-    rows, whose old versions are replaced by key, and ``top`` returns the highest change value to be read before.
+    rows, whose old versions are replaced by key, and ``top`` returns the highest change value to be read before.  Only
+    the key buckets that changed rows fall in are rewritten; ``bucket_expr`` is the bucket in SQL if not a hash of the keys.
+    A step without ``keys`` is replaced in full and clustered by ``cluster_by``.
     """
 
     target: str
     build: Callable[..., DataFrame]
     keys: Sequence[str] = ()
     top: Callable[[Callable[..., DataFrame]], datetime | None] | None = None
+    bucket_expr: str | None = None
+    cluster_by: Sequence[str] = ()
 
 
 def _load_step(lake: Lake, step: Step, reader, as_of: datetime) -> tuple[int, int, int]:
-    """Rows inserted, updated and deleted."""
-    path = lake.path("gold", step.target)
-    committed = _newest(lake.spark, path)
-    number = committed["number"] if committed else 0
+    """Rows inserted, updated and deleted, as the writes count them."""
+    spark, table = lake.spark, lake.table("gold", step.target)
+    version = current_version(spark, table)
+    number = version.number if version else 0
+    count = F.count(F.lit(1)).alias("n")
     if not step.keys:
-        before = lake.read("gold", step.target).count() if committed else 0
-        overwrite_table(step.build(reader), path, as_of, expected=number)
-        return lake.read("gold", step.target).count(), 0, before
-    old = committed["high_water_mark"] if committed else None
+        before = lake.read("gold", step.target).count() if version else 0  # answered from the files' footers
+        written = Observation()
+        overwrite_table(step.build(reader).observe(written, count), table, as_of, cluster_by=step.cluster_by, expected=number)
+        return written.get["n"], 0, before
+    old = version.mark if version else None
     top = step.top(reader) if step.top else None
-    if committed and top is not None and old is not None and top <= old:
+    if version and top is not None and old is not None and top <= old:
         return 0, 0, 0
-    staging = lake.path("stage", f"gold-{step.target}")
-    changed = stage_table(step.build(reader, old), staging)
-    arrived = changed.count()
-    if committed is None:
-        updated = 0
-        overwrite_table(changed, path, as_of, top, expected=number)
+    staging = lake.table("stage", f"gold-{step.target}")
+    arrived = Observation()
+    changed = stage_table(step.build(reader, old).observe(arrived, count), staging)
+    n = arrived.get["n"]
+    if version is None:
+        create_merged(changed, table, step.keys, as_of, top, bucket_expr=step.bucket_expr, expected=number)
+        out = n, 0, 0
     else:
-        target = lake.read("gold", step.target)
-        updated = target.join(changed.select(*step.keys).distinct(), list(step.keys), "left_semi").count()
-        overwrite_table(delete_insert(target, changed, list(step.keys)), path, as_of, top or old, committed["partition_by"], expected=number)
-    delete_folder(lake.spark, staging)
-    return max(arrived - updated, 0), min(updated, arrived), max(updated - arrived, 0)
+        merged = merge_table(table, changed, lambda held, new: delete_insert(held, new, list(step.keys)), as_of, top or old)
+        replaced = merged.rows_before + n - merged.rows_after
+        out = max(n - replaced, 0), min(replaced, n), max(replaced - n, 0)
+    drop_table(spark, staging)
+    return out
 
 
 def load_gold(lake: Lake, steps: Sequence[Step], run_id: str, as_of: datetime, run_by: str = "", clock: Clock = utc_now) -> None:
@@ -234,7 +299,7 @@ def load_gold(lake: Lake, steps: Sequence[Step], run_id: str, as_of: datetime, r
                      deleted=deleted, started_at=started, ended_at=clock(), run_by=run_by)
         except Exception as problem:
             load_log(spark, log_path, run_id=run_id, step=f"load {step.target}", target=step.target, status="Failed",
-                     message=str(problem)[:4000], started_at=started, ended_at=clock(), run_by=run_by)
+                     message=str(problem), started_at=started, ended_at=clock(), run_by=run_by)
             raise
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,7 +10,7 @@ from ..functions import boundary_hours, local_time, system_of
 from ..operators.aggregate import union_all
 
 __all__ = ["gold_integrity", "finance_integrity", "pipeline_health", "source_freshness", "freshness_status",
-           "snapshot_source_freshness", "dq_sla_check", "count_check", "duplicate_check", "data_through",
+           "snapshot_source_freshness", "dq_sla_check", "count_check", "duplicate_check", "fold_checks", "data_through",
            "DEFAULT_SLA_HOURS", "SLA_TARGETS"]
 
 DEFAULT_REFRESH, DEFAULT_SLA_HOURS = "daily", 26
@@ -21,36 +21,51 @@ SLA_TARGETS = {"error rule pass rate": 0.995, "known member rows": 0.995, "bronz
 
 def count_check(df: DataFrame, table: str, check: str, condition: Column) -> DataFrame:
     """One line: rows that satisfy a failing condition."""
-    return df.agg(F.count_if(condition).alias("rows_failing")).select(
-        F.lit(table).alias("fact_table"), F.lit(check).alias("check_name"), "rows_failing")
+    return fold_checks(df, table, {check: condition})
 
 
 def duplicate_check(df: DataFrame, table: str, check: str, key: str) -> DataFrame:
     """One line: keys that occur more than once."""
-    per_key = df.groupBy(key).agg((F.count(F.lit(1)) > 1).alias("_repeated"))
-    return count_check(per_key, table, check, F.col("_repeated"))
+    return fold_checks(df, table, {}, key, {check: F.count(F.lit(1)) > 1})
+
+
+def fold_checks(df: DataFrame, table: str, rows: Mapping[str, Column], key: str | None = None,
+                groups: Mapping[str, Column] | None = None) -> DataFrame:
+    """All checks of one table from one reading of it, one line per check with the rows (or groups) that fail.
+
+    ``rows`` are conditions on rows; ``groups`` are conditions on aggregates of the rows that share ``key``.  With groups,
+    the row conditions are counted by the same grouping, so the table is read and shuffled once; it combines on the map
+    side.  The counts are laid out as lines at the end.
+    """
+    groups = groups or {}
+    counted = {f"_r{k}": F.count_if(condition) for k, condition in enumerate(rows.values())}
+    tested = {f"_g{k}": condition for k, condition in enumerate(groups.values())}
+    if groups:
+        df = df.groupBy(key).agg(*[c.alias(n) for n, c in {**counted, **tested}.items()])
+        counted = {n: F.coalesce(F.sum(n), F.lit(0)) for n in counted} | {n: F.count_if(F.col(n)) for n in tested}
+    folded = df.agg(*[c.alias(n) for n, c in counted.items()])
+    lines = [F.struct(F.lit(table).alias("fact_table"), F.lit(check).alias("check_name"), F.col(n).alias("rows_failing"))
+             for check, n in zip([*rows, *groups], counted)]
+    return folded.select(F.inline(F.array(*lines)))
 
 
 def gold_integrity(sales: DataFrame, gifts: DataFrame, patrons: DataFrame) -> DataFrame:
-    """Unknown keys, repeated ids and several open versions."""
+    """Unknown keys, repeated ids and several open versions; each table is read once."""
+    repeated = F.count(F.lit(1)) > 1
     return union_all([
-        count_check(sales, "fact.ticket_sales", "unknown patron", F.col("patron_key") == -1),
-        count_check(sales, "fact.ticket_sales", "unknown performance", F.col("performance_key") == -1),
-        count_check(gifts, "fact.gifts", "unknown patron", F.col("patron_key") == -1),
-        count_check(gifts, "fact.gifts", "unknown campaign", F.col("campaign_key") == -1),
-        duplicate_check(gifts, "fact.gifts", "duplicate gift_id", "gift_id"),
-        duplicate_check(sales, "fact.ticket_sales", "duplicate order_line_id", "order_line_id"),
+        fold_checks(sales, "fact.ticket_sales", {"unknown patron": F.col("patron_key") == -1, "unknown performance": F.col("performance_key") == -1},
+                    "order_line_id", {"duplicate order_line_id": repeated}),
+        fold_checks(gifts, "fact.gifts", {"unknown patron": F.col("patron_key") == -1, "unknown campaign": F.col("campaign_key") == -1},
+                    "gift_id", {"duplicate gift_id": repeated}),
         duplicate_check(patrons.where("is_current"), "dim.patron", "multiple current versions", "patron_id")])
 
 
 def finance_integrity(gl: DataFrame, funds: DataFrame, events: DataFrame, bookings: DataFrame,
                       recon: DataFrame) -> DataFrame:
-    """Unbalanced journals, unknown keys, missing links and variances without an explanation."""
-    journals = gl.groupBy("journal_id").agg((F.sum("debit_amount") != F.sum("credit_amount")).alias("_off"))
+    """Unbalanced journals, unknown keys, missing links and variances without an explanation; each table is read once."""
     return union_all([
-        count_check(journals, "fin.fact_gl_entry", "unbalanced journals", F.col("_off")),
-        count_check(gl, "fin.fact_gl_entry", "unknown account", F.col("account_key") == -1),
-        count_check(gl, "fin.fact_gl_entry", "unknown fund", F.col("fund_key") == -1),
+        fold_checks(gl, "fin.fact_gl_entry", {"unknown account": F.col("account_key") == -1, "unknown fund": F.col("fund_key") == -1},
+                    "journal_id", {"unbalanced journals": F.sum("debit_amount") != F.sum("credit_amount")}),
         # Check names are fixed output values.
         count_check(funds, "dim.fund", "Tessitura fund with no ledger code",
                     (F.col("fund_key") > 0) & F.col("ledger_fund_code").isNull()),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..operators import changes, clean, identity, quality
+from ..sources import tables
 from .quality_rules import LINE_RULES, ORDER_RULES
 from .registry import query
 from .sql import dkey, money
@@ -370,15 +371,21 @@ def people(t: Showcase):
 
 
 def first_xref(t: Showcase, keyed):
+    """The cross-reference of a first batch, everyone with an address, as a table."""
     empty = t.literal([], identity.XREF_SCHEMA)
     first = keyed.where(F.col("address_line1").isNotNull())
-    return identity.append_xref(empty, identity.match_known(first, empty), AS_OF)
+    return staged(t, "xref", identity.append_xref(empty, staged(t, "matched", identity.match_known(first, empty)), AS_OF))
+
+
+def staged(t: Showcase, purpose: str, df):
+    return tables.stage_table(df, tables.work_table(t.spark, purpose))
 
 
 def linked(t: Showcase):
-    keyed = identity.match_keys(people(t))
+    """Keyed records and the cross-reference after a second batch, each batch matched once."""
+    keyed = staged(t, "keyed", identity.match_keys(people(t)))
     known = first_xref(t, keyed)
-    return keyed, identity.append_xref(known, identity.match_known(keyed, known), AS_OF)
+    return keyed, identity.append_xref(known, staged(t, "matched", identity.match_known(keyed, known)), AS_OF)
 
 
 @query("match_keys", "SELECT source_id, email_key, name_zip_key FROM keyed", local=KEYED)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..contracts import Rule, SourceContract, TableContract
 from ..operators.aggregate import union_all
+from ..operators.changes import delete_insert, upsert, upsert_null_safe
+from ..operators.clean import with_row_hash
 from ..plans import daily
 from ..session import work_path
 from ..sources import api_pages, databases, landing, logs, sheets, tables
@@ -142,45 +144,109 @@ SHEET_TYPES = {"enrollment_id": "string", "school_id": "string", "participants":
 
 @query("combine_sheets", """
     SELECT 'S' || event_id AS enrollment_id, CASE WHEN event_type = 'signup' THEN 'X' || user_id END AS school_id, CAST(floor(value) AS INTEGER) AS participants, event_type = 'signup' AND user_id % 2 = 0 AS is_title_i,
-           CASE event_type WHEN 'signup' THEN 'a.csv' ELSE 'B.CSV' END AS source_file FROM events WHERE event_type IN ('signup', 'view') AND NOT (event_type = 'view' AND value < 5)""")
+           CASE event_type WHEN 'signup' THEN 'a.csv' ELSE 'B.CSV' END AS source_file FROM events WHERE event_type = 'signup' OR value >= 5""")
 def combine_sheets(t: Showcase):
+    """Signups in one layout, every other event in another that lacks two columns."""
     a = t.events.where("event_type = 'signup'").select(F.concat(F.lit("S"), "event_id").alias("Enrollment ID"), F.concat(F.lit("X"), "user_id").alias("School ID"), F.floor("value").cast("string").alias("Participants"),
                                                        F.when(F.col("user_id") % 2 == 0, "Yes").otherwise("No").alias("Title I"))
-    b = t.events.where("event_type = 'view'").select(F.when(F.col("value") < 5, " ").otherwise(F.concat(F.lit("S"), "event_id")).alias("Enrollment ID"), F.floor("value").cast("string").alias("Participants"))
+    b = t.events.where("event_type <> 'signup'").select(F.when(F.col("value") < 5, " ").otherwise(F.concat(F.lit("S"), "event_id")).alias("Enrollment ID"), F.floor("value").cast("string").alias("Participants"))
     return sheets.combine_sheets({"a.csv": a, "B.CSV": b, "notes.txt": a}, RENAMES, SHEET_TYPES, "enrollment_id", ["is_title_i"])
 
 
-@query("read_sheet_folder", "SELECT 'S' || event_id AS enrollment_id, 'X' || user_id AS school_id, CAST(floor(value) AS INTEGER) AS participants, user_id % 2 = 0 AS is_title_i FROM events WHERE event_type = 'signup'")
+@query("read_sheet_folder", "SELECT 'S' || event_id AS enrollment_id, CASE WHEN event_type = 'view' THEN NULL ELSE 'X' || user_id END AS school_id, CAST(floor(value) AS INTEGER) AS participants, user_id % 2 = 0 AS is_title_i FROM events")
 def read_sheet_folder(t: Showcase):
+    """All events as sheets, one column order for each event type; views come without a school."""
     folder = work_path(t.spark, "sheets")
-    headers = ["Enrollment ID", "School ID", "Participants", "Title I"]
-    t.events.where("event_type = 'signup'").select(
-        F.concat(F.lit("S"), "event_id").alias(headers[0]), F.concat(F.lit("X"), "user_id").alias(headers[1]), F.floor("value").alias(headers[2]),
-        F.when(F.col("user_id") % 2 == 0, "Yes").otherwise("No").alias(headers[3])).write.option("header", True).csv(folder)
+    cells = {"Enrollment ID": F.concat(F.lit("S"), "event_id"), "School ID": F.concat(F.lit("X"), "user_id"), "Participants": F.floor("value"),
+             "Title I": F.when(F.col("user_id") % 2 == 0, "Yes").otherwise("No")}
+    headers = list(cells)
+    layouts = {"view": [h for h in headers if h != "School ID"], "signup": headers, "click": headers[::-1]}
+    known = F.col("event_type").isin("view", "signup")
+    for kind, layout in layouts.items():
+        rows = t.events.where(F.col("event_type") == kind) if kind != "click" else t.events.where(~known)
+        rows.select(*[cells[h].alias(h) for h in layout]).write.mode("append").option("header", True).csv(folder)
     return sheets.read_sheet_folder(t.spark, folder, headers, RENAMES, SHEET_TYPES, "enrollment_id", ["is_title_i"]).drop("source_file")
 
 
 @query("overwrite_table", "SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(14,2)) * 2 AS price FROM orders", money="price")
 def overwrite_table(t: Showcase):
     """Written, then rewritten from itself with a new schema."""
-    path = work_path(t.spark, "orders")
-    tables.overwrite_table(t.orders.select("o_orderkey", dec("o_totalprice").alias("old_price")), path, NOW)
-    doubled = tables.read_table(t.spark, path).select("o_orderkey", (F.col("old_price") * 2).alias("price"))
-    tables.overwrite_table(doubled, path, NOW + timedelta(hours=1))
-    return tables.read_table(t.spark, path)
+    table = tables.work_table(t.spark, "orders")
+    tables.overwrite_table(t.orders.select("o_orderkey", dec("o_totalprice").alias("old_price")), table, NOW)
+    doubled = tables.read_table(t.spark, table).select("o_orderkey", (F.col("old_price") * 2).alias("price"))
+    tables.overwrite_table(doubled, table, NOW + timedelta(hours=1))
+    return tables.read_table(t.spark, table)
+
+
+@query("clustered_tables", "SELECT o_orderkey, count(*) AS lines, sum(CAST(l_extendedprice AS DECIMAL(14,2))) AS amount FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1", money="amount")
+def clustered_tables(t: Showcase):
+    """Two tables clustered by their business key meet without an exchange."""
+    orders, lines = tables.work_table(t.spark, "orders"), tables.work_table(t.spark, "lines")
+    tables.overwrite_table(t.orders.select("o_orderkey"), orders, NOW, cluster_by=["o_orderkey"])
+    tables.overwrite_table(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), dec("l_extendedprice").alias("amount")), lines, NOW, cluster_by=["o_orderkey"])
+    joined = tables.read_table(t.spark, orders).join(tables.read_table(t.spark, lines).hint("merge"), "o_orderkey")
+    return joined.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("lines"), F.sum("amount").alias("amount"))
+
+
+def order_state(t: Showcase):
+    """Orders with a fingerprint, the state before a delivery."""
+    return with_row_hash(t.orders.select("o_orderkey", "o_orderstatus", dec("o_totalprice").alias("price")), ["o_orderstatus", "price"])
+
+
+def order_delivery(t: Showcase):
+    """A delivery: open orders with a new price, all others of the same customers unchanged, and a new order for every customer."""
+    seen = t.orders.where("o_orderstatus <> 'F'").select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderstatus") == "O", dec("o_totalprice") + 1).otherwise(dec("o_totalprice")).alias("price"))
+    new = t.customer.select((F.col("c_custkey") + 1000000000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), dec("c_acctbal").alias("price"))
+    return with_row_hash(seen.union(new), ["o_orderstatus", "price"])
+
+
+MERGED = """
+    SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(14,2)) + CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS price FROM orders
+    UNION ALL SELECT c_custkey + 1000000000, 'N', CAST(c_acctbal AS DECIMAL(14,2)) FROM customer"""
+
+
+@query("merge_upsert", MERGED, money="price")
+def merge_upsert(t: Showcase):
+    """An upsert that reads and replaces the key buckets of the delivery only."""
+    table = tables.work_table(t.spark, "merged")
+    tables.create_merged(order_state(t), table, ["o_orderkey"], NOW)
+    tables.merge_table(table, order_delivery(t), lambda held, new: upsert(held, new, ["o_orderkey"]), NOW)
+    return tables.read_table(t.spark, table).drop("_row_hash")
+
+
+@query("merge_upsert_null_safe", MERGED, money="price")
+def merge_upsert_null_safe(t: Showcase):
+    """The same by comparing columns, bucketed by ranges of the order key."""
+    table = tables.work_table(t.spark, "merged")
+    plain = ["o_orderkey", "o_orderstatus", "price"]
+    tables.create_merged(order_state(t).select(*plain), table, ["o_orderkey"], NOW, bucket_expr="least(o_orderkey div 20000, 500)")
+    tables.merge_table(table, order_delivery(t).select(*plain), lambda held, new: upsert_null_safe(held, new, ["o_orderkey"], ["o_orderstatus", "price"]).drop("_action"), NOW)
+    return tables.read_table(t.spark, table)
+
+
+@query("merge_delete_insert", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') "
+       "UNION ALL SELECT o_orderkey, 0, -1 FROM orders WHERE o_orderstatus = 'P'")
+def merge_delete_insert(t: Showcase):
+    """Pending orders arrive again, each as one line that replaces all it had."""
+    table = tables.work_table(t.spark, "merged")
+    tables.create_merged(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), table, ["l_orderkey"], NOW)
+    arriving = t.orders.where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0).cast(t.lineitem.schema["l_linenumber"].dataType).alias("l_linenumber"),
+                                                            F.lit(-1).cast(t.lineitem.schema["l_quantity"].dataType).alias("l_quantity"))
+    tables.merge_table(table, arriving, lambda held, new: delete_insert(held, new, ["l_orderkey"]), NOW)
+    return tables.read_table(t.spark, table)
 
 
 @query("stage_table", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
 def stage_table(t: Showcase):
-    return tables.stage_table(t.orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")), work_path(t.spark, "stage"))
+    return tables.stage_table(t.orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")), tables.work_table(t.spark, "stage"))
 
 
 @query("truncate_reload", "SELECT (SELECT count(*) FROM orders) AS first_rows, (SELECT count(*) FROM customer) AS second_rows, (SELECT sum(c_custkey) FROM customer) AS checksum", whole="checksum")
 def truncate_reload(t: Showcase):
-    path = work_path(t.spark, "reload")
-    first = tables.truncate_reload(t.orders, path, NOW)
-    second = tables.truncate_reload(t.customer, path, NOW + timedelta(hours=1))
-    return tables.read_table(t.spark, path).agg(F.lit(first).cast("bigint").alias("first_rows"), F.lit(second).cast("bigint").alias("second_rows"), F.sum("c_custkey").alias("checksum"))
+    table = tables.work_table(t.spark, "reload")
+    first = tables.truncate_reload(t.orders, table, NOW)
+    second = tables.truncate_reload(t.customer, table, NOW + timedelta(hours=1))
+    return tables.read_table(t.spark, table).agg(F.lit(first).cast("bigint").alias("first_rows"), F.lit(second).cast("bigint").alias("second_rows"), F.sum("c_custkey").alias("checksum"))
 
 
 @query("static_lookup", "SELECT cash_flow_line, cash_direction, sum(debit_amount - credit_amount) AS moved FROM gl WHERE account_code = '1010' GROUP BY 1, 2", ["gl"], money="moved")
@@ -213,30 +279,30 @@ def source_config(t: Showcase):
 
 @query("compact_table", "SELECT 'Succeeded' AS status, 1 AS files, (SELECT count(*) FROM orders) AS rows, (SELECT sum(o_orderkey) FROM orders) AS checksum", whole="checksum")
 def compact_table(t: Showcase):
-    path = work_path(t.spark, "small_files")
-    tables.overwrite_table(t.orders.select("o_orderkey").repartition(16), path, NOW)
-    log = tables.compact_table(t.spark, {"orders": path}, NOW + timedelta(hours=1))
-    folded = tables.read_table(t.spark, path).agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("checksum"))
+    table = tables.work_table(t.spark, "small_files")
+    tables.overwrite_table(t.orders.select("o_orderkey").repartition(16), table, NOW)
+    log = tables.compact_table(t.spark, {"orders": table}, NOW + timedelta(hours=1))
+    folded = tables.read_table(t.spark, table).agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("checksum"))
     return folded.select(log.select("status").scalar().alias("status"), log.select("files").scalar().alias("files"), "rows", "checksum")
 
 
 @query("expire_snapshots", "SELECT 1 AS removed, 3 AS versions_left, count(*) AS rows FROM customer")
 def expire_snapshots(t: Showcase):
     """Four versions over ten days: only those superseded more than seven days ago go."""
-    path = work_path(t.spark, "history")
+    table = tables.work_table(t.spark, "history")
     for days_ago, frame in ((10, t.nation), (9, t.region), (3, t.supplier), (0, t.customer)):
-        tables.overwrite_table(frame, path, NOW - timedelta(days=days_ago))
-    removed = tables.expire_snapshots(t.spark, path, 168, NOW)
-    left = [n for n in tables.list_folder(t.spark, path) if n.startswith("version=")]
-    return tables.read_table(t.spark, path).agg(F.lit(len(removed)).alias("removed"), F.lit(len(left)).alias("versions_left"), F.count(F.lit(1)).alias("rows"))
+        tables.overwrite_table(frame, table, NOW - timedelta(days=days_ago))
+    removed = tables.expire_snapshots(t.spark, table, 168, NOW)
+    left = len(tables.written_versions(t.spark, table))
+    return tables.read_table(t.spark, table).agg(F.lit(len(removed)).alias("removed"), F.lit(left).alias("versions_left"), F.count(F.lit(1)).alias("rows"))
 
 
 @query("reset_gold", "SELECT 'fact.gifts' AS table_name, 0 AS n UNION ALL SELECT 'dim.patron', 0 UNION ALL SELECT 'dim_date', (SELECT count(*) FROM calendar)", ["calendar"])
 def reset_gold(t: Showcase):
-    paths = {name: work_path(t.spark, "gold") for name in ("fact.gifts", "dim.patron", "dim_date")}
+    gold = {name: tables.work_table(t.spark, name) for name in ("fact.gifts", "dim.patron", "dim_date")}
     for name, frame in (("fact.gifts", t.orders), ("dim.patron", t.customer), ("dim_date", t.calendar)):
-        tables.overwrite_table(frame, paths[name], NOW)
-    return tables.reset_gold(t.spark, paths, NOW + timedelta(hours=1))
+        tables.overwrite_table(frame, gold[name], NOW)
+    return tables.reset_gold(t.spark, gold, NOW + timedelta(hours=1))
 
 
 @query("stream_landing", "SELECT event_type, count(*) AS n, CAST(count(DISTINCT CAST(ts AS DATE)) AS BIGINT) AS days FROM events GROUP BY 1")

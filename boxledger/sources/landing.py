@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-from .tables import list_folder
+from .tables import file_paths
 
 __all__ = ["read_landing_csv", "read_landing_json", "add_lineage", "available_days", "pending_partitions",
            "read_manifests", "manifest_lines", "MANIFEST_SCHEMA"]
@@ -62,9 +63,9 @@ def add_lineage(df: DataFrame, load_date, batch_id: str, as_of) -> DataFrame:
 
 
 def available_days(spark: SparkSession, root: str, entity: str) -> list[str]:
-    """Days that have a folder, from the directory listing alone."""
-    names = list_folder(spark, f"{root.rstrip('/')}/{entity}")
-    return sorted(n.removeprefix(DAY_PREFIX) for n in names if n.startswith(DAY_PREFIX))
+    """Days that have a folder with files, from the directory listing alone."""
+    files = file_paths(spark, f"{root.rstrip('/')}/{entity}") or []
+    return sorted({m[1] for f in files if (m := re.search(f"/{DAY_PREFIX}([^/]+)/", f))})
 
 
 def pending_partitions(available: DataFrame, ingest_log: DataFrame | None, entities: Sequence[str] | None = None,

@@ -20,7 +20,6 @@ LOAD_LOG_SCHEMA = ("run_id string, procedure_name string, target_table string, r
                    "ended_at timestamp, run_by string")
 INGEST_LOG_SCHEMA = "entity string, load_date string, rows bigint, batch_id string, ingested_at timestamp"
 CONFIG_SCHEMA = "source_system string, source string, expected_refresh string, sla_hours int"
-MESSAGE_LIMIT = 4000
 
 
 def _append(spark: SparkSession, row: tuple, schema: str, path: str | None) -> DataFrame:
@@ -36,7 +35,7 @@ def log_run(spark: SparkSession, path: str | None, *, run_id: str, step: str, en
             started_at: datetime, ended_at: datetime) -> DataFrame:
     """One row per table and step."""
     return _append(spark, (run_id, step, entity, stage, rows_in, rows_out, rows_quarantined, status,
-                           message[:MESSAGE_LIMIT], started_at, ended_at), RUN_LOG_SCHEMA, path)
+                           message, started_at, ended_at), RUN_LOG_SCHEMA, path)
 
 
 def load_log(spark: SparkSession, path: str | None, *, run_id: str, step: str, target: str, inserted: int = 0,

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import clean_text
-from .tables import list_folder, local_table
+from .tables import file_paths, local_table
 
 __all__ = ["combine_sheets", "read_sheet_folder"]
 
@@ -49,8 +49,7 @@ def read_sheet_folder(spark: SparkSession, folder: str, headers: Sequence[str],
     distributed read, so the plan grows with the number of layouts, not of files.  Columns outside ``headers`` are left
     out, absent ones are NULL.  Header names may be quoted but do not span lines.
     """
-    names = [n for n in list_folder(spark, folder) if n.lower().endswith(extension.lower())]
-    paths = [f"{folder.rstrip('/')}/{n}" for n in names]
+    paths = [f for f in file_paths(spark, folder) or [] if f.lower().endswith(extension.lower())]
     file_name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     layouts: dict[tuple[str, ...], list[str]] = {}
     if paths:

@@ -91,23 +91,23 @@ def test_combine_sheets(frame):
 
 
 def test_versions_and_expiry(spark, frame):
-    path = work_path(spark, "test-table")
+    table = tables.work_table(spark, "test-table")
     for age, value in ((10, 1), (9, 2), (3, 3), (0, 4)):
-        tables.overwrite_table(frame([(value,)], "v int"), path, NOW - timedelta(days=age))
-    assert tables.read_table(spark, path).first()["v"] == 4
-    assert len(tables.expire_snapshots(spark, path, 168, NOW)) == 1
-    assert tables.expire_snapshots(spark, path, 168, NOW) == []
-    assert tables.read_table(spark, path).first()["v"] == 4
+        tables.overwrite_table(frame([(value,)], "v int"), table, NOW - timedelta(days=age))
+    assert tables.read_table(spark, table).first()["v"] == 4
+    assert len(tables.expire_snapshots(spark, table, 168, NOW)) == 1
+    assert tables.expire_snapshots(spark, table, 168, NOW) == []
+    assert tables.read_table(spark, table).first()["v"] == 4
     with pytest.raises(FileNotFoundError):
-        tables.read_table(spark, work_path(spark, "nothing"))
+        tables.read_table(spark, tables.work_table(spark, "nothing"))
 
 
 def test_compaction_reports_failures(spark, frame):
-    path = work_path(spark, "test-compact")
-    tables.overwrite_table(frame([(i,) for i in range(8)], "v int").repartition(4), path, NOW)
-    log = tables.compact_table(spark, {"good": path, "broken": work_path(spark, "missing")}, NOW + timedelta(hours=1))
+    table = tables.work_table(spark, "test-compact")
+    tables.overwrite_table(frame([(i,) for i in range(8)], "v int").repartition(4), table, NOW)
+    log = tables.compact_table(spark, {"good": table, "broken": tables.work_table(spark, "missing")}, NOW + timedelta(hours=1))
     assert {r["table_name"]: r["status"] for r in log.collect()} == {"good": "Succeeded", "broken": "Failed"}
-    assert tables.read_table(spark, path).count() == 8
+    assert tables.read_table(spark, table).count() == 8
     with pytest.raises(RuntimeError, match="broken"):
         tables.require_success(log)
 
