@@ -172,7 +172,7 @@ def repeated_ranges(texts: list[bytes], counts: np.ndarray, length: int) -> tupl
     """String, first word and end word of the runs of windows that occur twice or more; ``counts`` weighs each string."""
     weights, first_hash, second_hash, owner, offset = [], [], [], [], []
     base = 0
-    for part in split_words(pa.array(texts, pa.large_binary()).view(pa.large_string()), limit=8 << 20):
+    for part in split_words(pa.array(texts, pa.large_binary()).view(pa.large_string())):
         one, two, bounds = window_hashes(part, length)
         n = np.diff(bounds)
         rows = np.repeat(np.arange(part.n_rows), n)
