@@ -4,7 +4,9 @@ Two bag-of-n-grams models over hashed buckets, one of target text (labelled good
 document a log importance weight: the sum over its n-grams of the log ratio of their probabilities.  Gumbel noise is
 added and the ``k`` largest sums are kept, which samples ``k`` documents without replacement in proportion to weight.
 
-N-grams run over word shapes (letter case, digits, last sign, repeat of the word before), so unseen words count too.
+N-grams run over words (1 and 2) and over word shapes (letter case, digits, last sign, repeat of the word before; 1 to 3),
+so a text's words tell as well as its form, and unseen words count too.  Words and shapes have buckets of their own and are
+two models each, whose log ratios add up.
 The raw model covers every row; labels come from a bounded sample, which also sets ``k``: the number of documents whose
 weight reaches the cut that parts the sample's two classes best.
 """
@@ -60,11 +62,27 @@ def shapes(words) -> np.ndarray:
     return mix((packed * 256 + sign).astype(np.uint64) + np.uint64(0x51ED27))
 
 
+#: Longest n-gram of words.
+WORD_GRAMS = 2
+
+
 def grams(words, n_grams: int, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Buckets of the 1- to ``n_grams``-grams of shapes, each with its bounds by row."""
-    shape = shapes(words)
-    out = [(shape, words.bounds)] + [windows(shape, words.bounds, n, n) for n in range(2, n_grams + 1)]
-    return [((h % np.uint64(buckets)).astype(np.int64), bounds) for h, bounds in out]
+    """Buckets of the 1- to ``n_grams``-grams of shapes (the first ``buckets``) and of the words (those after), each with its
+    bounds by row."""
+    out = []
+    for first, values, longest in ((0, shapes(words), n_grams), (buckets, words.hashes(), WORD_GRAMS)):
+        for n in range(1, longest + 1):
+            h, bounds = (values, words.bounds) if n == 1 else windows(values, words.bounds, n, n)
+            out.append(((h % np.uint64(buckets)).astype(np.int64) + first, bounds))
+    return out
+
+
+def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log of target over raw probability per bucket, counts plus one, for each of the two models by itself."""
+    parts = []
+    for r, t in zip(np.split(raw, 2), np.split(target, 2)):
+        parts.append(np.log((t + 1) / (t.sum() + len(t))) - np.log((r + 1) / (r.sum() + len(r))))
+    return np.concatenate(parts)
 
 
 def _sample(labels: DataFrame, id_col: str, label_col: str, max_rows: int) -> DataFrame:
@@ -88,26 +106,25 @@ def fit(docs: DataFrame, labels: DataFrame, *, n_grams: int = 3, buckets: int =
     Without a good labelled row the target is all text, so every weight is zero.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        raw, target = np.zeros(2 * buckets, np.int64), np.zeros(2 * buckets, np.int64)
         for batch in batches:
             good = batch.column(2).fill_null(0).to_numpy(zero_copy_only=False) == 1
             for part in split_words(batch.column(1), limit=1 << 20):
                 own = good[part.first_row:part.first_row + part.n_rows]
                 for bucket, bounds in grams(part, n_grams, buckets):
-                    raw += np.bincount(bucket, minlength=buckets)
-                    target += np.bincount(bucket[np.repeat(own, np.diff(bounds))], minlength=buckets)
+                    raw += np.bincount(bucket, minlength=2 * buckets)
+                    target += np.bincount(bucket[np.repeat(own, np.diff(bounds))], minlength=2 * buckets)
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(target[some])], ["bucket", "raw", "target"])
 
     rows = _labelled(docs, labels, id_col, text_col, label_col, max_rows).select("_id", "_text", "_label")
     counted = map_arrow(rows, run, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target"))
-    raw, target = np.zeros(buckets), np.zeros(buckets)
+    raw, target = np.zeros(2 * buckets), np.zeros(2 * buckets)
     for bucket, n, good in counted.collect():  # at most one row per bucket
         raw[bucket], target[bucket] = n, good
     if not target.sum():
         target = raw
-    log = lambda x: np.log((x + 1) / (x.sum() + buckets))
-    return Weights(log(target) - log(raw), n_grams, seed)
+    return Weights(log_ratios(raw, target), n_grams, seed)
 
 
 def weigh(batch_ids, batch_texts, model: Weights) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +133,7 @@ def weigh(batch_ids, batch_texts, model: Weights) -> tuple[np.ndarray, np.ndarra
     weights, keys = [np.zeros(0)], [np.zeros(0)]
     for part in split_words(batch_texts, limit=1 << 20):
         total = np.zeros(part.n_rows)
-        for bucket, bounds in grams(part, model.n_grams, len(model.log_ratio)):
+        for bucket, bounds in grams(part, model.n_grams, len(model.log_ratio) // 2):
             sums = np.concatenate(([0.0], np.cumsum(model.log_ratio[bucket])))
             total += sums[bounds[1:]] - sums[bounds[:-1]]
         own = span_hashes(part.data, part.text_bounds[:-1], part.text_bounds[1:])

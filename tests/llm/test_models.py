@@ -112,6 +112,50 @@ def test_kth_largest_is_exact(spark):
     assert quality.kth_largest(df, "v", 10) is None and quality.kth_largest(df, "v", 0) is None
 
 
+def test_words_count_beside_shapes(spark):
+    """Two texts of the same shape and other words: the words of good rows weigh more."""
+    good, bad = "quiet river boats along banks.", "cheap pills make happy money."
+    rows = [(k, " ".join([good if k % 2 else bad] * 3)) for k in range(40)]
+    docs, known = frame(spark, rows), labelled(spark, [(k, k % 2) for k in range(30)], "quality")
+    model = quality.fit(docs, known)
+    weight = {r.doc_id: r.log_weight for r in quality.importance(docs, known, model)[0].collect()}
+    assert min(weight[k] for k in range(1, 40, 2)) > max(weight[k] for k in range(0, 40, 2))
+    assert abs(weight[1]) > 1 and len({round(w, 6) for w in weight.values()}) == 2
+
+
+def test_weights_by_hand(spark):
+    """Counts and log ratios of both models recomputed in plain Python, from each row's own buckets."""
+    import pyarrow as pa
+    from boxledger.llm.textbytes import split_words
+    buckets = 64
+    rows = [(k, prose(k, 10 + k)) for k in range(12)] + [(20, None), (21, ""), (22, "one"), (23, prose(9, 5000))]
+    labels = {k: k % 2 for k in range(10)}
+    own = {}
+    for d, text in rows:
+        found = Counter()
+        for part in split_words(pa.array([text], pa.string())):
+            for bucket, _ in quality.grams(part, 3, buckets):
+                found.update(bucket.tolist())
+        own[d] = found
+    raw, target = Counter(), Counter()
+    for d, found in own.items():
+        raw.update(found)
+        if labels.get(d) == 1:
+            target.update(found)
+    weight = {}
+    for first in (0, buckets):
+        span = range(first, first + buckets)
+        n_raw, n_target = sum(raw[b] for b in span), sum(target[b] for b in span)
+        for b in span:
+            weight[b] = math.log((target[b] + 1) / (n_target + buckets)) - math.log((raw[b] + 1) / (n_raw + buckets))
+    docs, known = frame(spark, rows), labelled(spark, labels.items(), "quality")
+    model = quality.fit(docs, known, buckets=buckets)
+    for r in quality.importance(docs, known, model)[0].collect():
+        assert math.isclose(r.log_weight, sum(n * weight[b] for b, n in own[r.doc_id].items()), abs_tol=1e-4)
+        words = len((dict(rows)[r.doc_id] or "").split())
+        assert sum(own[r.doc_id].values()) == sum(max(words - n, 0) for n in (0, 1, 2, 0, 1))
+
+
 def test_quality_without_labels_or_rows(spark):
     docs = frame(spark, ODD)
     assert quality.resample(docs, labelled(spark, [], "quality")).count() == len(ODD)
