@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 __all__ = ["grouped", "distinct_rows", "having", "subtotals", "pivot_grid", "rowcount_reconcile", "status_histogram",
-           "require_no_mismatch", "first_per_group", "window_sum_whole_partition", "running_balance", "top_n", "top_1",
+           "require_no_mismatch", "first_per_group", "window_sum_whole_partition", "with_partition_total", "running_balance", "top_n", "top_1",
            "union_all", "intersect_rows", "except_rows", "sort_by_measure", "MismatchError"]
 
 
@@ -69,20 +69,47 @@ def first_per_group(df: DataFrame, partition: Sequence[str], ordering: Sequence[
 
 
 def window_sum_whole_partition(column: str | Column, partition: Sequence[str]) -> Column:
-    """Total of the partition beside each row; NULL partition values form their own partition."""
+    """Total of the partition beside each row; NULL partition values form their own partition.
+
+    A window gathers each partition in one task; where one may be large use :func:`with_partition_total`.
+    """
     value = F.col(column) if isinstance(column, str) else column
     return F.sum(value).over(Window.partitionBy(*partition))
 
 
-def running_balance(lines: DataFrame, order: str, amount: str, name: str = "balance") -> DataFrame:
+def with_partition_total(df: DataFrame, column: str | Column, partition: Sequence[str], name: str) -> DataFrame:
+    """Rows with the total of their partition as ``name``; NULL partition values form their own partition.
+
+    Totals combine on the map side and are joined back, so a partition that holds a third of all rows is never gathered:
+    its one total is broadcast or meets the rows in a join whose hot side adaptive execution splits.
+    """
+    value = F.col(column) if isinstance(column, str) else column
+    total = df.groupBy(*[F.col(c).alias(f"_of_{c}") for c in partition]).agg(F.sum(value).alias(name))
+    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_of_{c}`")) for c in partition])
+    return df.join(total, same, "left").select(*[F.col(f"`{c}`") for c in df.columns if c != name], name)
+
+
+def running_balance(lines: DataFrame, order: str, amount: str, name: str = "balance", slices: int = 32) -> DataFrame:
     """Everything up to and including the row's period; all lines of a period share the value.
 
-    Only one total per period enters the single ordered window (a calendar bounds their number); the lines themselves
-    are joined back by period.
+    A distributed prefix sum.  Lines are first folded to one total per period.  Quantiles of the periods cut them into at
+    most ``slices`` slices; each is summed by itself, and a slice starts from the total of all earlier ones, so no task sees
+    more than a slice however many periods there are.  The balances are joined back by period.  NULL amounts add nothing
+    (up to the first amount the balance is NULL); lines without a period get no balance, but their amounts come before all
+    others.
     """
     totals = lines.groupBy(order).agg(F.sum(amount).alias("_period"))
-    closing = totals.select(order, F.sum("_period").over(Window.orderBy(order)).alias(name))
-    return lines.join(closing, order, "left")
+    cuts = totals.agg(F.percentile_approx(order, [k / slices for k in range(1, slices)], 10_000).alias("cuts")).scalar() if slices > 1 else F.array()
+    beyond = F.size(F.filter("_cuts", lambda c: c < F.col(f"`{order}`")))
+    sliced = totals.withColumn("_cuts", cuts).withColumn("_slice", F.greatest(F.coalesce(beyond, F.lit(0)), F.lit(0))).drop("_cuts")
+    sums = sliced.groupBy("_slice").agg(F.sum("_period").alias("_sum"))
+    # At most `slices` sums, each told to every later slice.
+    later = sums.select(F.explode(F.sequence(F.col("_slice") + 1, F.lit(slices))).alias("_slice"), "_sum")
+    before = later.groupBy("_slice").agg(F.sum("_sum").alias("_before"))
+    within = F.sum("_period").over(Window.partitionBy("_slice").orderBy(order))
+    joined = sliced.select(order, "_slice", within.alias("_within")).join(before, "_slice", "left")
+    total = F.when(F.col("_within").isNull(), F.col("_before")).otherwise(F.col("_within") + F.coalesce("_before", F.lit(0)))
+    return lines.join(joined.select(order, total.alias(name)), order, "left")
 
 
 def top_n(df: DataFrame, n: int, order: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import boundary_hours, distinct_when, fiscal_start, ordered_string_agg, safe_ratio
 from ..operators.joins import align_facts
+from ..operators.people import count_people
 from .trust import freshness_status
 
 __all__ = ["Measure", "MEASURES", "measure", "GL_VALUES", "BUDGET_VALUES", "CASH_VALUES", "donor_years",
@@ -288,11 +289,15 @@ def _needed(names: Sequence[str]) -> list[str]:
 
 
 def measure(star: Mapping[str, DataFrame], names: Sequence[str], keys: Sequence[str] = (),
-            filters: Mapping[str, Sequence] | None = None, as_of=None) -> DataFrame:
+            filters: Mapping[str, Sequence] | None = None, as_of=None, people: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """One row per key with the named measures.
 
     A filter applies to every fact that has its column.  A fact that lacks some of the keys (rooms have no date) is
     folded to the keys it has and repeated over the others.
+
+    ``people`` gives bitmaps per fact (:func:`boxledger.operators.people.person_bitmaps`) with a column per distinct count
+    named like its measure.  Where they have the keys and filter columns that the fact has, those measures are counted from
+    them and the fact is not asked for distinct people.
     """
     needed = _needed(names)
     by_fact: dict[str, list[str]] = {}
@@ -306,6 +311,18 @@ def measure(star: Mapping[str, DataFrame], names: Sequence[str], keys: Sequence[
             if column in frame.columns:
                 frame = frame.where(F.col(column).isin(*values))
         have = [k for k in keys if k in frame.columns]
+        bitmaps = (people or {}).get(fact)
+        needs = {*have, *(c for c in filters or {} if c in frame.columns)}
+        if bitmaps is not None and needs <= set(bitmaps.columns):
+            counted = [m for m in members if m in bitmaps.columns]
+            for column, values in (filters or {}).items():
+                if column in bitmaps.columns:
+                    bitmaps = bitmaps.where(F.col(column).isin(*values))
+            if counted:
+                (full if len(have) == len(keys) else partial).append((count_people(bitmaps, have, counted), have))
+            members = [m for m in members if m not in counted]
+            if not members:
+                continue
         folded = frame.groupBy(*have).agg(*[MEASURES[m].aggregate(as_of).alias(m) for m in members])
         (full if len(have) == len(keys) else partial).append((folded, have))
     if full:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from ..functions import fiscal_year, month_start
 from ..operators import aggregate
-from ..plans import access
+from ..plans import access, row_policies
 from .registry import query
 from .sql import fy, money, mstart
 from .tables import Showcase, dec
@@ -110,6 +110,20 @@ def window_sum_whole_partition(t: Showcase):
     return folded.withColumn("total", aggregate.window_sum_whole_partition("spend", ["fiscal_year", "l_returnflag"]))
 
 
+@query("with_partition_total", f"SELECT l_orderkey, l_linenumber, sum({money('l_extendedprice')}) OVER (PARTITION BY l_returnflag, l_linestatus) AS total FROM lineitem", money="total")
+def with_partition_total(t: Showcase):
+    """Raw lines beside the total of one of a handful of partitions."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", dec("l_extendedprice").alias("price"))
+    return aggregate.with_partition_total(lines, "price", ["l_returnflag", "l_linestatus"], "total").select("l_orderkey", "l_linenumber", "total")
+
+
+@query("running_balance_by_event", "SELECT event_id, sum(CAST(value AS DECIMAL(14,2))) OVER (ORDER BY ts) AS balance FROM events", money="balance")
+def running_balance_by_event(t: Showcase):
+    """A balance over time stamps, as many as there are rows: a prefix sum in slices."""
+    lines = t.events.select("event_id", "ts", dec("value").alias("amount"))
+    return aggregate.running_balance(lines, "ts", "amount").select("event_id", "balance")
+
+
 @query("running_balance", f"SELECT m.*, sum(amount) OVER (ORDER BY month_start RANGE UNBOUNDED PRECEDING) AS balance FROM (SELECT {mstart('o_orderdate')} AS month_start, o_orderpriority, sum({money('o_totalprice')}) AS amount FROM orders GROUP BY 1, 2) m", money="amount balance", text="month_start")
 def running_balance(t: Showcase):
     lines = t.orders.groupBy(month_start("o_orderdate").alias("month_start"), "o_orderpriority").agg(F.sum(dec("o_totalprice")).alias("amount"))
@@ -178,14 +192,49 @@ def row_filter_venue(t: Showcase):
     return access.row_filter_venue(t.performance, mapping, "user3").select("performance_id")
 
 
-@query("row_filter_none", "SELECT c_custkey FROM customer")
+READERS = [("head@house.org", True, False), ("fundraiser@house.org", True, False), ("box.office@house.org", False, False), ("hall.one@house.org", True, True)]
+
+
+def policies(t: Showcase) -> None:
+    """The rules over gifts and shows, for a head of fundraising, a fundraiser, the box office and a hall's manager."""
+    readers = t.literal(READERS, "user_principal_name string, sees_gifts boolean, by_venue boolean")
+    row_policies.gift_policy(t.gifts, readers, t.literal([("head@house.org",)], "user_principal_name string"))
+    mapped = t.performance.where("performance_key % 3 = 0").select(F.lit("hall.one@house.org").alias("user_principal_name"), "venue_id").distinct()
+    row_policies.venue_policy(t.performance, readers, mapped)
+
+
+def seen(t: Showcase, policy: str, readers: list[str], amount: str):
+    """What each reader sees of the whole table: rows and a sum; a reader without rows counts 0."""
+    policies(t)
+    return aggregate.union_all([row_policies.read_as(t.spark, policy, r).agg(F.count(F.lit(1)).alias("rows_seen"), F.sum(amount).alias("total")).select(F.lit(r).alias("reader"), "rows_seen", "total") for r in readers])
+
+
+def seen_sql(source: str, amount: str, conditions: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{r}' AS reader, count(*) AS rows_seen, sum({amount}) AS total FROM {source} WHERE {c}" for r, c in conditions.items())
+
+
+@query("row_filter_none", seen_sql("gifts", "amount", {"head@house.org": "true", "stranger@else.org": "false"}), ["gifts"], money="total")
 def row_filter_none(t: Showcase):
-    return access.row_filter_none(t.customer).select("c_custkey")
+    """The head of fundraising sees every gift, someone without a role none."""
+    return seen(t, "gifts_for", ["head@house.org", "stranger@else.org"], "amount")
 
 
-@query("row_filter_all", "SELECT c_custkey FROM customer WHERE false")
+@query("row_filter_all", seen_sql("gifts", "amount", {"head@house.org": "true", "box.office@house.org": "false"}), ["gifts"], money="total")
 def row_filter_all(t: Showcase):
-    return access.row_filter_all(t.customer).select("c_custkey")
+    """The box office sees no gift."""
+    return seen(t, "gifts_for", ["head@house.org", "box.office@house.org"], "amount")
+
+
+@query("row_policy_anonymous", seen_sql("gifts", "amount", {"head@house.org": "true", "fundraiser@house.org": "NOT is_anonymous", "hall.one@house.org": "NOT is_anonymous"}), ["gifts"], money="total")
+def row_policy_anonymous(t: Showcase):
+    """Anonymous gifts are for listed readers."""
+    return seen(t, "gifts_for", ["head@house.org", "fundraiser@house.org", "hall.one@house.org"], "amount")
+
+
+@query("row_policy_venue", seen_sql("performance", "capacity", {"head@house.org": "true", "hall.one@house.org": "venue_id IN (SELECT venue_id FROM performance WHERE performance_key % 3 = 0)"}), ["performance"], whole="total")
+def row_policy_venue(t: Showcase):
+    """A hall's manager sees the shows of the venues mapped to them."""
+    return seen(t, "performances_for", ["head@house.org", "hall.one@house.org"], "capacity")
 
 
 @query("mask_email", "SELECT patron_key, left(email, 1) || 'XXX@XXXX.com' AS email FROM patrons", ["patrons"])

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fiscal_year, month_start
+from ..operators import people
 from ..plans import statement, time_intelligence as ti
 from ..plans.measures import GL_VALUES, donor_years, measure, promoted_sales, sales_star, subscriber_years
+from ..sources import tables
 from .queries_views import FRESHNESS, freshness
 from .registry import query
 from .sql import fy
@@ -215,6 +217,32 @@ def measures_fundraising(t: Showcase):
     return measure(star(t), FUNDRAISING.split(), ["fiscal_year"])
 
 
+@query("measures_people", """
+    SELECT fiscal_year, ticket_buyers, first_time_buyers, donors
+    FROM (SELECT d.fiscal_year, count(DISTINCT s.patron_id) AS ticket_buyers, count(DISTINCT CASE WHEN first_seen_date >= make_date(CAST(d.fiscal_year AS BIGINT) - 1, 7, 1) THEN s.patron_id END) AS first_time_buyers
+          FROM sales s JOIN calendar d ON d.date_key = s.performance_date_key JOIN patrons p USING (patron_key) GROUP BY 1)
+    FULL JOIN (SELECT fiscal_year, count(DISTINCT CASE WHEN amount > 0 THEN patron_id END) AS donors FROM gifts GROUP BY 1) USING (fiscal_year)""", ["sales", "calendar", "patrons", "gifts"])
+def measures_people(t: Showcase):
+    """Distinct buyers and donors from bitmaps by show day and gift day, rolled up to years."""
+    facts = star(t)
+    numbers = people.number_people(t.customer.select(F.col("c_custkey").alias("patron_id")), "patron_id")
+    sold = people.person_bitmaps(facts["sales"], numbers, "patron_id", ["fiscal_year", "performance_date_key"], {"ticket_buyers": None, "first_time_buyers": F.col("first_seen_date") >= F.col("period_start")})
+    given = people.person_bitmaps(facts["gifts"], numbers, "patron_id", ["fiscal_year", "gift_date"], {"donors": F.col("amount") > 0})
+    return measure(facts, ["ticket_buyers", "first_time_buyers", "donors"], ["fiscal_year"], people={"sales": sold, "gifts": given})
+
+
+@query("people_subtotals", """
+    SELECT fiscal_year, gift_month, gift_date, 3 - (grouping(fiscal_year) + grouping(gift_month) + grouping(gift_date)) AS level, count(DISTINCT patron_id) AS givers, count(DISTINCT CASE WHEN amount > 0 THEN patron_id END) AS donors
+    FROM (SELECT *, CAST(date_trunc('month', gift_date) AS DATE) AS gift_month FROM gifts) GROUP BY ROLLUP (fiscal_year, gift_month, gift_date)""", ["gifts"], text="gift_month gift_date", whole="level")
+def people_subtotals(t: Showcase):
+    """Distinct givers per day, month, year and in all, each level from the bitmaps of the one below."""
+    numbers = people.number_people(t.customer.select(F.col("c_custkey").alias("patron_id")), "patron_id")
+    gifts = t.gifts.withColumn("gift_month", month_start("gift_date"))
+    levels = ["fiscal_year", "gift_month", "gift_date"]
+    days = people.person_bitmaps(gifts, numbers, "patron_id", levels, {"givers": None, "donors": F.col("amount") > 0})
+    return people.people_subtotals(tables.stage_table(days, tables.work_table(t.spark, "giver_days")), levels, ["givers", "donors"])
+
+
 @query("measures_cross_functional", f"SELECT fiscal_year, both_sides AS buyers_who_also_give, buyers AS ticket_buyers, {div('both_sides', 'buyers')} AS buyer_to_donor_share FROM (SELECT d.fiscal_year, count(DISTINCT s.patron_id) AS buyers, count(DISTINCT CASE WHEN NOT is_returned AND s.patron_id IN (SELECT patron_id FROM gifts WHERE amount > 0) THEN s.patron_id END) AS both_sides FROM sales s JOIN calendar d ON d.date_key = s.performance_date_key JOIN patrons USING (patron_key) GROUP BY 1)",
        ["sales", "gifts", "calendar", "patrons"], ratio="buyer_to_donor_share")
 def measures_cross_functional(t: Showcase):

@@ -16,7 +16,7 @@ from ..operators.clean import with_row_hash
 from ..plans import daily
 from ..session import work_path
 from ..sources import api_pages, databases, landing, logs, sheets, tables
-from ..streaming import stream_landing
+from ..streaming import stream_landing, stream_upsert
 from .registry import query
 from .tables import AS_OF, Showcase, dec
 
@@ -314,6 +314,29 @@ def stream(t: Showcase):
     return t.spark.read.parquet(target).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_load_date").alias("days"))
 
 
+@query("stream_upsert", """
+    SELECT event_id, event_type, value + CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS value FROM events
+    UNION ALL SELECT event_id + 1000000000, 'late', value FROM events WHERE event_type = 'signup'""")
+def upsert_stream(t: Showcase):
+    """Two deliveries and a third run: corrected purchases, new rows and older versions that arrive late; then a second stream
+    that delivers everything again changes nothing."""
+    root, table = work_path(t.spark, "changes"), tables.work_table(t.spark, "streamed")
+    schema = "event_id bigint, event_type string, value double, version int"
+    first = t.events.select("event_id", "event_type", "value", F.lit(2).alias("version"))
+    fixed = t.events.where("event_type = 'purchase'").select("event_id", "event_type", (F.col("value") + 1).alias("value"), F.lit(3).alias("version"))
+    late = t.events.where("event_type = 'view'").select("event_id", F.lit("stale").alias("event_type"), F.lit(-1.0).alias("value"), F.lit(1).alias("version"))
+    new = t.events.where("event_type = 'signup'").select((F.col("event_id") + 1000000000).alias("event_id"), F.lit("late").alias("event_type"), "value", F.lit(1).alias("version"))
+    for stream, deliveries in (("landing", [first, union_all([fixed, late, new])]), ("again", [None])):
+        for delivery in deliveries:
+            if delivery is not None:
+                delivery.write.mode("append").json(root)
+            run = stream_upsert(t.spark, root, schema, table, ["event_id"], "version", f"{root}-checkpoint-{stream}", NOW, stream=stream)
+            run.awaitTermination()
+            if run.exception() is not None:
+                raise run.exception()
+    return tables.read_table(t.spark, table).select("event_id", "event_type", "value")
+
+
 # ---------------------------------------------------------------- the daily run
 
 ORDER_CONTRACT = TableContract("orders", {"order_id": "bigint", "customer_id": "bigint", "status": "string", "price": "decimal(12,2)", "ordered": "date"}, ("order_id",), "ordered", "shop")

@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 from ..session import shared_dir
 
 __all__ = ["path_exists", "file_paths", "local_table", "append_bronze", "append_batch", "read_bronze", "ConcurrentWrite", "Version",
-           "open_database", "work_table", "drop_database", "table_name", "current_version", "overwrite_table", "create_merged", "merge_table", "Merged",
+           "open_database", "work_table", "drop_database", "table_name", "table_property", "set_property", "current_version", "overwrite_table", "create_merged", "merge_table", "Merged",
            "read_table", "table_exists", "written_versions", "truncate_reload", "stage_table", "drop_table", "compact_table", "require_success",
            "expire_snapshots", "reset_gold"]
 
@@ -167,6 +167,15 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
+def table_property(spark: SparkSession, table: str, name: str) -> str | None:
+    return _properties(spark, table).get(name)
+
+
+def set_property(spark: SparkSession, table: str, name: str, value: str) -> None:
+    """Remember a value with a table; it is lost when the table is replaced."""
+    _set(spark, "VIEW", table, {name: value})
+
+
 def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -149,6 +149,33 @@ def test_fact_budget_sums_back(frame):
     assert rows(loaded.where("budget_line_id = 'u'").select("account_key", "fund_key", "department_key").distinct()) == [(-1, -1, -1)]
 
 
+def test_running_balance_in_slices(frame, spark):
+    import random
+    rng = random.Random(2)
+    found = [(rng.choice([None, *range(500)]) if k % 9 else 7, rng.choice([None, 1, 2, -3]), k) for k in range(3000)]
+    lines = frame(found, "m int, amount int, line int")
+    for slices in (1, 2, 32):
+        got = {r.line: r.balance for r in aggregate.running_balance(lines, "m", "amount", slices=slices).collect()}
+        for m, _, line in found[::37]:
+            below = [a for x, a, _ in found if (x is None or (m is not None and x <= m)) and a is not None]
+            assert got[line] == (None if m is None else sum(below) if below else None)
+    assert aggregate.running_balance(lines.where("false"), "m", "amount").collect() == []
+    plan = aggregate.running_balance(lines, "m", "amount")._jdf.queryExecution().executedPlan().toString()
+    lines_of = plan.split("\n")
+    assert "Window" in plan and "hashpartitioning(_slice" in plan
+    assert all("partial_percentile_approx" in lines_of[k + 1] for k, line in enumerate(lines_of) if "SinglePartition" in line), "only the sketch of the periods"
+
+
+def test_partition_totals_without_gathering_a_partition(frame, spark):
+    rng = spark.range(30_000).selectExpr("case when id % 3 = 0 then null when id % 3 = 1 then 'hot' else cast(id % 50 as string) end as k", "cast(id % 7 as int) as v", "id")
+    got = aggregate.with_partition_total(rng, "v", ["k"], "total")
+    want = {r.k: r.s for r in rng.groupBy("k").agg(F.sum("v").alias("s")).collect()}
+    found = got.collect()
+    assert len(found) == 30_000 and got.columns == ["k", "v", "id", "total"] and all(r.total == want[r.k] for r in found)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_sum" in plan
+
+
 def test_running_balance_peers_share(frame):
     lines = frame([(1, "a", 5), (1, "b", 7), (3, "a", -2)], "m int, line string, amount int")
     assert rows(aggregate.running_balance(lines, "m", "amount"), "m", "line", "balance") == [(1, "a", 12), (1, "b", 12), (3, "a", 10)]

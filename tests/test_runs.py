@@ -282,3 +282,31 @@ def test_sheets_with_mixed_layouts(spark, tmp_path):
     empty = os.path.join(tmp_path, "empty")
     os.makedirs(empty)
     assert sheets.read_sheet_folder(spark, empty, ["id", "n"], {}, {"id": "int"}, "id").count() == 0
+
+
+def test_a_stream_that_restarts_and_replays_a_batch(spark, frame, tmp_path):
+    from boxledger.streaming import batch_upsert, stream_upsert
+    folder, table, ddl = str(tmp_path / "in"), tables.work_table(spark, "test-stream"), "id long, v string, version int"
+
+    def deliver(*found):
+        frame(list(found), ddl).coalesce(1).write.mode("append").json(folder)
+        run = stream_upsert(spark, folder, ddl, table, ["id"], "version", str(tmp_path / "checkpoint"), NOW)
+        run.awaitTermination()
+        assert run.exception() is None
+
+    deliver((1, "a", 1), (2, "b", 1), (1, "newer", 2))
+    deliver((2, "late", 0), (3, "c", 1), (1, "newest", 3))
+    want = [(1, "newest", 3), (2, "b", 1), (3, "c", 1)]
+    assert rows(tables.read_table(spark, table), "id", "v", "version") == want
+    assert tables.table_property(spark, table, "stream.landing") == "1"
+    # The commit of the last batch is lost: the restart plans it again with the same number.
+    for name in ("1", ".1.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    before = tables.current_version(spark, table)
+    deliver((4, "d", 1))
+    assert rows(tables.read_table(spark, table), "id", "v", "version") == [*want, (4, "d", 1)]
+    assert tables.current_version(spark, table).number == before.number + 1, "the replayed batch was left out"
+    # Died between rows and number: merged again, same rows.
+    tables.set_property(spark, table, "stream.landing", "0")
+    batch_upsert(table, ["id"], "version", NOW, "landing")(frame([(2, "late", 0), (3, "c", 1), (1, "newest", 3)], ddl), 1)
+    assert rows(tables.read_table(spark, table), "id", "v", "version") == [*want, (4, "d", 1)]
