@@ -7,10 +7,15 @@ estimates its similarity and filters, and links are confirmed on full sets.
 Which lists: two similar nodes share many retained values, so they share one even among the rarest of each (the prefix
 that remains when the smallest possible overlap is taken off).  Only those prefixes are listed, which keeps passages
 shared by unlike documents out of the lists.  A short list gives all its pairs.  A long one is a family of near copies:
-its members are compared with its centre, the member with the fewest shingles of its own.  Only members outside the
-family's largest component are then compared with the others, and of these only those that share enough shingles with
-the families at all to be linked: a member's shared shingles bound its intersection with any other.  So no link between
-components is missed, and no list gives all its pairs.
+its members are compared with its centre, the member with the fewest shingles of its own.
+
+Members outside the family's largest component have been found unlike the centre, and that bounds whom they can be like.
+What two nodes share lies in the centre or not.  Either what each shares with the centre is already enough for the two (then
+the other node is no larger than a size that follows from that share, and a join by size finds it), or they share a shingle
+that the centre does not have.  So such members go into new lists, one for each shingle that the centre lacks, and these
+lists are treated the same way: all pairs if short, a centre of their own if long.  All members of a list of the n-th round
+have n shingles in common, so the rounds end; after ``ROUNDS`` of them the members that are left outside are compared with
+all others of their list.  No link between components is missed, and no family gives all its pairs.
 
 The chance that a pair's overlap falls below the bound is that of ``SIGMAS`` standard deviations, about one in 10^7.
 """
@@ -32,6 +37,8 @@ from .workers import map_arrow, stored
 SIGMAS = 5.5
 #: Lists up to this length give all their pairs.
 SHORT_LIST = 16
+#: Rounds of ever closer lists before members that are still outside are compared with everyone in their list.
+ROUNDS = 8
 
 
 def shingle_sets(words, size: int) -> Iterator[np.ndarray]:
@@ -102,7 +109,7 @@ class _Linker:
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` whose similarity reaches the threshold, written once."""
         side = lambda x: self.nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
-        both = pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
+        both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
         both = both.filter((F.col("n_a") * 100 >= F.col("n_b") * self.percent) & (F.col("n_b") * 100 >= F.col("n_a") * self.percent))
         union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, self.k)
         both = both.withColumn("union", union)
@@ -138,43 +145,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, k: int = 48, size: in
     ranked = (values.join(shared, "value").groupBy("node", "n_shingles").agg(F.array_sort(F.collect_list(F.struct("n_nodes", "value"))).alias("common"))
               .select("node", "n_shingles", F.slice("common", 1, F.greatest(F.lit(0), (F.size("common") - F.least("n_shingles", F.lit(k)) + prefix).cast("int"))).alias("common")))
     ranked = ranked.withColumn("common", F.col("common.value"))
-    listed = stored(ranked.select("node", "n_shingles", "common", F.explode("common").alias("value")), "lists")
-    lengths = stored(listed.groupBy("value").agg(F.count("*").alias("length"), F.min("node").alias("centre")).filter("length > 1"), "lengths")
-
-    linker = _Linker(source, nodes, k=k, size=size, percent=percent)
-    like = lambda x, y: (F.col(f"n_{x}") * 100 >= F.col(f"n_{y}") * percent) & (F.col(f"n_{y}") * 100 >= F.col(f"n_{x}") * percent)
-    short = listed.join(lengths.filter(F.col("length") <= SHORT_LIST).select("value"), "value")
-    one = short.select("value", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"))
-    two = short.select("value", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"))
-    pairs = one.join(two, "value").filter((F.col("a") < F.col("b")) & like("a", "b")).select("a", "b")
-    stars, long = _stars(listed, lengths, linker, percent)
-    links = linker.links(pairs.union(stars).distinct())
-    labels = components(links)
-
-    member = stored(long.drop("centre", "s_centre", "n_centre").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "members")
-    families = member.groupBy("value", "label").agg(F.count("*").alias("n"), F.min("n_shingles").alias("least"))
-    main = families.groupBy("value").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("n_labels"), F.min("least").alias("least"))
-    outside = member.join(main.filter("n_labels > 1"), "value").filter("label <> main")
-    # The other node has no fewer shingles than the least of the list, or than `percent` of this one's.
-    other = F.greatest(F.col("least") * 100, F.col("n_shingles") * percent)
-    outside = outside.filter(F.col("shared") * (100 + percent) * 100 >= percent * (F.col("n_shingles") * 100 + other))
-    one = outside.select("value", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("shared").alias("s_a"), F.col("label").alias("l_a"), F.col("common").alias("c_a"))
-    two = member.select("value", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("shared").alias("s_b"), F.col("label").alias("l_b"), F.col("common").alias("c_b"))
-    first = F.array_min(F.array_intersect("c_a", "c_b")) == F.col("value")  # a pair meets in its first common list only
-    enough = F.least("s_a", "s_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
-    more = one.join(two, "value").filter((F.col("l_a") != F.col("l_b")) & like("a", "b") & enough & first)
-    more = stored(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "outside")
-    if not more.isEmpty():
-        late = linker.links(more)
-        if not late.isEmpty():  # components of components
-            known = labels.withColumnRenamed("label", "of")
-            ends = late.join(known.withColumnRenamed("node", "a").withColumnRenamed("of", "of_a"), "a", "left")
-            ends = ends.join(known.withColumnRenamed("node", "b").withColumnRenamed("of", "of_b"), "b", "left")
-            ends = stored(ends.select("a", "b", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")), "late")
-            again = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
-            alone = ends.select(F.col("a").alias("node"), F.col("of_a").alias("of")).union(ends.select("b", "of_b")).distinct()
-            every = labels.select("node", F.col("label").alias("of")).union(alone).distinct()
-            labels = stored(every.join(again.withColumnRenamed("node", "of"), "of", "left").select("node", F.coalesce("label", "of").alias("label")), "labels")
+    listed = stored(ranked.select("node", "n_shingles", F.explode("common").alias("value"), F.col("node").alias("label")), "lists")
+    labels = _families(listed, _Linker(source, nodes, k=k, size=size, percent=percent), percent)
 
     named = nodes.select("node", "doc").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc").alias("component_id"))
@@ -184,11 +156,58 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, k: int = 48, size: in
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
-def _stars(listed: DataFrame, lengths: DataFrame, linker: _Linker, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of each long list's centre with its members, and the members with ``shared``: how many of a node's shingles
-    any other member of a long list has."""
-    long = stored(listed.join(lengths.filter(F.col("length") > SHORT_LIST).select("value"), "value"), "long")
-    sets = linker.sets_of(long.select("node").distinct())
+def _alike(percent: int, x: str = "a", y: str = "b"):
+    """Sizes allow the two nodes to be alike."""
+    return (F.col(f"n_{x}") * 100 >= F.col(f"n_{y}") * percent) & (F.col(f"n_{y}") * 100 >= F.col(f"n_{x}") * percent)
+
+
+def _side(df: DataFrame, x: str, keys: list[str], *more: str) -> DataFrame:
+    return df.select(*keys, F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("label").alias(f"l_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in more])
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _families(lists: DataFrame, linker: _Linker, percent: int) -> DataFrame:
+    """``node, label`` of all links among nodes that share a list (``value, node, n_shingles, label``)."""
+    found, sets = None, None
+    for depth in range(ROUNDS + 1):
+        lengths = lists.groupBy("value").agg(F.count("*").alias("length")).filter("length > 1")
+        placed = stored(lists.join(lengths, "value"), "placed")
+        short, long = placed.filter(F.col("length") <= SHORT_LIST), placed.filter(F.col("length") > SHORT_LIST)
+        pairs = _side(short, "a", ["value"]).join(_side(short, "b", ["value"]), "value")
+        pairs = pairs.filter((F.col("a") < F.col("b")) & (F.col("l_a") != F.col("l_b")) & _alike(percent)).select("a", "b")
+        if sets is None:
+            sets = linker.sets_of(long.select("node").distinct())
+        long, stars = _stars(long, sets, percent)
+        links = linker.links(_ordered(pairs.union(stars)))
+        found = links if found is None else stored(found.union(links).distinct(), "found")
+        labels = components(found)
+        member = _outside(long, labels, percent)
+        if member.filter("outside").isEmpty():
+            return labels
+        if depth == ROUNDS:
+            both = _side(member.filter("outside"), "a", ["value"]).join(_side(member, "b", ["value"]), "value")
+            pairs, lists = both.filter((F.col("l_a") != F.col("l_b")) & _alike(percent)).select("a", "b"), None
+        else:
+            pairs, lists = _apart(member, sets, percent)
+        late = linker.links(_ordered(pairs))
+        if not late.isEmpty():
+            found = stored(found.union(late).distinct(), "found")
+            labels = components(found)
+        if lists is None or lists.isEmpty():
+            return labels
+        lists = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return labels
+
+
+def _stars(long: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The members of long lists with their centre, and the pairs of centres with members.
+
+    ``shared`` is how many of a node's shingles any other member of a long list has.
+    """
+    sets = sets.join(long.select("node").distinct(), "node", "left_semi")
     each = sets.select("node", F.explode("values").alias("shingle"))
     often = each.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1").select("shingle")
     shared = each.join(often, "shingle").groupBy("node").agg(F.count("*").alias("shared"))
@@ -197,7 +216,38 @@ def _stars(listed: DataFrame, lengths: DataFrame, linker: _Linker, percent: int)
                       F.struct(F.col("shared") / F.col("n_shingles"), -F.col("node")))
     long = long.join(long.groupBy("value").agg(centre.alias("c")).select("value", "c.*"), "value")
     enough = F.least("shared", "s_centre") * (100 + percent) >= percent * (F.col("n_shingles") + F.col("n_centre"))
-    return long.filter((F.col("node") != F.col("centre")) & enough).select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")), long
+    return long, long.filter((F.col("node") != F.col("centre")) & enough).select(F.col("centre").alias("a"), F.col("node").alias("b"))
+
+
+def _outside(long: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Members of long lists, with ``outside`` where they are not in the list's largest component but share enough shingles
+    with others to be like one; only lists that have such members."""
+    member = stored(long.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "members")
+    families = member.groupBy("value", "label").agg(F.count("*").alias("n"), F.min("n_shingles").alias("least"))
+    main = families.groupBy("value").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("n_labels"), F.min("least").alias("least"))
+    member = member.join(main.filter("n_labels > 1"), "value")
+    # The other node has no fewer shingles than the least of the list, or than `percent` of this one's.
+    other = F.greatest(F.col("least") * 100, F.col("n_shingles") * percent)
+    hopeful = F.col("shared") * (100 + percent) * 100 >= percent * (F.col("n_shingles") * 100 + other)
+    member = member.filter(hopeful).withColumn("outside", F.col("label") != F.col("main"))
+    some = member.groupBy("value").agg(F.bool_or("outside").alias("some")).filter("some").select("value")
+    return stored(member.join(some, "value"), "outside")
+
+
+def _apart(member: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Whom an outside member can be like: pairs that the centre's shingles alone can link, and new lists by the others."""
+    by_centre = member.groupBy("centre", "node").agg(F.max("n_shingles").alias("n_shingles"), F.max("label").alias("label"), F.bool_or("outside").alias("outside"))
+    own = by_centre.join(sets, "node").join(sets.select(F.col("node").alias("centre"), F.col("values").alias("core")), "centre")
+    own = stored(own.select("centre", "node", "n_shingles", "label", "outside", F.size(F.array_intersect("values", "core")).alias("kept"),
+                            F.array_except("values", "core").alias("extra")), "apart")
+    one = _side(own.filter("outside"), "a", ["centre"], "kept")
+    low, high = F.ceil(F.col("n_a") * percent / 100), F.floor(F.col("kept_a") * (100 + percent) / percent - F.col("n_a"))
+    one = one.filter(low <= high).withColumn("n_b", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
+    two = _side(own, "b", ["centre"], "kept").withColumn("n_b", F.col("n_b").cast("int"))
+    pairs = one.join(two, ["centre", "n_b"]).filter((F.col("l_a") != F.col("l_b")) & (F.least("kept_a", "kept_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))))
+    lists = own.select("node", "n_shingles", "outside", F.explode(F.transform("extra", lambda x: F.xxhash64("centre", x))).alias("value"))
+    useful = lists.groupBy("value").agg(F.count("*").alias("n"), F.bool_or("outside").alias("some")).filter("some and n > 1").select("value")
+    return pairs.select("a", "b"), stored(lists.join(useful, "value").select("value", "node", "n_shingles"), "lists")
 
 
 @register("op3_minhash_near_dedup")

@@ -61,6 +61,65 @@ def test_components_match_brute_force(spark):
         assert max(Counter(c for _, c in want.values()).values()) > near_dup.SHORT_LIST
 
 
+def family(n, words, changes, copies=1):
+    """Copies of one text with edits, as far from each other as from the threshold, and copies of those copies."""
+    base = prose(31, words)
+    out = []
+    for k in range(n):
+        text = edited(base, changes[k % len(changes)], 1000 + k)
+        out += [text] + [edited(text, 1, 5000 + 10 * k + c) for c in range(copies - 1)]
+    return out
+
+
+def check(spark, texts, percent=85):
+    rows = list(enumerate(texts))
+    want = brute(rows, percent)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(frame(spark, rows), percent=percent).collect()}
+    assert got == want
+    return want
+
+
+def test_a_family_whose_members_are_mostly_outside(spark):
+    want = check(spark, family(90, 150, [2, 3, 4, 5, 6]))
+    assert len({c for _, c in want.values()}) > 30, "many are linked with nobody"
+
+
+def test_families_within_a_family(spark):
+    want = check(spark, family(12, 150, [6], copies=22))  # lists of shingles that the centre lacks are long themselves
+    assert max(Counter(c for _, c in want.values()).values()) >= 20 and len({c for _, c in want.values()}) >= 8
+
+
+def test_members_that_only_lack_shingles(spark):
+    """Shorter copies of one text: what they share lies in the centre, so sizes find them."""
+    base = prose(41, 160).split(" ")
+    texts = [" ".join(base)] + [" ".join(base[k:k + 120 + k % 11]) for k in range(0, 40)] * 2
+    check(spark, texts)
+
+
+def test_the_last_round_compares_with_everyone(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "ROUNDS", 0)
+    check(spark, family(40, 150, [3, 5], copies=2))
+
+
+def test_pairs_of_a_family_grow_with_its_members(spark, monkeypatch):
+    """Candidate pairs of a family without inner links: a few per member, not all of them."""
+    made = []
+    links = near_dup._Linker.links
+
+    def counted(self, pairs):
+        made.append(pairs.count())
+        return links(self, pairs)
+
+    monkeypatch.setattr(near_dup._Linker, "links", counted)
+    n = {}
+    for size in (60, 240):
+        made.clear()
+        rows = list(enumerate(family(size, 150, [5, 6])))
+        near_dup.near_duplicates(frame(spark, rows), percent=85).count()
+        n[size] = sum(made)
+    assert n[240] < 8 * n[60] and n[240] < 240 * 239 / 8
+
+
 def test_pairs_at_exactly_the_threshold(spark):
     """One text extends the other: 5 shingles against 4, 10 against 8 and so on are 0.8 alike."""
     rows = []
