@@ -12,10 +12,11 @@ its members are compared with its centre, the member with the fewest shingles of
 Members outside the family's largest component have been found unlike the centre, and that bounds whom they can be like.
 What two nodes share lies in the centre or not.  Either what each shares with the centre is already enough for the two (then
 the other node is no larger than a size that follows from that share, and a join by size finds it), or they share a shingle
-that the centre does not have.  So such members go into new lists, one for each shingle that the centre lacks, and these
-lists are treated the same way: all pairs if short, a centre of their own if long.  All members of a list of the n-th round
-have n shingles in common, so the rounds end; after ``ROUNDS`` of them the members that are left outside are compared with
-all others of their list.  No link between components is missed, and no family gives all its pairs.
+that the centre does not have.  So such members go into new lists, one for each shingle that the centre lacks (the rarest of
+a member's, as many as the share that the centre cannot give asks for), and these lists are treated the same way: all pairs
+if short, a centre of their own if long.  Where no more than ``SHORT_LIST`` members of a list are outside, they are compared
+with all others of it, which is linear in the list; after ``ROUNDS`` rounds, so are all that are left.  No link between
+components is missed, and no family gives all its pairs.
 
 The chance that a pair's overlap falls below the bound is that of ``SIGMAS`` standard deviations, about one in 10^7.
 """
@@ -37,8 +38,8 @@ from .workers import map_arrow, stored
 SIGMAS = 5.5
 #: Lists up to this length give all their pairs.
 SHORT_LIST = 16
-#: Rounds of ever closer lists before members that are still outside are compared with everyone in their list.
-ROUNDS = 8
+#: Rounds of ever closer lists before the members that are still outside are compared with everyone in their list.
+ROUNDS = 4
 
 
 def shingle_sets(words, size: int) -> Iterator[np.ndarray]:
@@ -187,11 +188,16 @@ def _families(lists: DataFrame, linker: _Linker, percent: int) -> DataFrame:
         member = _outside(long, labels, percent)
         if member.filter("outside").isEmpty():
             return labels
-        if depth == ROUNDS:
-            both = _side(member.filter("outside"), "a", ["value"]).join(_side(member, "b", ["value"]), "value")
-            pairs, lists = both.filter((F.col("l_a") != F.col("l_b")) & _alike(percent)).select("a", "b"), None
-        else:
-            pairs, lists = _apart(member, sets, percent)
+        # A few outside members meet the whole list at once: that is linear in its length.
+        few = member.groupBy("value").agg(F.count_if("outside").alias("n")).filter(F.lit(depth == ROUNDS) | (F.col("n") <= SHORT_LIST)).select("value")
+        direct = member.join(few, "value", "left_semi")
+        pairs = _side(direct.filter("outside"), "a", ["value"], "shared").join(_side(direct, "b", ["value"], "shared"), "value")
+        enough = F.least("shared_a", "shared_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
+        pairs = pairs.filter((F.col("l_a") != F.col("l_b")) & _alike(percent) & enough).select("a", "b")
+        member, lists = stored(member.join(few, "value", "left_anti"), "many"), None
+        if not member.isEmpty():
+            more, lists = _apart(member, sets, percent)
+            pairs = pairs.union(more)
         late = linker.links(_ordered(pairs))
         if not late.isEmpty():
             found = stored(found.union(late).distinct(), "found")
@@ -212,11 +218,11 @@ def _stars(long: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, D
     often = each.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1").select("shingle")
     shared = each.join(often, "shingle").groupBy("node").agg(F.count("*").alias("shared"))
     long = stored(long.join(shared, "node", "left").withColumn("shared", F.coalesce("shared", F.lit(0))), "long")
-    centre = F.max_by(F.struct(F.col("node").alias("centre"), F.col("shared").alias("s_centre"), F.col("n_shingles").alias("n_centre")),
+    centre = F.max_by(F.struct(F.col("node").alias("centre"), F.col("shared").alias("s_centre"), F.col("n_shingles").alias("n_centre"), F.col("label").alias("l_centre")),
                       F.struct(F.col("shared") / F.col("n_shingles"), -F.col("node")))
     long = long.join(long.groupBy("value").agg(centre.alias("c")).select("value", "c.*"), "value")
     enough = F.least("shared", "s_centre") * (100 + percent) >= percent * (F.col("n_shingles") + F.col("n_centre"))
-    return long, long.filter((F.col("node") != F.col("centre")) & enough).select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    return long, long.filter((F.col("label") != F.col("l_centre")) & enough).select(F.col("centre").alias("a"), F.col("node").alias("b"))
 
 
 def _outside(long: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -235,7 +241,10 @@ def _outside(long: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 
 
 def _apart(member: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Whom an outside member can be like: pairs that the centre's shingles alone can link, and new lists by the others."""
+    """Whom an outside member can be like: pairs that the centre's shingles alone can link, and new lists by the others.
+
+    Shingles that one member alone has are counted as taken off first: they come before all others in the order of rarity.
+    """
     by_centre = member.groupBy("centre", "node").agg(F.max("n_shingles").alias("n_shingles"), F.max("label").alias("label"), F.bool_or("outside").alias("outside"))
     own = by_centre.join(sets, "node").join(sets.select(F.col("node").alias("centre"), F.col("values").alias("core")), "centre")
     own = stored(own.select("centre", "node", "n_shingles", "label", "outside", F.size(F.array_intersect("values", "core")).alias("kept"),
@@ -245,9 +254,21 @@ def _apart(member: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
     one = one.filter(low <= high).withColumn("n_b", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
     two = _side(own, "b", ["centre"], "kept").withColumn("n_b", F.col("n_b").cast("int"))
     pairs = one.join(two, ["centre", "n_b"]).filter((F.col("l_a") != F.col("l_b")) & (F.least("kept_a", "kept_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))))
-    lists = own.select("node", "n_shingles", "outside", F.explode(F.transform("extra", lambda x: F.xxhash64("centre", x))).alias("value"))
-    useful = lists.groupBy("value").agg(F.count("*").alias("n"), F.bool_or("outside").alias("some")).filter("some and n > 1").select("value")
-    return pairs.select("a", "b"), stored(lists.join(useful, "value").select("value", "node", "n_shingles"), "lists")
+    # A pair must share `need` extra shingles at least: all that the centre cannot give.  So an outside member is listed by the
+    # rarest of its own that remain when all but one of these are taken off, others by whatever of theirs is listed.
+    each = own.select("centre", "node", F.explode("extra").alias("shingle"))
+    often = each.groupBy("centre", "shingle").agg(F.count("*").alias("n")).filter("n > 1")
+    least = own.groupBy("centre").agg(F.min("n_shingles").alias("least"))
+    rare = each.join(often, ["centre", "shingle"]).groupBy("centre", "node").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("common"))
+    outer = own.filter("outside").join(least, "centre").join(rare, ["centre", "node"])
+    other = F.greatest(F.ceil(F.col("n_shingles") * percent / 100), F.col("least"))
+    need = F.greatest(F.lit(1), F.ceil(percent * (F.col("n_shingles") + other) / (100 + percent)) - F.col("kept"))
+    prefix = F.greatest(F.lit(0), F.size("common") - need + 1).cast("int")
+    outer = stored(outer.select("centre", "node", "n_shingles", F.explode(F.slice("common.shingle", 1, prefix)).alias("shingle")), "outer")
+    asked = outer.select("centre", "shingle").distinct()
+    inner = own.filter(~F.col("outside")).select("centre", "node", "n_shingles", F.explode("extra").alias("shingle")).join(asked, ["centre", "shingle"], "left_semi")
+    lists = outer.unionByName(inner.select(*outer.columns)).select("node", "n_shingles", F.xxhash64("centre", "shingle").alias("value"))
+    return pairs.select("a", "b"), stored(lists, "lists")
 
 
 @register("op3_minhash_near_dedup")
