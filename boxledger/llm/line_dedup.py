@@ -33,7 +33,7 @@ def drop_boilerplate(docs: DataFrame, *, min_sites: int = 10, lg_k: int = 12, id
                      text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with their columns and boilerplate lines taken out of the text; ``n_lines`` and ``n_removed`` are added.
 
-    Lines are the stretches between line feeds, compared byte by byte.  A line goes if it occurs on ``min_sites`` distinct
+    Lines are the stretches between line feeds, compared by 64-bit hashes of their bytes.  A line goes if it occurs on ``min_sites`` distinct
     values of the site column or more; lines of white space are never counted and never go.  A text that consists of
     boilerplate and white space alone is a copy of a whole document, not a page with furniture, and stays as it is.  Null
     sites count as no site, null texts stay null and have no lines, an empty text has one.  Repeated rows are treated
