@@ -14,7 +14,7 @@ What two nodes share lies in the centre or not.  Either what each shares with th
 the other node is no larger than a size that follows from that share, and a join by size finds it), or they share a shingle
 that the centre does not have.  So such members go into new lists, one for each shingle that the centre lacks (the rarest of
 a member's, as many as the share that the centre cannot give asks for), and these lists are treated the same way: all pairs
-if short, a centre of their own if long.  Where no more than ``SHORT_LIST`` members of a list are outside, they are compared
+if short, a centre of their own if long.  Where no more than ``FEW_OUTSIDE`` members of a list are outside, they are compared
 with all others of it, which is linear in the list; after ``ROUNDS`` rounds, so are all that are left.  No link between
 components is missed, and no family gives all its pairs.
 
@@ -38,6 +38,8 @@ from .workers import map_arrow, stored
 SIGMAS = 5.5
 #: Lists up to this length give all their pairs.
 SHORT_LIST = 16
+#: Members outside the main component up to which they meet the whole list at once.
+FEW_OUTSIDE = 40
 #: Rounds of ever closer lists before the members that are still outside are compared with everyone in their list.
 ROUNDS = 4
 
@@ -172,7 +174,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def _families(lists: DataFrame, linker: _Linker, percent: int) -> DataFrame:
     """``node, label`` of all links among nodes that share a list (``value, node, n_shingles, label``)."""
-    found, sets = None, None
+    found, sets, labels = None, None, None
     for depth in range(ROUNDS + 1):
         lengths = lists.groupBy("value").agg(F.count("*").alias("length")).filter("length > 1")
         placed = stored(lists.join(lengths, "value"), "placed")
@@ -183,13 +185,14 @@ def _families(lists: DataFrame, linker: _Linker, percent: int) -> DataFrame:
             sets = linker.sets_of(long.select("node").distinct())
         long, stars = _stars(long, sets, percent)
         links = linker.links(_ordered(pairs.union(stars)))
-        found = links if found is None else stored(found.union(links).distinct(), "found")
-        labels = components(found)
+        if found is None or not links.isEmpty():
+            found = links if found is None else stored(found.union(links).distinct(), "found")
+            labels = components(found)
         member = _outside(long, labels, percent)
         if member.filter("outside").isEmpty():
             return labels
         # A few outside members meet the whole list at once: that is linear in its length.
-        few = member.groupBy("value").agg(F.count_if("outside").alias("n")).filter(F.lit(depth == ROUNDS) | (F.col("n") <= SHORT_LIST)).select("value")
+        few = member.groupBy("value").agg(F.count_if("outside").alias("n")).filter(F.lit(depth == ROUNDS) | (F.col("n") <= FEW_OUTSIDE)).select("value")
         direct = member.join(few, "value", "left_semi")
         pairs = _side(direct.filter("outside"), "a", ["value"], "shared").join(_side(direct, "b", ["value"], "shared"), "value")
         enough = F.least("shared_a", "shared_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))

@@ -79,17 +79,20 @@ def check(spark, texts, percent=85):
     return want
 
 
-def test_a_family_whose_members_are_mostly_outside(spark):
+def test_a_family_whose_members_are_mostly_outside(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "FEW_OUTSIDE", 8)
     want = check(spark, family(90, 150, [2, 3, 4, 5, 6]))
     assert len({c for _, c in want.values()}) > 30, "many are linked with nobody"
 
 
-def test_families_within_a_family(spark):
+def test_families_within_a_family(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "FEW_OUTSIDE", 8)
     want = check(spark, family(12, 150, [6], copies=22))  # lists of shingles that the centre lacks are long themselves
     assert max(Counter(c for _, c in want.values()).values()) >= 20 and len({c for _, c in want.values()}) >= 8
 
 
-def test_members_that_only_lack_shingles(spark):
+def test_members_that_only_lack_shingles(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "FEW_OUTSIDE", 8)
     """Shorter copies of one text: what they share lies in the centre, so sizes find them."""
     base = prose(41, 160).split(" ")
     texts = [" ".join(base)] + [" ".join(base[k:k + 120 + k % 11]) for k in range(0, 40)] * 2
@@ -103,6 +106,7 @@ def test_the_last_round_compares_with_everyone(spark, monkeypatch):
 
 def test_pairs_of_a_family_grow_with_its_members(spark, monkeypatch):
     """Candidate pairs of a family without inner links: a few per member, not all of them."""
+    monkeypatch.setattr(near_dup, "FEW_OUTSIDE", 8)
     made = []
     links = near_dup._Linker.links
 
