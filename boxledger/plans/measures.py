@@ -37,6 +37,7 @@ class Measure:
     derive: Callable[..., Column] | None = None
 
 
+# The labels of all measures below are the display names that reports show.
 MEASURES: dict[str, Measure] = {}
 
 
@@ -154,6 +155,7 @@ def _sources_fresh(as_of) -> Column:
 
 
 def _banner(as_of) -> Column:
+    # The wording of the banner.
     late = boundary_hours("last_loaded_utc", F.lit(as_of).cast("timestamp")) > F.col("sla_hours")
     note = F.when(late, F.concat(F.lit(" STALE (expected "), F.col("expected_refresh"), F.lit(")"))).otherwise("")
     loaded = F.coalesce(F.date_format("last_loaded_et", "MMM d h:mm a"), F.lit(""))

@@ -9,9 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxledger.operators import aggregate, changes, dimensions, joins
-from boxledger.session import work_path
 from boxledger.showcase import QUERIES
-from boxledger.sources.tables import stage_table
+from boxledger.sources.tables import stage_table, work_table
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -65,7 +64,7 @@ def test_latest_per_key_sends_one_row_per_task_for_the_hot_key(spark):
 
 def test_increment_does_not_shuffle_the_target(spark):
     target = spark.read.parquet(f"{SF_DIR}/orders.parquet").withColumn("_row_hash", F.sha2(F.col("o_totalprice").cast("string"), 256))
-    source = stage_table(target.where("o_orderkey % 50 = 0").withColumn("_row_hash", F.lit("changed")), work_path(spark, "increment"))
+    source = stage_table(target.where("o_orderkey % 50 = 0").withColumn("_row_hash", F.lit("changed")), work_table(spark, "increment"))
     assert 0 < source.count() < target.count()
     merged = changes.upsert(target, source, ["o_orderkey"])
     assert "SortMergeJoin" not in plan(merged)
