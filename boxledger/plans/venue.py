@@ -16,7 +16,7 @@ HOURS_PER_DAY = 14
 def room_utilisation(bookings: DataFrame, events: DataFrame, rooms: DataFrame, calendar: DataFrame) -> DataFrame:
     """Hours by kind of use and share of the bookable hours, per room and month.
 
-    Cancelled events and bookings without positive length are out; overlapping bookings add up.
+    Cancelled events and bookings without positive length are out; overlapping bookings add up, so a share has no upper bound.
     """
     star = inner_star(bookings.where(F.col("hours_booked") > 0), [
         (events.where(F.col("status") != "Cancelled").select("event_key", "event_type"), "event_key"),
@@ -32,7 +32,7 @@ def room_utilisation(bookings: DataFrame, events: DataFrame, rooms: DataFrame, c
         hours("Rehearsal").alias("rehearsal_hours"), F.sum("hours_booked").alias("hours_booked"),
         (F.day(F.last_day(F.min("date"))) * F.lit(HOURS_PER_DAY)).alias("hours_available"),
         conditional_sum("rental_fee", F.col("event_type") == "Rental").alias("rental_revenue"))
-    return grouped.withColumn("utilisation", (F.col("hours_booked") / F.col("hours_available")).cast("decimal(6,3)"))
+    return grouped.withColumn("utilisation", (F.col("hours_booked") / F.col("hours_available")).cast("decimal(17,3)"))
 
 
 def top_rental_clients(bookings: DataFrame, events: DataFrame, n: int) -> DataFrame:

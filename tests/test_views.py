@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxledger.operators.dimensions import fiscal_calendar
-from boxledger.plans import access, audience, finance, marketing, statement, time_intelligence as ti, trust
+from boxledger.plans import access, audience, finance, marketing, statement, time_intelligence as ti, trust, venue
 from boxledger.plans.measures import MEASURES, donor_years, measure
 from conftest import d, rows, ts
 
@@ -156,3 +156,13 @@ def test_access(frame):
     people = frame([("P", "e", "p", "a")], "patron_id string, email string, phone string, address_line1 string")
     assert access.apply_role("patron", people, access.ROLES["Audience"], "x").columns == ["patron_id"]
     assert access.permit_columns(people, "patron").columns == ["patron_id"]
+
+
+def test_room_utilisation_of_many_overlapping_bookings(spark, frame):
+    bookings = spark.range(600).selectExpr("1 as event_key", "1 as room_key", "20240115 as booking_date_key", "cast(1000 as decimal(6,2)) as hours_booked",
+                                           "cast(1 as decimal(12,2)) as rental_fee")
+    events = frame([(1, "Rental", "Confirmed")], "event_key int, event_type string, status string")
+    rooms = frame([(1, "Room 1", "Hall")], "room_key int, room_name string, room_type string")
+    calendar = frame([(20240115, d("2024-01-15"), 2024, 2024, 1, "Jan")],
+                     "date_key int, date date, fiscal_year int, calendar_year int, month_num int, month_name string")
+    assert rows(venue.room_utilisation(bookings, events, rooms, calendar), "hours_booked", "utilisation") == [(D("600000.00"), D("1382.488"))]
