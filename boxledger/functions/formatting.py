@@ -12,8 +12,13 @@ __all__ = ["fmt_change", "favourable"]
 UP, DOWN, FLAT, NBSP = "▲", "▼", "─", "\u00a0"
 
 
+def _number(size: Column, digits: int) -> Column:
+    """Halves are rounded away from zero; ``format_number`` alone rounds them to the even digit."""
+    return F.format_number(F.round(size, digits), digits)
+
+
 def _signed(value: Column, digits: int) -> Column:
-    body = F.format_number(F.abs(value), digits)
+    body = _number(F.abs(value), digits)
     rounded = F.round(value, digits)
     sign = F.when(rounded > 0, "+").when(rounded < 0, "-").otherwise("")
     return F.concat(sign, body)
@@ -21,8 +26,8 @@ def _signed(value: Column, digits: int) -> Column:
 
 def _money(change: Column) -> Column:
     size = F.abs(change)
-    text = F.when(size >= 1_000_000, F.concat(F.lit("$"), F.format_number(size / 1_000_000, 1), F.lit("M"))).otherwise(
-        F.concat(F.lit("$"), F.format_number(size / 1_000, 0), F.lit("K"))
+    text = F.when(size >= 1_000_000, F.concat(F.lit("$"), _number(size / 1_000_000, 1), F.lit("M"))).otherwise(
+        F.concat(F.lit("$"), _number(size / 1_000, 0), F.lit("K"))
     )
     return F.concat(F.when(change >= 0, "+").otherwise("-"), text)
 

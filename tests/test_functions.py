@@ -77,6 +77,16 @@ def test_fmt_change(spark):
     assert text(None, 1.0, "money") == "No prior year"
 
 
+def test_fmt_change_rounds_halves_up_as_its_sql_does(spark):
+    def text(a, b, kind):
+        return one(spark, fn.fmt_change(F.lit(a), F.lit(b), kind))
+
+    assert text(250500.0, 250000.0, "money_only") == "\u00a0+$1K\u00a0▲\u00a0"
+    assert text(247500.0, 250000.0, "money_only") == "\u00a0-$3K\u00a0▼\u00a0"
+    assert text(1250000.0, 0.0, "money_only") == "\u00a0+$1.3M\u00a0▲\u00a0"
+    assert text(0.5, 0.0, "days") == "\u00a0+1 days\u00a0▲\u00a0"
+
+
 def test_favourable(spark):
     assert one(spark, fn.favourable(F.lit(5), F.lit(3))) == 1
     assert one(spark, fn.favourable(F.lit(5), F.lit(3), up_is_good=False)) == -1
