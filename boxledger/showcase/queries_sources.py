@@ -182,8 +182,9 @@ def overwrite_table(t: Showcase):
 def clustered_tables(t: Showcase):
     """Two tables clustered by their business key meet without an exchange."""
     orders, lines = tables.work_table(t.spark, "orders"), tables.work_table(t.spark, "lines")
-    tables.overwrite_table(t.orders.select("o_orderkey"), orders, NOW, cluster_by=["o_orderkey"])
-    tables.overwrite_table(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), dec("l_extendedprice").alias("amount")), lines, NOW, cluster_by=["o_orderkey"])
+    n = tables.cluster_count(t.orders, t.lineitem)
+    tables.overwrite_table(t.orders.select("o_orderkey"), orders, NOW, cluster_by=["o_orderkey"], clusters=n)
+    tables.overwrite_table(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), dec("l_extendedprice").alias("amount")), lines, NOW, cluster_by=["o_orderkey"], clusters=n)
     joined = tables.read_table(t.spark, orders).join(tables.read_table(t.spark, lines).hint("merge"), "o_orderkey")
     return joined.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("lines"), F.sum("amount").alias("amount"))
 

@@ -121,6 +121,15 @@ def test_clustered_tables_join_without_exchange(spark):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_buckets_grow_with_the_rows_and_have_one_file_each(spark):
+    assert [tables.cluster_count(spark.range(n), rows_each=100) for n in (0, 800, 801, 3200, 3201)] == [8, 8, 16, 32, 64]
+    table = tables.work_table(spark, "test-buckets")
+    tables.overwrite_table(spark.range(0, 5_000_000, 1, 3), table, NOW, cluster_by=["id"])
+    physical = spark.table(tables.current_version(spark, table).physical)
+    sizes = [r["count"] for r in physical.groupBy("_metadata.file_path").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1 << 19 and sum(sizes) == 5_000_000
+
+
 def test_parallel_log_lines_all_arrive(spark):
     path = work_path(spark, "test-logs")
     line = lambda k: logs.log_run(spark, path, run_id="r", step="s", entity=f"e{k}", stage="x", started_at=NOW, ended_at=NOW)
