@@ -1,9 +1,13 @@
 """Exact counts of distinct people at any level, from mergeable bitmaps.
 
 People get dense numbers once.  A fact is folded once, per day (or other finest key) and block of 32,768 numbers, to a bitmap
-of 4 KB; building combines on the map side, so a key that holds a third of all rows costs one bitmap a block and task.  Any
+of 4 KB; rows are combined on the map side to one per key and person first, so a person with a third of all rows costs one
+row a key and task.  Any
 coarser count is the union of those bitmaps and a sum of their bits: it never looks at the fact, at a person or at a
 distinct value again, and sub-totals of all levels come from each other instead of from copies of the rows.
+
+Bitmaps compress to a small part of the memory they take, so partitions merged by their shuffled size would grow with the
+data; those that hold bitmaps are therefore numbered by blocks of people.
 """
 
 from __future__ import annotations
@@ -41,9 +45,16 @@ def person_bitmaps(fact: DataFrame, numbers: DataFrame, person: str, keys: Seque
     their key, whose counts are then 0; a block whose flag nobody satisfies has a bitmap without bits.
     """
     numbered = fact.join(numbers.select(F.col(person).alias("_p"), NUMBER), F.col(person) == F.col("_p"), "left")
-    shown = numbered.withColumn(BLOCK, F.bitmap_bucket_number(NUMBER)).withColumns(
-        {f"_at_{name}": F.bitmap_bit_position(NUMBER) if flag is None else F.when(flag, F.bitmap_bit_position(NUMBER)) for name, flag in flags.items()})
-    return shown.groupBy(*keys, BLOCK).agg(*[F.bitmap_construct_agg(f"_at_{name}").alias(name) for name in flags])
+    shown = numbered.select(*keys, NUMBER, *[(F.lit(True) if flag is None else flag).alias(f"_is_{name}") for name, flag in flags.items()])
+    once = shown.groupBy(*keys, NUMBER).agg(*[F.bool_or(f"_is_{name}").alias(f"_is_{name}") for name in flags])
+    dealt = once.withColumn(BLOCK, F.bitmap_bucket_number(NUMBER)).repartition(2 * _blocks(numbers.agg(F.max(F.bitmap_bucket_number(NUMBER)))), *keys, BLOCK)
+    return dealt.groupBy(*keys, BLOCK).agg(
+        *[F.bitmap_construct_agg(F.when(F.col(f"_is_{name}"), F.bitmap_bit_position(NUMBER))).alias(name) for name in flags])
+
+
+def _blocks(highest: DataFrame) -> int:
+    """Number of blocks, from a frame with the highest block number (they start at 1), NULL where there is nobody."""
+    return highest.first()[0] or 1
 
 
 def merge_bitmaps(bitmaps: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -64,9 +75,10 @@ def people_subtotals(bitmaps: DataFrame, levels: Sequence[str], names: Sequence[
     """Distinct people on every level of a hierarchy and on the grand total; ``level`` is the number of levels shown.
 
     Each level is the union of the one below, so the rows shrink from level to level; a NULL key is a group of its own and
-    told from a total by ``level``.
+    told from a total by ``level``.  The bitmaps are read several times, so they should be staged.
     """
-    merged, out = bitmaps, []
+    parts = 2 * _blocks(bitmaps.agg(F.max(BLOCK)))
+    merged, out = bitmaps.repartition(parts, *levels[:1], BLOCK), []
     types = {f.name: f.dataType for f in bitmaps.schema}
     for shown in range(len(levels), -1, -1):
         keys = list(levels[:shown])

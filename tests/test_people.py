@@ -47,6 +47,15 @@ def test_numbers_beyond_one_block(spark):
     assert rows(people.count_people(bitmaps, [], ["n"])) == [(70_000,)]
 
 
+def test_bitmaps_are_dealt_by_blocks_and_not_merged_by_their_compressed_size(spark):
+    df = spark.range(100_000).select(F.col("id").alias("who"), (F.col("id") % 3).alias("k"))
+    bitmaps = people.person_bitmaps(df, people.number_people(df, "who"), "who", ["k"], {"n": None})
+    assert bitmaps.count() == 12
+    assert bitmaps.select(F.spark_partition_id()).distinct().count() > 2
+    plan = people.people_subtotals(bitmaps, ["k"], ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
 def test_known_numbers_stay(frame):
     first = people.number_people(frame([("b",), ("d",), (None,)], "who string"), "who")
     second = people.number_people(frame([("a",), ("d",), ("e",), ("a",)], "who string"), "who", first)
