@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import changes, facts
+from ..sources import tables
 from .queries_model import XREF, xref
 from .registry import query
 from .sql import dkey, fy
@@ -20,16 +21,13 @@ LINES = """
 
 
 def ticket_lines(t: Showcase):
-    newest = F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
-
-    def at(value):
-        return F.max_by(value, newest)
-
-    part = at(F.col("l_partkey"))
-    return t.lineitem.groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_line_id"), F.col("l_orderkey").alias("order_id")).agg(
-        F.concat(F.lit("P"), part).alias("performance_id"), at(F.col("l_quantity").cast("int")).alias("quantity"),
-        at(dec("l_extendedprice", 12)).alias("unit_price"), at(F.col("l_discount") > 0.05).alias("is_comp"), F.max("l_shipdate").alias("_silver_updated_at"),
-    ).withColumns({"price_zone": F.lit("A"), "discount_amount": F.lit(None).cast("decimal(12,2)")})
+    newest = F.max(F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount")).alias("_n")
+    # Dealt by order, so neither the grouping by line nor the join with the orders moves the lines again.
+    lines = t.lineitem.repartition("l_orderkey").groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_line_id"), F.col("l_orderkey").alias("order_id")).agg(newest)
+    return lines.select(
+        "order_line_id", "order_id", F.concat(F.lit("P"), F.col("_n.l_partkey")).alias("performance_id"), F.col("_n.l_quantity").cast("int").alias("quantity"),
+        dec("_n.l_extendedprice", 12).alias("unit_price"), (F.col("_n.l_discount") > 0.05).alias("is_comp"), F.col("_n.l_shipdate").alias("_silver_updated_at"),
+        F.lit("A").alias("price_zone"), F.lit(None).cast("decimal(12,2)").alias("discount_amount"))
 
 
 def ticket_orders(t: Showcase):
@@ -82,8 +80,9 @@ def changed_lines(t: Showcase):
 @query("ticket_sales_increment", f"SELECT order_line_id, net_amount, is_returned FROM ({SALES})", ["patrons", "performance"], ALL_SALES_CTE, money="net_amount")
 def ticket_sales_increment(t: Showcase):
     """A full load, then the increment after the mark applied to it: the result is the full load again."""
-    everything = ticket_sales(t, "1900-01-01 00:00:00")
-    return changes.delete_insert(everything, ticket_sales(t), "order_line_id").select("order_line_id", "net_amount", "is_returned")
+    shown = ["order_line_id", "net_amount", "is_returned"]
+    increment = tables.stage_table(ticket_sales(t).select(*shown), tables.work_table(t.spark, "sales_increment"))
+    return changes.delete_insert(ticket_sales(t, "1900-01-01 00:00:00").select(*shown), increment, "order_line_id")
 
 
 @query("fact_gifts", f"""

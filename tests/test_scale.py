@@ -103,3 +103,27 @@ def test_numbering_survives_recomputation(spark):
     first = {r["k"]: r["n"] for r in numbered.collect()}
     assert first == {r["k"]: r["n"] for r in numbered.collect()}
     assert [k for k, _ in sorted(first.items(), key=lambda kv: kv[1])] == sorted(first)
+
+
+def test_ticket_lines_move_once_for_grouping_and_orders(spark, large_joins):
+    """Dealt by order: one exchange of the lines serves the newest version of a line and the join with its order."""
+    from boxledger.operators import facts
+    from boxledger.showcase.queries_facts import ticket_lines, ticket_orders
+    from boxledger.showcase.tables import Showcase
+
+    t = Showcase(spark, SF_DIR)
+    shown = plan(facts.changed_lines(ticket_lines(t), ticket_orders(t)))
+    assert len(re.findall("Exchange hashpartitioning", shown)) == 2, shown
+
+
+def test_lines_without_an_order_keep_unknown_keys(spark):
+    """Buyer and channel are looked up per order; a line whose order is missing stays, with key -1."""
+    from boxledger.showcase import queries_facts as q
+    from boxledger.showcase.tables import Showcase
+
+    t = Showcase(spark, SF_DIR)
+    t.orders = t.orders.where("o_orderkey % 2 = 0")
+    found = q.ticket_sales(t, "1900-01-01 00:00:00").where("order_id % 2 = 1")
+    assert found.count() == q.ticket_lines(t).where("order_id % 2 = 1").count() > 0
+    assert [tuple(r) for r in found.select("patron_key", "channel_key", "is_returned").distinct().collect()] == [(-1, -1, False)]
+    assert [tuple(r) for r in t.sales.where("order_id % 2 = 1").select("patron_key").distinct().collect()] == [(-1,)]
