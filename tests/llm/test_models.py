@@ -54,6 +54,30 @@ def test_toxicity_without_labels(spark):
     assert all(0 <= r.score <= 1 for r in toxicity.score(docs, model).collect())
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """More labels than any bounded sample took: the words of rows late in the order of the ids' hashes count too."""
+    ids = spark.range(1, 9001).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"), F.xxhash64("id", F.lit("toxicity")).alias("key"))
+    late = {r.doc_id for r in ids.filter("toxic = 1").orderBy("key", "doc_id").collect()[4000:]}
+    text = lambda k: f"{prose(k, 6)} {'zorgle' if k in late else 'grumph' if k % 2 else 'kindly'} {prose(k + 1, 3)}"
+    docs = frame(spark, [(k, text(k)) for k in range(1, 9001)])
+    model = toxicity.fit(docs, ids.select("doc_id", "toxic"))
+    new = frame(spark, [(1, f"{prose(7, 6)} zorgle {prose(8, 3)}"), (2, f"{prose(7, 6)} kindly {prose(8, 3)}")])
+    found = {r.doc_id: r.score for r in toxicity.score(new, model).collect()}
+    assert found[1] >= 0.5 > found[2]
+
+
+def test_toxicity_in_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 64)
+    rows, labels = toxic_rows()
+    labels = dict(labels)
+    docs = frame(spark, rows)
+    known = labelled(spark, [x for x in labels.items() if x[0] % 5], "toxic")
+    models = [toxicity.fit(docs, known) for _ in range(2)]
+    assert models[0] == models[1], "the same in every run"
+    held = [(r.score >= 0.5) == labels[r.doc_id] for r in toxicity.score(docs, models[0]).collect() if r.doc_id % 5 == 0]
+    assert sum(held) >= 0.95 * len(held)
+
+
 def test_pooling_sees_whole_windows_of_a_row_only():
     rng = np.random.default_rng(0)
     net = toxicity.Net(rng.normal(size=(50, 4)).astype(np.float32), np.zeros((50, 4), np.float32), rng.normal(size=(4, 12)).astype(np.float32),
