@@ -38,16 +38,23 @@ def number_people(people: DataFrame, person: str, known: DataFrame | None = None
     return known.unionByName(fresh.withColumn(NUMBER, F.col(NUMBER) + top))
 
 
-def person_bitmaps(fact: DataFrame, numbers: DataFrame, person: str, keys: Sequence[str], flags: Mapping[str, Column | None]) -> DataFrame:
+def person_bitmaps(fact: DataFrame, numbers: DataFrame, person: str, keys: Sequence[str], flags: Mapping[str, Column | None], *,
+                   few_keys: bool = False) -> DataFrame:
     """One row per key and block with a bitmap per flag: the people with a row that satisfies it (None: any row).
 
     Conditions see the fact's columns.  Rows without a person, or with one that has no number, count for nobody but keep
-    their key, whose counts are then 0; a block whose flag nobody satisfies has a bitmap without bits.
+    their key, whose counts are then 0; a block whose flag nobody satisfies has a bitmap without bits.  A fact that has the
+    numbers already, looked up where it had fewer rows, is not joined.  With ``few_keys`` (years, not days) every task builds its
+    own bitmaps, which take about a byte for each person of a key; rows per key and person, most of them different, would fill
+    its memory and move whole.
     """
-    numbered = fact.join(numbers.select(F.col(person).alias("_p"), NUMBER), F.col(person) == F.col("_p"), "left")
+    numbered = fact if NUMBER in fact.columns else fact.join(numbers.select(F.col(person).alias("_p"), NUMBER), F.col(person) == F.col("_p"), "left")
     shown = numbered.select(*keys, NUMBER, *[(F.lit(True) if flag is None else flag).alias(f"_is_{name}") for name, flag in flags.items()])
-    once = shown.groupBy(*keys, NUMBER).agg(*[F.bool_or(f"_is_{name}").alias(f"_is_{name}") for name in flags])
-    dealt = once.withColumn(BLOCK, F.bitmap_bucket_number(NUMBER)).repartition(2 * _blocks(numbers.agg(F.max(F.bitmap_bucket_number(NUMBER)))), *keys, BLOCK)
+    if few_keys:
+        dealt = shown.withColumn(BLOCK, F.bitmap_bucket_number(NUMBER))
+    else:
+        once = shown.groupBy(*keys, NUMBER).agg(*[F.bool_or(f"_is_{name}").alias(f"_is_{name}") for name in flags])
+        dealt = once.withColumn(BLOCK, F.bitmap_bucket_number(NUMBER)).repartition(2 * _blocks(numbers.agg(F.max(F.bitmap_bucket_number(NUMBER)))), *keys, BLOCK)
     return dealt.groupBy(*keys, BLOCK).agg(
         *[F.bitmap_construct_agg(F.when(F.col(f"_is_{name}"), F.bitmap_bit_position(NUMBER))).alias(name) for name in flags])
 

@@ -134,3 +134,24 @@ def test_ticket_buyers_are_counted_without_expanding_the_lines(spark, large_join
 
     shown = plan(QUERIES["measures_ticketing"].build(Showcase(spark, SF_DIR)))
     assert "Expand" not in shown and "distinct" not in shown.lower()
+
+
+def test_lines_are_not_dealt_by_buyer_nor_combined_by_person(spark, large_joins):
+    """A buyer's number comes with the order: no exchange of the lines by buyer, and no row per year and person."""
+    from boxledger.showcase.tables import Showcase
+
+    shown = plan(QUERIES["measures_ticketing"].build(Showcase(spark, SF_DIR)))
+    assert not re.search(r"HashAggregate\(keys=\[fiscal_year#\d+, _person_number#", shown)
+
+
+@pytest.mark.parametrize("few_keys", [False, True])
+def test_bitmaps_built_where_the_rows_are_read(spark, few_keys):
+    """People without a number, and of several blocks, counted alike both ways and with numbers looked up before."""
+    from boxledger.operators import people
+
+    fact = spark.range(0, 70_000, 1, 5).select((F.col("id") % 40_001).alias("p"), (F.col("id") % 3).alias("y"), (F.col("id") % 7 == 0).alias("b"))
+    numbers = people.number_people(spark.range(40_000).withColumnRenamed("id", "p"), "p")
+    want = {r.y: (r.n, r.m) for r in fact.where("p < 40000").groupBy("y").agg(F.count_distinct("p").alias("n"), F.count_distinct(F.when(F.col("b"), F.col("p"))).alias("m")).collect()}
+    for f in (fact, fact.join(numbers, "p", "left")):
+        maps = people.person_bitmaps(f, numbers, "p", ["y"], {"n": None, "m": F.col("b")}, few_keys=few_keys)
+        assert {r.y: (r.n, r.m) for r in people.count_people(maps, ["y"], ["n", "m"]).collect()} == want
