@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 from .graph import components
 from .registry import register, table
 from .textbytes import mix, split_words, windows
-from .workers import map_arrow, stored
+from .workers import map_arrow, only_marked, stored
 
 SIGMAS = 5.5
 #: Lists up to this length give all their pairs.
@@ -104,8 +104,8 @@ class _Linker:
 
     def sets_of(self, wanted: DataFrame) -> DataFrame:
         """``node, values``: the full sets of the wanted nodes, each from one document that has it."""
-        chosen = wanted.join(self.nodes.select("node", F.col("doc").alias("doc_id")), "node")
-        texts = self.docs.join(chosen, "doc_id").select("node", "text")
+        chosen = stored(wanted.join(self.nodes.select("node", F.col("doc").alias("doc_id")), "node"), "chosen")
+        texts = only_marked(self.docs, chosen, "doc_id").join(chosen, "doc_id").select("node", "text")
         sets = full_sets(texts, size=self.size)
         return stored(sets.filter("node = own").select("node", "values").dropDuplicates(["node"]), "sets")
 
@@ -259,10 +259,10 @@ def _apart(member: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
     pairs = one.join(two, ["centre", "n_b"]).filter((F.col("l_a") != F.col("l_b")) & (F.least("kept_a", "kept_b") * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))))
     # A pair must share `need` extra shingles at least: all that the centre cannot give.  So an outside member is listed by the
     # rarest of its own that remain when all but one of these are taken off, others by whatever of theirs is listed.
-    each = own.select("centre", "node", F.explode("extra").alias("shingle"))
+    each = own.select("centre", "node", "outside", F.explode("extra").alias("shingle"))
     often = each.groupBy("centre", "shingle").agg(F.count("*").alias("n")).filter("n > 1")
     least = own.groupBy("centre").agg(F.min("n_shingles").alias("least"))
-    rare = each.join(often, ["centre", "shingle"]).groupBy("centre", "node").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("common"))
+    rare = each.filter("outside").join(often, ["centre", "shingle"]).groupBy("centre", "node").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("common"))
     outer = own.filter("outside").join(least, "centre").join(rare, ["centre", "node"])
     other = F.greatest(F.ceil(F.col("n_shingles") * percent / 100), F.col("least"))
     need = F.greatest(F.lit(1), F.ceil(percent * (F.col("n_shingles") + other) / (100 + percent)) - F.col("kept"))

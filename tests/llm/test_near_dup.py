@@ -157,3 +157,14 @@ def test_long_text(spark):
     rows = [(1, prose(1, 30_000, 5000)), (2, prose(1, 30_000, 5000) + " tail"), (3, "x y z")]
     got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(frame(spark, rows)).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_only_marked_keeps_every_key_and_little_else(spark):
+    from boxledger.llm.workers import only_marked
+
+    df = spark.range(-5000, 5000).selectExpr("id AS doc_id", "id AS text").union(spark.createDataFrame([(None, 0)], "doc_id long, text long"))
+    keys = df.filter("doc_id % 97 = 0 or doc_id = 4999").select("doc_id")
+    got = {r.doc_id for r in only_marked(df, keys, "doc_id").collect()}
+    want = {r.doc_id for r in keys.collect()}
+    assert want <= got and len(got) <= len(want) + 5
+    assert only_marked(df, keys.filter("false"), "doc_id").collect() == []
