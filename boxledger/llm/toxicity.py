@@ -280,7 +280,10 @@ def _labelled(docs: DataFrame, label: DataFrame, n_shards: int, n_words: int, n_
                 yield pa.RecordBatch.from_arrays([c.slice(part.first_row, part.n_rows) for c in batch.columns[:3]] + [packed], ["doc_id", "half", "lang", "packed"])
 
     packed = map_arrow(texts, run, "doc_id long, half int, lang string, packed binary").repartition(n_shards, "doc_id")
-    rows = packed.join(label.repartition(n_shards, "doc_id"), "doc_id")  # a shard is a partition of the join
+    # A shard is a partition of the join.  Grouped labels keep theirs; of two bare exchanges Spark would deal both anew, to
+    # `spark.sql.shuffle.partitions`, and each of those would train, and send what it changed, by itself.
+    own = label.repartition(n_shards, "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"))
+    rows = packed.join(own, "doc_id")
     rows = rows.select(F.pmod(F.hash("doc_id"), F.lit(n_shards)).alias("shard"), "half", "label", "lang", "packed", F.xxhash64("doc_id", F.lit("toxicity")).alias("key"))
     return cut_lineage(rows.sortWithinPartitions("shard", "half", "key", "packed").drop("key"))
 
@@ -408,8 +411,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, n_words: int = 1 << 16, n_stems:
     all texts alike.  ``n_words`` and ``n_stems`` are at most 65,536.
     """
     label = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna()
-    label = label.groupBy("doc_id").agg(F.max("label").alias("label"))
-    n_shards = max(1, -(-label.count() // (2 * SHARD_ROWS)))
+    n_shards = max(1, -(-label.select("doc_id").distinct().count() // (2 * SHARD_ROWS)))
     rows = _labelled(docs, label, n_shards, n_words, n_stems, stem_bytes, id_col, text_col, lang_col)
     halves = _counted(rows, n_words, n_stems)
     if sum(x[3] for x in halves) < 50 or any(x[2] in (0, x[3]) for x in halves):

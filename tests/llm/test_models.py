@@ -78,6 +78,22 @@ def test_toxicity_in_several_shards(spark, monkeypatch):
     assert sum(held) >= 0.95 * len(held)
 
 
+def test_toxicity_shards_are_not_dealt_anew(spark, monkeypatch):
+    """As many partitions train as there are shards, whatever the session's number of shuffle partitions."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 20)
+    rows, labels = toxic_rows()
+    known = labelled(spark, labels, "toxic").select("doc_id", F.col("toxic").alias("label"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "23")
+        found = toxicity._labelled(frame(spark, rows), known, 3, 1 << 10, 1 << 10, 5, "doc_id", "text", "lang")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    parts = [r.asDict() for r in found.select(F.spark_partition_id().alias("part"), "shard").distinct().collect()]
+    assert found.rdd.getNumPartitions() == 3
+    assert sorted(r["shard"] for r in parts) == [0, 1, 2] and len({r["part"] for r in parts}) == 3
+
+
 def test_pooling_sees_whole_windows_of_a_row_only():
     rng = np.random.default_rng(0)
     net = toxicity.Net(rng.normal(size=(50, 4)).astype(np.float32), np.zeros((50, 4), np.float32), rng.normal(size=(4, 12)).astype(np.float32),
