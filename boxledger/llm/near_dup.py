@@ -36,6 +36,8 @@ from .textbytes import mix, split_words, windows
 from .workers import map_arrow, only_marked, stored
 
 SIGMAS = 5.5
+#: Bytes of text that a task cuts into shingles and sends at once; a longer text goes alone.
+SLICE_BYTES = 1 << 19
 #: Lists up to this length give all their pairs.
 SHORT_LIST = 16
 #: Members outside the main component up to which they meet the whole list at once.
@@ -69,14 +71,14 @@ def sketches(docs: DataFrame, *, k: int, size: int, id_col: str, text_col: str)
     """``doc_id, node, n_shingles, sketch`` of every row; ``node`` is null and the sketch empty without words."""
     def run(batches):
         for batch in batches:
-            node, n, sketch = [], [], []
-            for part in split_words(batch.column(1), lower=True):
+            for part in split_words(batch.column(1), lower=True, limit=SLICE_BYTES):
+                node, n, sketch = [], [], []
                 for values in shingle_sets(part, size):
                     node.append(node_of(values) if len(values) else None)
                     n.append(len(values))
                     sketch.append(np.sort(values[:k]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int64()),
-                                              pa.array(sketch, pa.list_(pa.int64()))], ["doc_id", "node", "n_shingles", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first_row, part.n_rows), pa.array(node, pa.int64()), pa.array(n, pa.int64()),
+                                                  pa.array(sketch, pa.list_(pa.int64()))], ["doc_id", "node", "n_shingles", "sketch"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return map_arrow(picked, run, "doc_id long, node long, n_shingles long, sketch array<long>")
@@ -86,10 +88,11 @@ def full_sets(docs: DataFrame, *, size: int) -> DataFrame:
     """``node, own, values`` of the rows of ``docs`` (columns ``node`` and ``text``); ``own`` is the text's real node."""
     def run(batches):
         for batch in batches:
-            values = [v for part in split_words(batch.column(1), lower=True) for v in shingle_sets(part, size)]
-            own = [node_of(v) if len(v) else None for v in values]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.int64()), pa.array([v.view(np.int64) for v in values], pa.list_(pa.int64()))],
-                                             ["node", "own", "values"])
+            for part in split_words(batch.column(1), lower=True, limit=SLICE_BYTES):
+                values = list(shingle_sets(part, size))
+                own = [node_of(v) if len(v) else None for v in values]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first_row, part.n_rows), pa.array(own, pa.int64()),
+                                                  pa.array([v.view(np.int64) for v in values], pa.list_(pa.int64()))], ["node", "own", "values"])
 
     return map_arrow(docs.select("node", "text"), run, "node long, own long, values array<long>")
 

@@ -2,8 +2,12 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from unittest.mock import Mock
 
-from boxledger.llm import near_dup
+import pyarrow as pa
+import pytest
+
+from boxledger.llm import near_dup, workers
 from boxledger.llm.graph import components
 from helpers import ODD, frame, lowered, prose
 
@@ -168,3 +172,23 @@ def test_only_marked_keeps_every_key_and_little_else(spark):
     want = {r.doc_id for r in keys.collect()}
     assert want <= got and len(got) <= len(want) + 5
     assert only_marked(df, keys.filter("false"), "doc_id").collect() == []
+
+
+@pytest.mark.parametrize("columns", [["doc_id", "text"], ["node", "text"]])
+def test_shingles_are_sent_by_slices_of_text(spark, columns, monkeypatch):
+    """A batch of texts goes out in several, so that a task never holds the sets of all its rows."""
+    docs, runs = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array([prose(k, 40) for k in range(3)] + [None])], columns), []
+    monkeypatch.setattr(near_dup, "map_arrow", lambda df, run, schema: runs.append(run))
+    monkeypatch.setattr(near_dup, "SLICE_BYTES", 200)
+    if columns[0] == "node":
+        near_dup.full_sets(Mock(), size=5)
+    else:
+        near_dup.sketches(frame(spark, [(1, "a")]), k=8, size=5, id_col="doc_id", text_col="text")
+    sent = list(runs[0]([docs]))
+    assert len(sent) >= 3 and [x for b in sent for x in b.column(0).to_pylist()] == [1, 2, 3, 4]
+
+
+def test_tasks_give_memory_back(monkeypatch):
+    times = []
+    monkeypatch.setattr(workers.pa, "default_memory_pool", lambda: Mock(release_unused=lambda: times.append(1)))
+    assert list(workers.released(lambda batches: iter(batches))(["a", "b"])) == ["a", "b"] and len(times) == 3
