@@ -93,58 +93,109 @@ def lanes(lengths: np.ndarray, n_lanes: int) -> Lanes:
     return Lanes(place, first, (place >= 0).sum(1))
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+#: Rows of one class that are multiplied at once, in windows of few and of many tokens.
+CHUNKS = (16, 128)
 
 
-def _forward(net: Gru, x: np.ndarray, first: np.ndarray, state: np.ndarray, keep: bool):
+@dataclass
+class States:
+    """What a window's steps leave behind for the way back; all arrays are steps by lanes by units."""
+
+    before: np.ndarray
+    gates: np.ndarray
+    new: np.ndarray
+    inner: np.ndarray
+
+
+def _forward(net: Gru, x: np.ndarray, first: np.ndarray, state: np.ndarray, keep: bool) -> tuple[np.ndarray, States | None]:
     """States after each step of a window; ``x`` and ``first`` are steps by lanes, all active."""
     hidden = net.u.shape[0]
-    gates = net.inputs[x]
-    out = np.empty((len(x), x.shape[1], hidden), np.float32)
-    saved = []
+    steps, n_lanes = x.shape
+    # A sigmoid is half a hyperbolic tangent of half its argument, plus a half: two of the three gates are halved beforehand.
+    half = np.repeat(np.array([0.5, 0.5, 1], np.float32), hidden)
+    gates, u = (net.inputs * half)[x], net.u * half
+    out = np.empty((steps, n_lanes, hidden), np.float32)
+    kept = steps if keep else 1
+    saved = States(np.empty((kept, n_lanes, hidden), np.float32), np.empty((kept, n_lanes, 2 * hidden), np.float32),
+                   np.empty((kept, n_lanes, hidden), np.float32), np.empty((kept, n_lanes, hidden), np.float32))
+    fresh = first.any(1).tolist()
     h = state
-    for t in range(len(x)):
-        if first[t].any():
+    for t in range(steps):
+        if fresh[t]:
             h = np.where(first[t][:, None], np.float32(0), h)
-        a = h @ net.u
-        zr = _sigmoid(gates[t, :, :2 * hidden] + a[:, :2 * hidden])
-        z, r = zr[:, :hidden], zr[:, hidden:]
-        n = np.tanh(gates[t, :, 2 * hidden:] + r * a[:, 2 * hidden:])
-        new = n + z * (h - n)
+        k = t if keep else 0
+        a = h @ u
+        zr, n = saved.gates[k], saved.new[k]
+        np.add(gates[t, :, :2 * hidden], a[:, :2 * hidden], out=zr)
+        np.tanh(zr, out=zr)
+        zr *= np.float32(0.5)
+        zr += np.float32(0.5)
+        np.multiply(zr[:, hidden:], a[:, 2 * hidden:], out=n)
+        n += gates[t, :, 2 * hidden:]
+        np.tanh(n, out=n)
         if keep:
-            saved.append((h, z, r, n, a[:, 2 * hidden:]))
-        out[t] = h = new
-    return out, saved
+            saved.before[t], saved.inner[t] = h, a[:, 2 * hidden:]
+        h = np.subtract(h, n, out=out[t])
+        h *= zr[:, :hidden]
+        h += n
+    return out, saved if keep else None
+
+
+@dataclass
+class Listed:
+    """Tokens of the short list, dealt to chunks of one class each: ``slot`` is the place of token ``by`` in the padded rows."""
+
+    by: np.ndarray
+    slot: np.ndarray
+    classes: np.ndarray
+    h: np.ndarray
+    p: np.ndarray
 
 
 def _outputs(net: Gru, h: np.ndarray, cls: np.ndarray, word: np.ndarray, keep: bool):
     """Log probability of each target's class and word (0 for words outside the short list), and the gradients' parts."""
-    logits = h @ net.class_w + net.class_b
-    logits -= logits.max(1, keepdims=True)
-    e = np.exp(logits)
-    total = e.sum(1)
+    e = h @ net.class_w
+    e += net.class_b
+    e -= e.max(1, keepdims=True)
     rows = np.arange(len(h))
-    log_p = logits[rows, cls] - np.log(total)
-    n_classes = len(net.word_b)
+    log_p = e[rows, cls]
+    np.exp(e, out=e)
+    total = e.sum(1)
+    log_p -= np.log(total)
+    n_classes, hidden, per_class = net.word_w.shape
     mine = np.flatnonzero(cls < n_classes)
-    by = mine[np.argsort(cls[mine], kind="stable")]
-    edges = np.searchsorted(cls[by], np.arange(n_classes + 1))
-    parts = []
-    for c in np.flatnonzero(np.diff(edges)):
-        own = by[edges[c]:edges[c + 1]]
-        inner = h[own] @ net.word_w[c] + net.word_b[c]
-        inner -= inner.max(1, keepdims=True)
-        ie = np.exp(inner)
-        it = ie.sum(1)
-        log_p[own] += inner[np.arange(len(own)), word[own]] - np.log(it)
-        if keep:
-            parts.append((c, own, ie / it[:, None]))
-    return log_p, (e / total[:, None] if keep else None), parts
+    if not len(mine):
+        return log_p, (e / total[:, None] if keep else None), None
+    own = cls[mine].astype(np.min_scalar_type(n_classes))
+    by = mine[np.argsort(own, kind="stable")]
+    counts = np.bincount(own, minlength=n_classes)
+    size = CHUNKS[len(mine) > 4096]
+    chunks = -(-counts // size)
+    slot = np.arange(len(by)) + np.repeat((np.cumsum(chunks) - chunks) * size - (np.cumsum(counts) - counts), counts)
+    classes = np.repeat(np.arange(n_classes), chunks)
+    padded = np.zeros((len(classes) * size, hidden), np.float32)
+    padded[slot] = h[by]
+    padded = padded.reshape(len(classes), size, hidden)
+    inner = padded @ net.word_w[classes]
+    inner += net.word_b[classes][:, None]
+    inner -= inner.max(2, keepdims=True)
+    flat = inner.reshape(-1, per_class)
+    own_p = flat[slot, word[by]]
+    np.exp(inner, out=inner)
+    inner_total = inner.sum(2)
+    log_p[by] += own_p - np.log(inner_total.reshape(-1)[slot])
+    if not keep:
+        return log_p, None, None
+    inner /= inner_total[:, :, None]
+    e /= total[:, None]
+    return log_p, e, Listed(by, slot, classes, padded, inner)
+
 
+def score(net: Gru, x: np.ndarray, cls: np.ndarray, word: np.ndarray, lengths: np.ndarray, *, n_lanes: int = 96, window: int = 32) -> np.ndarray:
+    """Natural log probability of every token of whole documents, state carried across windows.
 
-def score(net: Gru, x: np.ndarray, cls: np.ndarray, word: np.ndarray, lengths: np.ndarray, *, n_lanes: int = 384, window: int = 48) -> np.ndarray:
-    """Natural log probability of every token of whole documents, state carried across windows."""
+    Lanes and window bound what is held at once (it should fit a cache) and do not change the result.
+    """
     out = np.zeros(len(x), np.float64)
     if not len(x):
         return out
@@ -185,41 +236,56 @@ def train(net: Gru, x: np.ndarray, cls: np.ndarray, word: np.ndarray, lengths: n
         flat = place.ravel()
         n = len(flat)
         hf = h.reshape(n, hidden)
-        _, p, parts = _outputs(net, hf, cls[flat], word[flat], True)
+        _, p, listed = _outputs(net, hf, cls[flat], word[flat], True)
         scale = np.float32(1 / max(active, 8))
         p[np.arange(n), cls[flat]] -= 1
         p *= scale
         grads = {"class_w": hf.T @ p, "class_b": p.sum(0)}
         dh_out = p @ net.class_w.T
-        for c, own, q in parts:
-            q[np.arange(len(own)), word[flat[own]]] -= 1
+        if listed is not None:
+            q = listed.p.reshape(-1, listed.p.shape[2])
+            q[listed.slot, word[flat[listed.by]]] -= 1
             q *= scale
-            dh_out[own] += q @ net.word_w[c].T
-            gw, gb = hf[own].T @ q, q.sum(0)
-            acc.word_w[c] += gw ** 2
-            acc.word_b[c] += gb ** 2
-            net.word_w[c] -= rate * gw / np.sqrt(acc.word_w[c])
-            net.word_b[c] -= rate * gb / np.sqrt(acc.word_b[c])
+            empty = np.ones(len(q), bool)
+            empty[listed.slot] = False
+            q[empty] = 0
+            dh_out[listed.by] += (listed.p @ net.word_w[listed.classes].transpose(0, 2, 1)).reshape(-1, hidden)[listed.slot]
+            some = listed.classes[np.flatnonzero(np.diff(listed.classes, prepend=-1))]
+            chunks_of = (some[:, None] == listed.classes).astype(np.float32)
+            for name, g in (("word_w", listed.h.transpose(0, 2, 1) @ listed.p), ("word_b", listed.p.sum(1))):
+                g, a, w = (chunks_of @ g.reshape(len(g), -1)).reshape(-1, *g.shape[1:]), getattr(acc, name), getattr(net, name)
+                a[some] += g ** 2
+                w[some] -= rate * g / np.sqrt(a[some])
         dh_out = dh_out.reshape(h.shape)
+        z, r, new = saved.gates[:, :, :hidden], saved.gates[:, :, hidden:], saved.new
+        # Slopes of the three gates' sums by the state after the step; the last one once as the input and once as the recurrence sees it.
+        slope = np.empty((*h.shape[:2], 3, hidden), np.float32)
+        to_new = 1 - z
+        np.multiply((saved.before - new) * z, to_new, out=slope[:, :, 0])
+        to_new *= 1 - new * new
+        np.multiply(to_new, r, out=slope[:, :, 2])
+        np.multiply(slope[:, :, 2] * saved.inner, 1 - r, out=slope[:, :, 1])
+        back_u, fresh = np.ascontiguousarray(net.u.T), first.any(1).tolist()
+        d_sums = np.empty(slope.shape, np.float32)
+        d_states = np.empty(h.shape, np.float32)
         dh = np.zeros((active, hidden), np.float32)
-        d_gates = np.empty((len(place), active, 3 * hidden), np.float32)
-        du = np.zeros_like(net.u)
         for t in range(len(place) - 1, -1, -1):
-            before, z, r, new, a_n = saved[t]
-            dh = dh + dh_out[t]
-            dn = dh * (1 - z) * (1 - new * new)
-            dz = dh * (before - new) * z * (1 - z)
-            dr = dn * a_n * r * (1 - r)
-            d_gates[t, :, :hidden], d_gates[t, :, hidden:2 * hidden], d_gates[t, :, 2 * hidden:] = dz, dr, dn
-            da = np.concatenate((dz, dr, dn * r), 1)
-            du += before.T @ da
-            dh = dh * z + da @ net.u.T
-            if first[t].any():
-                dh = np.where(first[t][:, None], np.float32(0), dh)
-        grads["u"] = du
-        used, back = np.unique(x[flat], return_inverse=True)
-        total = np.zeros((len(used), 3 * hidden), np.float32)
-        np.add.at(total, back, d_gates.reshape(n, -1))
+            dh = np.add(dh, dh_out[t], out=d_states[t])
+            da = np.multiply(dh[:, None], slope[t], out=d_sums[t])
+            dh = dh * z[t]
+            dh += da.reshape(active, -1) @ back_u
+            if fresh[t]:
+                dh[first[t]] = 0
+        grads["u"] = saved.before.reshape(n, hidden).T @ d_sums.reshape(n, -1)
+        d_sums[:, :, 2] = d_states * to_new
+        fed = x[flat].astype(np.min_scalar_type(len(net.inputs)))
+        order = np.argsort(fed, kind="stable")
+        edges = np.flatnonzero(np.diff(fed[order].astype(np.int64), prepend=-1))
+        used = fed[order[edges]]
+        running = np.cumsum(d_sums.reshape(n, -1)[order], axis=0, dtype=np.float64)
+        total = running[np.append(edges[1:], n) - 1]
+        total[1:] -= running[edges[1:] - 1]
+        total = total.astype(np.float32)
         acc.inputs[used] += total ** 2
         net.inputs[used] -= rate * total / np.sqrt(acc.inputs[used])
         for name, g in grads.items():

@@ -277,6 +277,26 @@ def test_probabilities_sum_to_one():
     assert math.isclose(np.exp(log_p).sum(), 1, rel_tol=1e-5)
 
 
+def test_first_step_of_a_window_learns_from_the_state_before_it():
+    """Without learning in between, the slopes of two windows are those of each by itself, from the state that was carried."""
+    net, x, cls, word, _ = tiny(5)
+    x, cls, word = x[:6], cls[:6], word[:6]
+    states = []
+    plain = gru._forward
+
+    def spy(net, x, first, state, keep):
+        out, saved = plain(net, x, first, state, keep)
+        states.append((state.copy(), saved))
+        return out, saved
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(gru, "_forward", spy)
+        gru.train(net, x, cls, word, np.array([6]), n_lanes=1, window=3)
+    assert len(states) == 2 and states[1][0].any()
+    for before, saved in states:
+        assert np.allclose(saved.before[0], before)
+
+
 def test_gradients_match_differences():
     """A tiny AdaGrad step moves every weight against the numeric slope of the loss."""
     net, x, cls, word, lengths = tiny(3)
