@@ -12,9 +12,10 @@ its members are compared with its centre, the member with the fewest shingles of
 Members outside the family's largest component have been found unlike the centre, and that bounds whom they can be like.
 What two nodes share lies in the centre or not.  Either what each shares with the centre is already enough for the two (then
 the other node is no larger than a size that follows from that share, and a join by size finds it), or they share a shingle
-that the centre does not have.  So such members go into new lists, one for each shingle that the centre lacks (the rarest of
-a member's, as many as the share that the centre cannot give asks for), and these lists are treated the same way: all pairs
-if short, a centre of their own if long.  Where no more than ``FEW_OUTSIDE`` members of a list are outside, they are compared
+that the centre does not have.  So such members go into new lists, and these are treated the same way: all pairs if short, a
+centre of their own if long.  In the first round the lists are those of the rarest shingles of the members' full sets, once for
+each member, which is far closer than a sketch; after it, one for each shingle that the centre lacks (the rarest of a member's,
+as many as the share that the centre cannot give asks for).  Where no more than ``FEW_OUTSIDE`` members of a list are outside, they are compared
 with all others of it, which is linear in the list; after ``ROUNDS`` rounds, so are all that are left.  No link between
 components is missed, and no family gives all its pairs.
 
@@ -202,8 +203,11 @@ def _families(lists: DataFrame, linker: _Linker, percent: int) -> DataFrame:
         pairs = pairs.filter((F.col("l_a") != F.col("l_b")) & _alike(percent) & enough).select("a", "b")
         member, lists = stored(member.join(few, "value", "left_anti"), "many"), None
         if not member.isEmpty():
-            more, lists = _apart(member, sets, percent)
-            pairs = pairs.union(more)
+            if depth == 0:
+                lists = _rarest(member, sets, percent)
+            else:
+                more, lists = _apart(member, sets, percent)
+                pairs = pairs.union(more)
         late = linker.links(_ordered(pairs))
         if not late.isEmpty():
             found = stored(found.union(late).distinct(), "found")
@@ -246,6 +250,23 @@ def _outside(long: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return stored(member.join(some, "value"), "outside")
 
 
+def _rarest(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """New lists of the members of long lists, one for each of the rarest shingles of a node's full set.
+
+    Only shingles that nodes of different components hold can be common to a pair, and a pair has `percent` of each node's
+    shingles in common at least.  So it shares one of the rarest that remain when all but one of these are taken off.  Every
+    node is counted and listed once, in however many long lists it is.
+    """
+    nodes = member.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.max("label").alias("label"), F.bool_or("outside").alias("outside"))
+    each = sets.join(nodes, "node").select("node", "n_shingles", "label", "outside", F.explode("values").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.bool_or("outside").alias("some"))
+    often = often.filter("some and low <> high").select("shingle", "n")
+    rare = each.join(often, "shingle").groupBy("node", "n_shingles").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("common"))
+    need = F.ceil(F.col("n_shingles") * percent / 100)
+    prefix = F.greatest(F.lit(0), F.size("common") - need + 1).cast("int")
+    return stored(rare.select("node", "n_shingles", F.explode(F.slice("common.shingle", 1, prefix)).alias("value")), "lists")
+
+
 def _apart(member: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Whom an outside member can be like: pairs that the centre's shingles alone can link, and new lists by the others.
 

@@ -128,6 +128,15 @@ def test_pairs_of_a_family_grow_with_its_members(spark, monkeypatch):
     assert n[240] < 8 * n[60] and n[240] < 240 * 239 / 8
 
 
+def test_members_of_many_long_lists_are_listed_once(spark):
+    """Nodes in three long lists of three centres: each gives the rarest two of its nine common shingles, once."""
+    sets = spark.createDataFrame([(1, list(range(10))), (2, [*range(9), 20]), (3, list(range(30, 40)))], "node long, values array<long>")
+    member = spark.createDataFrame([(v, v + 100, n, 10, n, n > 1) for v in range(3) for n in (1, 2, 3)],
+                                   "value long, centre long, node long, n_shingles long, label long, outside boolean")
+    got = sorted((r.node, r.value) for r in near_dup._rarest(member, sets, 80).collect())
+    assert got == [(1, 0), (1, 1), (2, 0), (2, 1)]
+
+
 def test_pairs_at_exactly_the_threshold(spark):
     """One text extends the other: 5 shingles against 4, 10 against 8 and so on are 0.8 alike."""
     rows = []
