@@ -99,7 +99,7 @@ CHUNKS = (16, 128)
 
 @dataclass
 class States:
-    """What a window's steps leave behind for the way back; all arrays are steps by lanes by units."""
+    """What a window's steps leave behind for the way back; all arrays are steps by units by lanes."""
 
     before: np.ndarray
     gates: np.ndarray
@@ -108,39 +108,65 @@ class States:
 
 
 def _forward(net: Gru, x: np.ndarray, first: np.ndarray, state: np.ndarray, keep: bool) -> tuple[np.ndarray, States | None]:
-    """States after each step of a window; ``x`` and ``first`` are steps by lanes, all active."""
+    """States after each step of a window, steps by units by lanes; ``x`` and ``first`` are steps by lanes, all active.
+
+    Units come before lanes, so each gate of a step is one piece of memory.
+    """
     hidden = net.u.shape[0]
     steps, n_lanes = x.shape
     # A sigmoid is half a hyperbolic tangent of half its argument, plus a half: two of the three gates are halved beforehand.
     half = np.repeat(np.array([0.5, 0.5, 1], np.float32), hidden)
-    gates, u = (net.inputs * half)[x], net.u * half
-    out = np.empty((steps, n_lanes, hidden), np.float32)
+    fed = net.inputs[x]
+    fed *= half
+    gates, u = np.ascontiguousarray(fed.transpose(0, 2, 1)), np.ascontiguousarray((net.u * half).T)
+    out = np.empty((steps, hidden, n_lanes), np.float32)
     kept = steps if keep else 1
-    saved = States(np.empty((kept, n_lanes, hidden), np.float32), np.empty((kept, n_lanes, 2 * hidden), np.float32),
-                   np.empty((kept, n_lanes, hidden), np.float32), np.empty((kept, n_lanes, hidden), np.float32))
+    saved = States(np.empty((kept, hidden, n_lanes), np.float32), np.empty((kept, 2 * hidden, n_lanes), np.float32),
+                   np.empty((kept, hidden, n_lanes), np.float32), np.empty((kept, hidden, n_lanes), np.float32))
     fresh = first.any(1).tolist()
     h = state
     for t in range(steps):
         if fresh[t]:
-            h = np.where(first[t][:, None], np.float32(0), h)
+            h = np.where(first[t], np.float32(0), h)
         k = t if keep else 0
-        a = h @ u
+        a = u @ h
         zr, n = saved.gates[k], saved.new[k]
-        np.add(gates[t, :, :2 * hidden], a[:, :2 * hidden], out=zr)
+        np.add(gates[t, :2 * hidden], a[:2 * hidden], out=zr)
         np.tanh(zr, out=zr)
         zr *= np.float32(0.5)
         zr += np.float32(0.5)
-        np.multiply(zr[:, hidden:], a[:, 2 * hidden:], out=n)
-        n += gates[t, :, 2 * hidden:]
+        np.multiply(zr[hidden:], a[2 * hidden:], out=n)
+        n += gates[t, 2 * hidden:]
         np.tanh(n, out=n)
         if keep:
-            saved.before[t], saved.inner[t] = h, a[:, 2 * hidden:]
+            saved.before[t], saved.inner[t] = h, a[2 * hidden:]
         h = np.subtract(h, n, out=out[t])
-        h *= zr[:, :hidden]
+        h *= zr[:hidden]
         h += n
     return out, saved if keep else None
 
 
+def _rows(x: np.ndarray) -> np.ndarray:
+    """Steps by units by lanes as one row of units for each step and lane."""
+    return x.transpose(0, 2, 1).reshape(-1, x.shape[1])
+
+
+#: Sums up to which no exponential overflows, so that the largest need not be taken off first.
+SAFE = 60
+
+
+def _safe(w: np.ndarray, b: np.ndarray) -> bool:
+    """No sum of ``b`` and states (between -1 and 1) times ``w`` (units before outputs) is beyond ``SAFE``."""
+    if max(w.max(), -w.min()) * w.shape[-2] + max(b.max(), -b.min()) <= SAFE:
+        return True
+    return (np.abs(w).sum(-2) + np.abs(b)).max() <= SAFE
+
+
+def _firsts(x: np.ndarray) -> np.ndarray:
+    """Places where a sorted array takes a new value."""
+    return np.concatenate(([0], np.flatnonzero(x[1:] != x[:-1]) + 1))
+
+
 @dataclass
 class Listed:
     """Tokens of the short list, dealt to chunks of one class each: ``slot`` is the place of token ``by`` in the padded rows."""
@@ -156,11 +182,12 @@ def _outputs(net: Gru, h: np.ndarray, cls: np.ndarray, word: np.ndarray, keep: b
     """Log probability of each target's class and word (0 for words outside the short list), and the gradients' parts."""
     e = h @ net.class_w
     e += net.class_b
-    e -= e.max(1, keepdims=True)
+    if not _safe(net.class_w, net.class_b):
+        e -= e.max(1, keepdims=True)
     rows = np.arange(len(h))
     log_p = e[rows, cls]
     np.exp(e, out=e)
-    total = e.sum(1)
+    total = e @ np.ones(e.shape[1], np.float32)
     log_p -= np.log(total)
     n_classes, hidden, per_class = net.word_w.shape
     mine = np.flatnonzero(cls < n_classes)
@@ -178,15 +205,16 @@ def _outputs(net: Gru, h: np.ndarray, cls: np.ndarray, word: np.ndarray, keep: b
     padded = padded.reshape(len(classes), size, hidden)
     inner = padded @ net.word_w[classes]
     inner += net.word_b[classes][:, None]
-    inner -= inner.max(2, keepdims=True)
+    if not _safe(net.word_w, net.word_b):
+        inner -= inner.max(2, keepdims=True)
     flat = inner.reshape(-1, per_class)
     own_p = flat[slot, word[by]]
     np.exp(inner, out=inner)
-    inner_total = inner.sum(2)
-    log_p[by] += own_p - np.log(inner_total.reshape(-1)[slot])
+    inner_total = flat @ np.ones(per_class, np.float32)
+    log_p[by] += own_p - np.log(inner_total[slot])
     if not keep:
         return log_p, None, None
-    inner /= inner_total[:, :, None]
+    flat /= inner_total[:, None]
     e /= total[:, None]
     return log_p, e, Listed(by, slot, classes, padded, inner)
 
@@ -200,16 +228,16 @@ def score(net: Gru, x: np.ndarray, cls: np.ndarray, word: np.ndarray, lengths: n
     if not len(x):
         return out
     plan = lanes(lengths, n_lanes)
-    state = np.zeros((plan.place.shape[1], net.u.shape[0]), np.float32)
+    state = np.zeros((net.u.shape[0], plan.place.shape[1]), np.float32)
     at = 0
     while at < len(plan.place):
         active = int(plan.active[at])
         end = min(at + window, at + int(np.searchsorted(-plan.active[at:], -active, "right")))
         place = plan.place[at:end, :active]
-        h, _ = _forward(net, x[place], plan.first[at:end, :active], state[:active], False)
-        state[:active] = h[-1]
+        h, _ = _forward(net, x[place], plan.first[at:end, :active], state[:, :active], False)
+        state[:, :active] = h[-1]
         flat = place.ravel()
-        out[flat] = _outputs(net, h.reshape(len(flat), -1), cls[flat], word[flat], False)[0]
+        out[flat] = _outputs(net, _rows(h), cls[flat], word[flat], False)[0]
         at = end
     return out
 
@@ -224,23 +252,23 @@ def train(net: Gru, x: np.ndarray, cls: np.ndarray, word: np.ndarray, lengths: n
     if not len(x):
         return net, sums
     plan = lanes(lengths, n_lanes)
-    state = np.zeros((plan.place.shape[1], hidden), np.float32)
+    state = np.zeros((hidden, plan.place.shape[1]), np.float32)
     at = 0
     while at < len(plan.place):
         active = int(plan.active[at])
         end = min(at + window, at + int(np.searchsorted(-plan.active[at:], -active, "right")))
         place, first = plan.place[at:end, :active], plan.first[at:end, :active]
-        h, saved = _forward(net, x[place], first, state[:active], True)
-        state[:active] = h[-1]
+        h, saved = _forward(net, x[place], first, state[:, :active], True)
+        state[:, :active] = h[-1]
         at = end
         flat = place.ravel()
         n = len(flat)
-        hf = h.reshape(n, hidden)
+        hf = _rows(h)
         _, p, listed = _outputs(net, hf, cls[flat], word[flat], True)
         scale = np.float32(1 / max(active, 8))
         p[np.arange(n), cls[flat]] -= 1
         p *= scale
-        grads = {"class_w": hf.T @ p, "class_b": p.sum(0)}
+        grads = {"class_w": hf.T @ p, "class_b": np.ones(n, np.float32) @ p}
         dh_out = p @ net.class_w.T
         if listed is not None:
             q = listed.p.reshape(-1, listed.p.shape[2])
@@ -250,44 +278,48 @@ def train(net: Gru, x: np.ndarray, cls: np.ndarray, word: np.ndarray, lengths: n
             empty[listed.slot] = False
             q[empty] = 0
             dh_out[listed.by] += (listed.p @ net.word_w[listed.classes].transpose(0, 2, 1)).reshape(-1, hidden)[listed.slot]
-            some = listed.classes[np.flatnonzero(np.diff(listed.classes, prepend=-1))]
+            some = listed.classes[_firsts(listed.classes)]
             chunks_of = (some[:, None] == listed.classes).astype(np.float32)
-            for name, g in (("word_w", listed.h.transpose(0, 2, 1) @ listed.p), ("word_b", listed.p.sum(1))):
+            for name, g in (("word_w", listed.h.transpose(0, 2, 1) @ listed.p), ("word_b", np.ones(listed.p.shape[1], np.float32) @ listed.p)):
                 g, a, w = (chunks_of @ g.reshape(len(g), -1)).reshape(-1, *g.shape[1:]), getattr(acc, name), getattr(net, name)
-                a[some] += g ** 2
-                w[some] -= rate * g / np.sqrt(a[some])
-        dh_out = dh_out.reshape(h.shape)
-        z, r, new = saved.gates[:, :, :hidden], saved.gates[:, :, hidden:], saved.new
+                slope = g * g
+                a[some] = slope = np.add(slope, a[some], out=slope)
+                g *= np.float32(rate)
+                g /= np.sqrt(slope, out=slope)
+                w[some] -= g
+        dh_out = np.ascontiguousarray(dh_out.reshape(len(place), active, hidden).transpose(0, 2, 1))
+        z, r, new = saved.gates[:, :hidden], saved.gates[:, hidden:], saved.new
         # Slopes of the three gates' sums by the state after the step; the last one once as the input and once as the recurrence sees it.
-        slope = np.empty((*h.shape[:2], 3, hidden), np.float32)
+        slope = np.empty((len(place), 3, hidden, active), np.float32)
         to_new = 1 - z
-        np.multiply((saved.before - new) * z, to_new, out=slope[:, :, 0])
+        np.multiply((saved.before - new) * z, to_new, out=slope[:, 0])
         to_new *= 1 - new * new
-        np.multiply(to_new, r, out=slope[:, :, 2])
-        np.multiply(slope[:, :, 2] * saved.inner, 1 - r, out=slope[:, :, 1])
-        back_u, fresh = np.ascontiguousarray(net.u.T), first.any(1).tolist()
+        np.multiply(to_new, r, out=slope[:, 2])
+        np.multiply(slope[:, 2] * saved.inner, 1 - r, out=slope[:, 1])
+        fresh = first.any(1).tolist()
         d_sums = np.empty(slope.shape, np.float32)
         d_states = np.empty(h.shape, np.float32)
-        dh = np.zeros((active, hidden), np.float32)
+        dh, back = np.zeros((hidden, active), np.float32), np.empty((hidden, active), np.float32)
         for t in range(len(place) - 1, -1, -1):
             dh = np.add(dh, dh_out[t], out=d_states[t])
-            da = np.multiply(dh[:, None], slope[t], out=d_sums[t])
+            da = np.multiply(dh, slope[t], out=d_sums[t])
             dh = dh * z[t]
-            dh += da.reshape(active, -1) @ back_u
+            dh += np.matmul(net.u, da.reshape(-1, active), out=back)
             if fresh[t]:
-                dh[first[t]] = 0
-        grads["u"] = saved.before.reshape(n, hidden).T @ d_sums.reshape(n, -1)
-        d_sums[:, :, 2] = d_states * to_new
+                dh[:, first[t]] = 0
+        rows = _rows(d_sums.reshape(len(place), -1, active))
+        grads["u"] = _rows(saved.before).T @ rows
+        rows[:, 2 * hidden:] = _rows(d_states * to_new)
         fed = x[flat].astype(np.min_scalar_type(len(net.inputs)))
         order = np.argsort(fed, kind="stable")
-        edges = np.flatnonzero(np.diff(fed[order].astype(np.int64), prepend=-1))
+        edges = _firsts(fed[order])
         used = fed[order[edges]]
-        running = np.cumsum(d_sums.reshape(n, -1)[order], axis=0, dtype=np.float64)
-        total = running[np.append(edges[1:], n) - 1]
-        total[1:] -= running[edges[1:] - 1]
-        total = total.astype(np.float32)
-        acc.inputs[used] += total ** 2
-        net.inputs[used] -= rate * total / np.sqrt(acc.inputs[used])
+        total = np.add.reduceat(rows[order], edges, axis=0)
+        squares = total * total
+        acc.inputs[used] = squares = np.add(squares, acc.inputs[used], out=squares)
+        total *= np.float32(rate)
+        total /= np.sqrt(squares, out=squares)
+        net.inputs[used] -= total
         for name, g in grads.items():
             a = getattr(acc, name)
             a += g ** 2

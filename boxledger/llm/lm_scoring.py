@@ -51,13 +51,29 @@ class Vocabulary:
     n_types: int
     form_tokens: np.ndarray
     form_types: np.ndarray
+    bounds: np.ndarray | None = None
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each hash among the known ones, -1 if it is not one of them."""
         if not len(self.hashes):
             return np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+        # Hashes are spread evenly, so their first bits lead to the place but for a few steps.
+        bits = max(1, len(self.hashes).bit_length())
+        shift = np.uint64(64 - bits)
+        if self.bounds is None:
+            self.bounds = np.searchsorted(self.hashes >> shift, np.arange((1 << bits) + 1).astype(np.uint64)).astype(np.int32)
+        block = (hashes >> shift).astype(np.int64)
+        at, end = self.bounds[block], self.bounds[block + 1]
+        out = np.full(len(hashes), -1, np.int64)
+        left = np.flatnonzero(at < end)
+        at, end, wanted = at[left], end[left], hashes[left]
+        while len(left):
+            same = self.hashes[at] == wanted
+            out[left[same]] = at[same]
+            at += 1
+            more = np.flatnonzero(~same & (at < end))
+            left, at, end, wanted = left[more], at[more], end[more], wanted[more]
+        return out
 
 
 def _texts(docs: DataFrame, held_out: Column, id_col: str, text_col: str) -> DataFrame:

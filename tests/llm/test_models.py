@@ -316,3 +316,31 @@ def test_gradients_match_differences():
         assert abs(slope - step[k]) <= 0.05 * max(1, abs(slope)) + 0.02
         checked += abs(slope) > 0.1
     assert checked > 10
+
+
+def test_sums_that_would_overflow():
+    """Beyond the bound the largest sum is taken off first, within it the result is the same without."""
+    net, x, cls, word, lengths = tiny(2)
+    want = gru.score(net, x, cls, word, lengths)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(gru, "SAFE", 0)
+        assert np.allclose(gru.score(net, x, cls, word, lengths), want, atol=1e-5)
+    net.class_w *= 500
+    net.word_w *= 500
+    assert np.isfinite(gru.score(net, x, cls, word, lengths)).all()
+
+
+def test_words_are_found_by_their_first_bits(monkeypatch):
+    """Every hash finds its place or -1, also among hashes that share their first bits, without one search for each."""
+    rng = np.random.default_rng(6)
+    near = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    for known in (np.unique(near), np.unique(near >> np.uint64(40)), np.unique(near)[:1], np.array([0, 2**64 - 1], np.uint64)):
+        vocab = lm_scoring.Vocabulary(known, known, known, 0, 0, 0, known, known)
+        asked = np.concatenate((known, near, near >> np.uint64(40), np.array([0, 1, 2**64 - 1], np.uint64)))
+        place = {int(h): k for k, h in enumerate(known)}
+        sizes, plain = [], np.searchsorted
+        monkeypatch.setattr(np, "searchsorted", lambda a, v, *more: sizes.append(np.size(v)) or plain(a, v, *more))
+        assert vocab.find(asked).tolist() == [place.get(int(h), -1) for h in asked]
+        assert vocab.find(asked[:5]).tolist() == [place.get(int(h), -1) for h in asked[:5]]
+        monkeypatch.undo()
+        assert len(asked) not in sizes and len(sizes) <= 1
